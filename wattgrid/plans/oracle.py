@@ -157,7 +157,7 @@ SQL["outlier_filter"] = f"WITH {HOURLY},\n{filled_cte('ffill')},\n{outlier_cte('
 
 SQL["minmax_fit"] = f"""WITH {HOURLY},\n{filled_cte('ffill')}
 SELECT home_id, "column", round(data_min, 6) AS data_min, round(data_max, 6) AS data_max FROM (
-  {' UNION ALL '.join(f"SELECT home_id, '{c}' AS "column", min({c})::DOUBLE AS data_min, max({c})::DOUBLE AS data_max FROM filled GROUP BY home_id" for c in CH)}
+  {' UNION ALL '.join(f"SELECT home_id, '{c}' AS \"column\", min({c})::DOUBLE AS data_min, max({c})::DOUBLE AS data_max FROM filled GROUP BY home_id" for c in CH)}
 )
 """
 
