@@ -19,6 +19,14 @@ from ..operators.resample import count_missing, resample_mean
 from ..operators.scale import fit_minmax, minmax_scale
 from ..sources.readings import channel_dimension, filter_variables, rename_channels
 from ..sources.tables import EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table
+from ..functions.metrics import prediction_bounds, regression_metrics
+from ..operators.asof import merge_nearest
+from ..operators.features import (add_lag_features, add_rolling_features, add_target,
+                                  prepare_features)
+from ..operators.profile import describe
+from ..operators.sequences import make_sequences
+from ..operators.split import chrono_split, split_ranges
+from ..sources.tables import predictions_from_lineitem
 from .preprocess import preprocess
 
 CH = EVENT_CHANNELS
@@ -27,8 +35,10 @@ KEEP_CHANNELS = ["Aggregate", "Appliance1", "Appliance2", "Appliance9"]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
-                       else F.col(f.name) for f in df.schema.fields])
+    """Round doubles in two steps (9 places, then ``digits``) so summation-order
+    noise cannot flip a half-way case."""
+    return df.select(*[F.round(F.round(F.col(f.name), 9), digits).alias(f.name)
+                       if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in df.schema.fields])
 
 
 # --- building blocks -------------------------------------------------------
@@ -49,6 +59,18 @@ def processed(spark: SparkSession, sf: str) -> DataFrame:
     return preprocess(wide_readings(spark, sf), CH, interval=INTERVAL)
 
 
+TARGET = CH[0]
+LAGS, WINDOWS, HORIZON, SEQ_LEN = [1, 2, 3, 4], [4, 8, 12], 4, 24
+
+
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    return prepare_features(processed(spark, sf), TARGET, CH, LAGS, WINDOWS, HORIZON)
+
+
+def split_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return chrono_split(features(spark, sf))
+
+
 # --- queries ---------------------------------------------------------------
 
 def q_channel_filter(spark, sf):
@@ -114,6 +136,59 @@ def q_preprocessed_series(spark, sf):
     return rounded(processed(spark, sf))
 
 
+def q_lag_features(spark, sf):
+    return rounded(add_lag_features(filled(spark, sf), CH, LAGS))
+
+
+def q_rolling_features(spark, sf):
+    return rounded(add_rolling_features(filled(spark, sf), CH, WINDOWS))
+
+
+def q_future_target(spark, sf):
+    return rounded(add_target(filled(spark, sf), TARGET, HORIZON))
+
+
+def q_feature_matrix(spark, sf):
+    return rounded(features(spark, sf))
+
+
+def q_chrono_split(spark, sf):
+    return rounded(split_frame(spark, sf).select("home_id", "ts", "target", "split"))
+
+
+def q_split_ranges(spark, sf):
+    return split_ranges(split_frame(spark, sf))
+
+
+def q_sequences(spark, sf):
+    seq = make_sequences(split_frame(spark, sf), CH, SEQ_LEN)
+    flat = F.flatten("x")
+    return rounded(seq.select(
+        "home_id", "split", "ts", F.size("x").cast("long").alias("n_steps"),
+        F.aggregate(flat, F.lit(0.0), lambda a, b: a + b).alias("x_sum"),
+        F.col("x")[0][0].alias("x_first"), F.element_at(flat, -1).alias("x_last"), "y"))
+
+
+def q_asof_nearest(spark, sf):
+    ev = table(spark, sf, "events")
+    left = ev.filter(F.col("event_type") == "click").select("event_id", "ts", "user_id", "value")
+    right = ev.filter(F.col("event_type") == "view").select(
+        "ts", "value", F.col("event_id").alias("weather_seq"))
+    return rounded(merge_nearest(left, right, on="ts", tolerance="1h", right_order="weather_seq"))
+
+
+def q_regression_metrics(spark, sf):
+    return rounded(regression_metrics(predictions_from_lineitem(table(spark, sf, "lineitem")), ["split"]))
+
+
+def q_prediction_bounds(spark, sf):
+    return rounded(prediction_bounds(predictions_from_lineitem(table(spark, sf, "lineitem")), ["split"]))
+
+
+def q_profile(spark, sf):
+    return rounded(describe(filled(spark, sf), CH))
+
+
 QUERIES = {
     "channel_filter": q_channel_filter,
     "pivot_first": q_pivot_first,
@@ -129,4 +204,15 @@ QUERIES = {
     "minmax_fit": q_minmax_fit,
     "minmax_transform": q_minmax_transform,
     "preprocessed_series": q_preprocessed_series,
+    "lag_features": q_lag_features,
+    "rolling_features": q_rolling_features,
+    "future_target": q_future_target,
+    "feature_matrix": q_feature_matrix,
+    "chrono_split": q_chrono_split,
+    "split_ranges": q_split_ranges,
+    "sequences": q_sequences,
+    "asof_nearest": q_asof_nearest,
+    "regression_metrics": q_regression_metrics,
+    "prediction_bounds": q_prediction_bounds,
+    "profile": q_profile,
 }

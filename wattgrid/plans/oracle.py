@@ -14,8 +14,14 @@ TF_INT = ["hour", "day_of_week", "day_of_month", "month", "is_weekend"]
 TF_DBL = ["hour_sin", "hour_cos", "day_sin", "day_cos"]
 
 
+def R(expr: str) -> str:
+    """Round to 6 places in two steps (9 places first) so that summation-order
+    noise cannot flip a half-way case."""
+    return f"round(({expr})::DECIMAL(38,9), 6)::DOUBLE"
+
+
 def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
+    return f"{R(expr)} AS {alias}"
 
 
 def cols(fmt: str, names=CH, sep: str = ", ") -> str:
@@ -122,7 +128,7 @@ dim AS (
          CASE WHEN k = 1 THEN 'Aggregate' ELSE 'Appliance' || CAST(k - 1 AS VARCHAR) END AS channel
   FROM range(1, 11) t(k)
 )
-SELECT seq, raw.variable_id, home_id, channel, ts, round(watts, 6) AS watts
+SELECT seq, raw.variable_id, home_id, channel, ts, round((watts)::DECIMAL(38,9), 6)::DOUBLE AS watts
 FROM raw JOIN dim ON raw.variable_id = dim.variable_id
 WHERE regexp_matches(raw.variable_id, 'TimeSeriesVariable[1-9]$|TimeSeriesVariable10$')
   AND channel IN ('Aggregate', 'Appliance1', 'Appliance2', 'Appliance9')
@@ -134,7 +140,7 @@ WITH r AS (
          value AS watts, event_id AS seq
   FROM events WHERE event_type IN ({cols("'{c}'")}) AND value IS NOT NULL
 )
-SELECT home_id, ts, {cols("round(arg_min(watts, seq) FILTER (WHERE channel = '{c}'), 6) AS {c}")}
+SELECT home_id, ts, {cols("round((arg_min(watts, seq) FILTER (WHERE channel = '{c}'))::DECIMAL(38,9), 6)::DOUBLE AS {c}")}
 FROM r GROUP BY home_id, ts
 """
 
@@ -149,14 +155,14 @@ for _m in ("ffill", "bfill", "interpolate", "drop"):
 
 SQL["calendar_features"] = (f"WITH {HOURLY},\n{filled_cte('ffill')},\n"
                             f"c AS (SELECT filled.*, {calendar_sel()} FROM filled)\n"
-                            f"SELECT home_id, ts, {cols('round({c}, 6) AS {c}')}, {', '.join(TF_INT)}, "
+                            f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {', '.join(TF_INT)}, "
                             f"{', '.join(r6(c, c) for c in TF_DBL)} FROM c")
 
 SQL["outlier_filter"] = f"WITH {HOURLY},\n{filled_cte('ffill')},\n{outlier_cte('filled', 'clean')}\n" + \
     rounded_select("clean")
 
 SQL["minmax_fit"] = f"""WITH {HOURLY},\n{filled_cte('ffill')}
-SELECT home_id, "column", round(data_min, 6) AS data_min, round(data_max, 6) AS data_max FROM (
+SELECT home_id, "column", round((data_min)::DECIMAL(38,9), 6)::DOUBLE AS data_min, round((data_max)::DECIMAL(38,9), 6)::DOUBLE AS data_max FROM (
   {' UNION ALL '.join(f"SELECT home_id, '{c}' AS \"column\", min({c})::DOUBLE AS data_min, max({c})::DOUBLE AS data_max FROM filled GROUP BY home_id" for c in CH)}
 )
 """
@@ -165,5 +171,145 @@ SQL["minmax_transform"] = f"WITH {HOURLY},\n{filled_cte('ffill')},\n{minmax_cte(
     rounded_select("scaled")
 
 SQL["preprocessed_series"] = (f"WITH {processed_ctes()}\n"
-                              f"SELECT home_id, ts, {cols('round({c}, 6) AS {c}')}, {', '.join(TF_INT)}, "
+                              f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {', '.join(TF_INT)}, "
                               f"{', '.join(r6(c, c) for c in TF_DBL)} FROM processed")
+
+# --- features, split, sequences ------------------------------------------------
+
+LAGS, WINDOWS, HORIZON, SEQ_LEN = [1, 2, 3, 4], [4, 8, 12], 4, 24
+TARGET = CH[0]
+W_ORD = "OVER (PARTITION BY home_id ORDER BY ts)"
+
+
+def lag_sel() -> list[tuple[str, str]]:
+    return [(f"lag({c}, {k}) {W_ORD}", f"{c}_lag_{k}") for c in CH for k in LAGS]
+
+
+def rolling_sel() -> list[tuple[str, str]]:
+    out = []
+    for c in CH:
+        for w in WINDOWS:
+            frame = f"OVER (PARTITION BY home_id ORDER BY ts ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+            out += [(f"avg({c}) {frame}", f"{c}_rolling_mean_{w}"), (f"sum({c}) {frame}", f"{c}_rolling_sum_{w}"),
+                    (f"stddev_samp({c}) {frame}", f"{c}_rolling_std_{w}")]
+    return out
+
+
+def target_sel() -> tuple[str, str]:
+    return (f"lead({TARGET}, {HORIZON}) {W_ORD}", "target")
+
+
+def _with_filled() -> str:
+    return f"WITH {HOURLY},\n{filled_cte('ffill')}"
+
+
+def _derived_query(sel: list[tuple[str, str]]) -> str:
+    inner = ", ".join(f"{e} AS {a}" for e, a in sel)
+    outer = ", ".join(r6(a, a) for _, a in sel)
+    return (f"{_with_filled()},\nd AS (SELECT *, {inner} FROM filled)\n"
+            f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {outer} FROM d")
+
+
+SQL["lag_features"] = _derived_query(lag_sel())
+SQL["rolling_features"] = _derived_query(rolling_sel())
+SQL["future_target"] = _derived_query([target_sel()])
+
+FEATURE_SEL = lag_sel() + rolling_sel() + [target_sel()]
+FEATURE_NAMES = [a for _, a in FEATURE_SEL]
+
+
+def features_ctes() -> str:
+    inner = ", ".join(f"{e} AS {a}" for e, a in FEATURE_SEL)
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in [*CH, *TF_INT, *TF_DBL, *FEATURE_NAMES])
+    return (f"{processed_ctes()},\nfx AS (SELECT *, {inner} FROM processed),\n"
+            f"features AS (SELECT * FROM fx WHERE {not_null})")
+
+
+def split_ctes() -> str:
+    te = f"floor(n * {0.70!r})"
+    ve = f"floor(n * {0.70 + 0.15!r})"
+    return (f"{features_ctes()},\nsp AS (SELECT *, (row_number() OVER (PARTITION BY home_id ORDER BY ts) - 1) AS pos, "
+            f"count(*) OVER (PARTITION BY home_id)::DOUBLE AS n FROM features),\n"
+            f"split AS (SELECT * EXCLUDE (pos, n), CASE WHEN pos < {te} THEN 'train' WHEN pos < {ve} THEN 'val' "
+            f"ELSE 'test' END AS split FROM sp)")
+
+
+SQL["feature_matrix"] = (f"WITH {features_ctes()}\n"
+                         f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {', '.join(TF_INT)}, "
+                         f"{', '.join(r6(c, c) for c in TF_DBL)}, {', '.join(r6(a, a) for a in FEATURE_NAMES)} "
+                         f"FROM features")
+
+SQL["chrono_split"] = f"WITH {split_ctes()}\nSELECT home_id, ts, round((target)::DECIMAL(38,9), 6)::DOUBLE AS target, split FROM split"
+
+SQL["split_ranges"] = (f"WITH {split_ctes()}\nSELECT home_id, split, count(*)::BIGINT AS n_rows, "
+                       f"min(ts) AS first_ts, max(ts) AS last_ts FROM split GROUP BY home_id, split")
+
+_SEQ_FRAME = f"OVER (PARTITION BY home_id, split ORDER BY ts ROWS BETWEEN {SEQ_LEN} PRECEDING AND 1 PRECEDING)"
+SQL["sequences"] = f"""WITH {split_ctes()},
+sq AS (
+  SELECT home_id, split, ts,
+         count(*) {_SEQ_FRAME} AS n_steps,
+         sum({cols('{c}', sep=' + ')}) {_SEQ_FRAME} AS x_sum,
+         first_value({CH[0]}) {_SEQ_FRAME} AS x_first,
+         last_value({CH[-1]}) {_SEQ_FRAME} AS x_last,
+         target AS y
+  FROM split
+)
+SELECT home_id, split, ts, n_steps::BIGINT AS n_steps, round((x_sum)::DECIMAL(38,9), 6)::DOUBLE AS x_sum, round((x_first)::DECIMAL(38,9), 6)::DOUBLE AS x_first,
+       round((x_last)::DECIMAL(38,9), 6)::DOUBLE AS x_last, round((y)::DECIMAL(38,9), 6)::DOUBLE AS y
+FROM sq WHERE n_steps = {SEQ_LEN}
+"""
+
+# --- as-of, metrics, profile --------------------------------------------------------
+
+SQL["asof_nearest"] = """
+WITH l AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'click'),
+r AS (SELECT ts AS rts, value AS rvalue, event_id AS weather_seq FROM events WHERE event_type = 'view'),
+prev AS (
+  SELECT l.event_id, r.rts, r.rvalue, r.weather_seq,
+         row_number() OVER (PARTITION BY l.event_id ORDER BY r.rts DESC, r.weather_seq DESC) AS rn
+  FROM l JOIN r ON r.rts <= l.ts AND r.rts >= l.ts - INTERVAL 1 hour
+),
+nxt AS (
+  SELECT l.event_id, r.rts, r.rvalue, r.weather_seq,
+         row_number() OVER (PARTITION BY l.event_id ORDER BY r.rts ASC, r.weather_seq ASC) AS rn
+  FROM l JOIN r ON r.rts > l.ts AND r.rts <= l.ts + INTERVAL 1 hour
+),
+m AS (
+  SELECT l.*, p.rts AS p_ts, p.rvalue AS p_v, p.weather_seq AS p_s, n.rts AS n_ts, n.rvalue AS n_v,
+         n.weather_seq AS n_s,
+         (p.rts IS NOT NULL AND (n.rts IS NULL OR (l.ts - p.rts) <= (n.rts - l.ts))) AS use_prev
+  FROM l LEFT JOIN prev p ON p.event_id = l.event_id AND p.rn = 1
+         LEFT JOIN nxt n ON n.event_id = l.event_id AND n.rn = 1
+)
+SELECT event_id, user_id, ts, round((value)::DECIMAL(38,9), 6)::DOUBLE AS value_x,
+       round((CASE WHEN use_prev THEN p_v ELSE n_v END)::DECIMAL(38,9), 6)::DOUBLE AS value_y,
+       CASE WHEN use_prev THEN p_s ELSE n_s END AS weather_seq
+FROM m
+"""
+
+_PRED = """preds AS (
+  SELECT l_returnflag AS split, l_extendedprice * (1 - l_discount) AS y_true, l_extendedprice * 0.95 AS y_pred
+  FROM lineitem
+)"""
+
+SQL["regression_metrics"] = f"""WITH {_PRED}
+SELECT split, round((sqrt(avg((y_true - y_pred) * (y_true - y_pred))))::DECIMAL(38,9), 6)::DOUBLE AS rmse,
+       round((avg(abs(y_true - y_pred)))::DECIMAL(38,9), 6)::DOUBLE AS mae,
+       round((coalesce(avg(CASE WHEN y_true <> 0 THEN abs((y_true - y_pred) / y_true) END) * 100, 0.0))::DECIMAL(38,9), 6)::DOUBLE AS mape
+FROM preds GROUP BY split
+"""
+
+SQL["prediction_bounds"] = f"""WITH {_PRED}
+SELECT split, round((least(min(y_true), min(y_pred)))::DECIMAL(38,9), 6)::DOUBLE AS min_val,
+       round((greatest(max(y_true), max(y_pred)))::DECIMAL(38,9), 6)::DOUBLE AS max_val
+FROM preds GROUP BY split
+"""
+
+SQL["profile"] = f"""{_with_filled()},
+long AS (UNPIVOT filled ON {cols('{c}')} INTO NAME "column" VALUE v)
+SELECT home_id, "column", count(v)::BIGINT AS count, round((avg(v))::DECIMAL(38,9), 6)::DOUBLE AS mean, round((stddev_samp(v))::DECIMAL(38,9), 6)::DOUBLE AS std,
+       round((min(v))::DECIMAL(38,9), 6)::DOUBLE AS min, round((quantile_cont(v, 0.25))::DECIMAL(38,9), 6)::DOUBLE AS q25, round((quantile_cont(v, 0.5))::DECIMAL(38,9), 6)::DOUBLE AS q50,
+       round((quantile_cont(v, 0.75))::DECIMAL(38,9), 6)::DOUBLE AS q75, round((max(v))::DECIMAL(38,9), 6)::DOUBLE AS max
+FROM long GROUP BY home_id, "column"
+"""
