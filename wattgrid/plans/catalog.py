@@ -27,7 +27,13 @@ from ..operators.profile import describe
 from ..operators.sequences import make_sequences
 from ..operators.split import chrono_split, split_ranges
 from ..sources.tables import predictions_from_lineitem
+from ..operators.schedule import (baseline_schedule, cheapest_hours, optimize_schedules,
+                                  validate_appliances, validate_tariffs)
+from ..sources.tables import (appliances_from_part, plans_from_appliances, tariff_table,
+                              tariffs_from_events)
+from . import reports
 from .preprocess import preprocess
+from .scenarios import SCENARIOS, scenario_plans
 
 CH = EVENT_CHANNELS
 INTERVAL = "1h"
@@ -189,6 +195,98 @@ def q_profile(spark, sf):
     return rounded(describe(filled(spark, sf), CH))
 
 
+# --- schedules -------------------------------------------------------------
+
+def schedule_inputs(spark, sf):
+    apps = appliances_from_part(table(spark, sf, "part"))
+    return apps, tariff_table(spark), plans_from_appliances(apps)
+
+
+def optimized(spark, sf):
+    apps, tariffs, plans = schedule_inputs(spark, sf)
+    return optimize_schedules(apps, tariffs, plans)
+
+
+def q_constraint_violations(spark, sf):
+    return validate_appliances(appliances_from_part(table(spark, sf, "part")))
+
+
+def q_tariff_check(spark, sf):
+    return validate_tariffs(tariffs_from_events(table(spark, sf, "events")))
+
+
+def q_baseline_schedule(spark, sf):
+    return baseline_schedule(*schedule_inputs(spark, sf))
+
+
+def q_baseline_cost(spark, sf):
+    b = optimized(spark, sf).homes
+    return rounded(b.filter(F.col("status") != "invalid").select("home_id", "original_cost"))
+
+
+def q_schedule_uncapped(spark, sf):
+    return cheapest_hours(*schedule_inputs(spark, sf))
+
+
+def q_schedule_capped_cost(spark, sf):
+    return rounded(optimized(spark, sf).homes)
+
+
+def q_cap_check(spark, sf):
+    res = optimized(spark, sf)
+    per_hour = reports.appliances_per_hour(res.schedule)
+    home_cap = res.homes.filter(F.col("status") == "optimal").select("home_id", "cap")
+    return (per_hour.join(home_cap, "home_id")
+            .groupBy("home_id", "cap")
+            .agg(F.max("n_on").alias("max_on"),
+                 F.sum((F.col("n_on") > F.col("cap")).cast("long")).alias("n_over")))
+
+
+def q_schedule_matrix(spark, sf):
+    return reports.schedule_matrix(optimized(spark, sf).schedule)
+
+
+def q_schedule_wide(spark, sf):
+    return rounded(reports.schedule_wide(optimized(spark, sf).schedule, [0, 1, 2], pivot_col="slot",
+                                         names=["slot_0", "slot_1", "slot_2"]))
+
+
+def q_schedule_summary(spark, sf):
+    return rounded(reports.schedule_summary(optimized(spark, sf).schedule))
+
+
+def q_savings_and_peak(spark, sf):
+    return rounded(reports.savings_and_peak(optimized(spark, sf).schedule))
+
+
+def q_hourly_power_cost(spark, sf):
+    return rounded(reports.hourly_power_cost(optimized(spark, sf).schedule))
+
+
+def q_results_summary(spark, sf):
+    preds = predictions_from_lineitem(table(spark, sf, "lineitem"))
+    metrics = regression_metrics(preds)
+    homes = optimized(spark, sf).homes.filter(F.col("status") == "optimal")
+    totals = homes.agg(F.sum("original_cost").alias("original_cost"),
+                       F.sum("optimized_cost").alias("optimized_cost"))
+    savings = totals.withColumns(reports.savings_metrics(F.col("original_cost"), F.col("optimized_cost")))
+    return reports.results_summary(metrics, savings)
+
+
+def q_scenario_costs(spark, sf):
+    apps = appliances_from_part(table(spark, sf, "part"))
+    keyed, plans = scenario_plans(apps, SCENARIOS)
+    res = optimize_schedules(keyed, tariff_table(spark), plans, keys=["scenario_id", "home_id"])
+    h = res.homes
+    return rounded(h.groupBy("scenario_id").agg(
+        F.count(F.lit(1)).alias("n_homes"),
+        F.sum((F.col("status") == "optimal").cast("long")).alias("n_optimal"),
+        F.sum((F.col("status") == "infeasible").cast("long")).alias("n_infeasible"),
+        F.sum((F.col("path") == "flow").cast("long")).alias("n_flow"),
+        F.sum(F.when(F.col("status") == "optimal", F.col("original_cost"))).alias("total_original"),
+        F.sum("optimized_cost").alias("total_optimized")))
+
+
 QUERIES = {
     "channel_filter": q_channel_filter,
     "pivot_first": q_pivot_first,
@@ -215,4 +313,18 @@ QUERIES = {
     "regression_metrics": q_regression_metrics,
     "prediction_bounds": q_prediction_bounds,
     "profile": q_profile,
+    "constraint_violations": q_constraint_violations,
+    "tariff_check": q_tariff_check,
+    "baseline_schedule": q_baseline_schedule,
+    "baseline_cost": q_baseline_cost,
+    "schedule_uncapped": q_schedule_uncapped,
+    "schedule_capped_cost": q_schedule_capped_cost,
+    "cap_check": q_cap_check,
+    "schedule_matrix": q_schedule_matrix,
+    "schedule_wide": q_schedule_wide,
+    "schedule_summary": q_schedule_summary,
+    "savings_and_peak": q_savings_and_peak,
+    "hourly_power_cost": q_hourly_power_cost,
+    "results_summary": q_results_summary,
+    "scenario_costs": q_scenario_costs,
 }

@@ -313,3 +313,257 @@ SELECT home_id, "column", count(v)::BIGINT AS count, round((avg(v))::DECIMAL(38,
        round((quantile_cont(v, 0.75))::DECIMAL(38,9), 6)::DOUBLE AS q75, round((max(v))::DECIMAL(38,9), 6)::DOUBLE AS max
 FROM long GROUP BY home_id, "column"
 """
+
+# --- schedules: brute force over every hour choice ----------------------------------
+# Homes have at most three appliances needing 1-2 hours within windows of at
+# most five hours, so every combination can be listed.  The canonical optimum:
+# minimum integer cost, then minimum sum of 2^(ordinal*24 + hour).
+
+from ..constants import TARIFFS  # noqa: E402
+
+
+def _tariff_values() -> str:
+    rows = ", ".join(f"('{n}', {h}, {p!r}::DOUBLE)" for n in ("default", "flat", "steep")
+                     for h, p in enumerate(TARIFFS[n]))
+    return f"tariffs AS (SELECT * FROM (VALUES {rows}) t(tariff_id, hour, price))"
+
+
+APPS = """apps AS (
+  SELECT (p_partkey // 3)::BIGINT AS home_id, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS appliance,
+         (p_partkey % 3)::INTEGER AS slot,
+         1.0::DOUBLE + (p_size % 3)::DOUBLE * 0.5::DOUBLE AS runtime_hours,
+         ((p_size * 7) % 24)::INTEGER AS earliest_start,
+         ((p_size * 7) % 24 + 1 + p_size % 5)::INTEGER AS latest_finish,
+         500.0::DOUBLE + (p_partkey % 8)::DOUBLE * 250.0::DOUBLE AS power_rating
+  FROM part
+),
+chk AS (
+  SELECT *, CASE WHEN earliest_start < 0 OR earliest_start >= 24 THEN 'Invalid earliest_start'
+                 WHEN latest_finish <= 0 OR latest_finish > 24 THEN 'Invalid latest_finish'
+                 WHEN runtime_hours <= 0 THEN 'Invalid runtime_hours'
+                 WHEN earliest_start + runtime_hours > latest_finish THEN 'Impossible time window' END AS violation
+  FROM apps
+)"""
+
+
+def sched_ctes(plans_sql: str | None = None, key: str = "home_id") -> str:
+    """CTE chain ending in ``status`` (one row per home) and ``sched`` (the
+    24-hour grid of optimal homes with baseline_on / is_on)."""
+    plans = plans_sql or """plans AS (
+  SELECT home_id, CASE home_id % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'flat' ELSE 'steep' END AS tariff_id,
+         (1 + home_id % 2)::INTEGER AS cap
+  FROM (SELECT DISTINCT home_id FROM apps)
+)"""
+    k = key
+    return f"""{APPS},
+{plans},
+{_tariff_values()},
+homes AS (
+  SELECT p.*, count(c.violation) = 0 AS valid_home, sum(ceil(c.runtime_hours)) AS total_need
+  FROM plans p JOIN chk c ON c.home_id = p.home_id GROUP BY ALL
+),
+grid AS (
+  SELECT h.{k}, c.home_id AS _h, c.appliance, c.slot, h.cap, ceil(c.runtime_hours)::INTEGER AS need,
+         c.power_rating, c.power_rating / 1000.0::DOUBLE AS kw, c.runtime_hours, c.earliest_start, c.latest_finish,
+         t.hour, t.price,
+         (t.hour >= c.earliest_start AND t.hour < c.latest_finish) AS in_window,
+         (t.hour >= c.earliest_start AND t.hour < c.earliest_start + ceil(c.runtime_hours))::INTEGER AS baseline_on,
+         round(c.power_rating * t.price * 1000000.0::DOUBLE)::BIGINT AS cost_units
+  FROM chk c JOIN homes h ON c.home_id = h.home_id AND h.valid_home
+       JOIN tariffs t ON t.tariff_id = h.tariff_id
+),
+ranked AS (
+  SELECT *, (in_window AND row_number() OVER (PARTITION BY {k}, appliance ORDER BY in_window DESC, price, hour)
+             <= need)::INTEGER AS ranked_on
+  FROM grid
+),
+ranked_peak AS (
+  SELECT {k}, max(n) AS ranked_max FROM (SELECT {k}, hour, sum(ranked_on) AS n FROM ranked GROUP BY ALL) GROUP BY ALL
+),
+ords AS (
+  SELECT {k}, appliance, (row_number() OVER (PARTITION BY {k} ORDER BY appliance) - 1) AS ord
+  FROM (SELECT DISTINCT {k}, appliance FROM grid)
+),
+cells AS (
+  SELECT g.*, o.ord FROM grid g JOIN ords o USING ({k}, appliance) WHERE in_window
+),
+cand AS (
+  SELECT a.{k}, a.appliance, a.ord, a.hour AS h1, b.hour AS h2,
+         a.cost_units + coalesce(b.cost_units, 0) AS cu,
+         (1::HUGEINT << (a.ord * 24 + a.hour)) + coalesce(1::HUGEINT << (b.ord * 24 + b.hour), 0::HUGEINT) AS bits,
+         (1::BIGINT << a.hour) | coalesce(1::BIGINT << b.hour, 0::BIGINT) AS mask
+  FROM cells a LEFT JOIN cells b
+    ON a.need = 2 AND b.{k} = a.{k} AND b.appliance = a.appliance AND b.hour > a.hour
+  WHERE (a.need = 1 AND b.hour IS NULL) OR (a.need = 2 AND b.hour IS NOT NULL)
+),
+combos AS (
+  SELECT c0.{k}, h.cap,
+         c0.appliance AS a0, c0.h1 AS a0h1, c0.h2 AS a0h2, c1.appliance AS a1, c1.h1 AS a1h1, c1.h2 AS a1h2,
+         c2.appliance AS a2, c2.h1 AS a2h1, c2.h2 AS a2h2,
+         c0.cu + coalesce(c1.cu, 0) + coalesce(c2.cu, 0) AS cu,
+         c0.bits + coalesce(c1.bits, 0::HUGEINT) + coalesce(c2.bits, 0::HUGEINT) AS bits,
+         c0.mask AS m0, coalesce(c1.mask, 0::BIGINT) AS m1, coalesce(c2.mask, 0::BIGINT) AS m2
+  FROM cand c0 JOIN homes h ON h.{k} = c0.{k}
+       LEFT JOIN cand c1 ON c1.{k} = c0.{k} AND c1.ord = 1
+       LEFT JOIN cand c2 ON c2.{k} = c0.{k} AND c2.ord = 2
+  WHERE c0.ord = 0
+),
+best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY cu, bits) AS rn FROM combos
+    WHERE CASE WHEN cap >= 3 THEN true
+               WHEN cap = 2 THEN (m0 & m1 & m2) = 0
+               ELSE (m0 & m1) = 0 AND (m0 & m2) = 0 AND (m1 & m2) = 0 END
+  ) WHERE rn = 1
+),
+chosen AS (
+  SELECT {k}, appliance, hour FROM (
+    SELECT {k}, a0 AS appliance, a0h1 AS hour FROM best UNION ALL SELECT {k}, a0, a0h2 FROM best
+    UNION ALL SELECT {k}, a1, a1h1 FROM best UNION ALL SELECT {k}, a1, a1h2 FROM best
+    UNION ALL SELECT {k}, a2, a2h1 FROM best UNION ALL SELECT {k}, a2, a2h2 FROM best
+  ) WHERE appliance IS NOT NULL AND hour IS NOT NULL
+),
+sched AS (
+  SELECT g.*, (c.hour IS NOT NULL)::INTEGER AS is_on
+  FROM grid g JOIN (SELECT {k} FROM best) b USING ({k})
+       LEFT JOIN chosen c ON c.{k} = g.{k} AND c.appliance = g.appliance AND c.hour = g.hour
+),
+orig AS (SELECT {k}, sum(baseline_on * kw * price) AS original_cost FROM grid GROUP BY ALL),
+opt AS (
+  SELECT {k}, sum(c) AS optimized_cost, max(n) AS max_on
+  FROM (SELECT {k}, hour, sum(is_on * kw * price) AS c, sum(is_on) AS n FROM sched GROUP BY ALL) GROUP BY ALL
+),
+status AS (
+  SELECT h.{k}, h.cap,
+         CASE WHEN NOT h.valid_home THEN 'invalid' WHEN b.{k} IS NOT NULL THEN 'optimal' ELSE 'infeasible' END
+           AS status,
+         CASE WHEN b.{k} IS NOT NULL THEN CASE WHEN rp.ranked_max <= h.cap THEN 'ranked' ELSE 'flow' END END
+           AS path,
+         o.original_cost, p.optimized_cost, p.max_on
+  FROM homes h LEFT JOIN (SELECT {k} FROM best) b ON b.{k} = h.{k}
+       LEFT JOIN ranked_peak rp ON rp.{k} = h.{k}
+       LEFT JOIN orig o ON o.{k} = h.{k}
+       LEFT JOIN opt p ON p.{k} = h.{k}
+)"""
+
+
+SQL["constraint_violations"] = f"""WITH {APPS}
+SELECT home_id, appliance, slot, runtime_hours, earliest_start, latest_finish, power_rating, violation FROM chk
+"""
+
+SQL["tariff_check"] = """
+WITH t AS (SELECT event_type AS tariff_id, hour(ts)::INTEGER AS hour, avg(value) / 1000.0 AS price
+           FROM events GROUP BY 1, 2)
+SELECT tariff_id, count(*)::BIGINT AS n_rows, count(DISTINCT hour)::BIGINT AS n_hours, min(hour) AS min_hour,
+       max(hour) AS max_hour,
+       count(*) = 24 AND count(DISTINCT hour) = 24 AND min(hour) = 0 AND max(hour) = 23 AS valid
+FROM t GROUP BY tariff_id
+"""
+
+SQL["baseline_schedule"] = f"WITH {sched_ctes()}\nSELECT home_id, appliance, hour, baseline_on AS is_on FROM grid"
+
+SQL["baseline_cost"] = (f"WITH {sched_ctes()}\nSELECT home_id, {R('original_cost')} AS original_cost FROM status "
+                        f"WHERE status <> 'invalid'")
+
+SQL["schedule_uncapped"] = f"WITH {sched_ctes()}\nSELECT home_id, appliance, hour FROM ranked WHERE ranked_on = 1"
+
+SQL["schedule_capped_cost"] = f"""WITH {sched_ctes()}
+SELECT home_id, status, path, cap, max_on, {R('original_cost')} AS original_cost,
+       {R('optimized_cost')} AS optimized_cost
+FROM status"""
+
+SQL["cap_check"] = f"""WITH {sched_ctes()}
+SELECT home_id, cap, max(n) AS max_on, sum((n > cap)::BIGINT)::BIGINT AS n_over
+FROM (SELECT s.home_id, s.cap, s.hour, sum(s.is_on) AS n FROM sched s GROUP BY ALL)
+GROUP BY home_id, cap"""
+
+SQL["schedule_matrix"] = (f"WITH {sched_ctes()}\nSELECT home_id, appliance, "
+                          + ", ".join(f"max(is_on) FILTER (WHERE hour = {h}) AS h{h:02d}" for h in range(24))
+                          + " FROM sched GROUP BY home_id, appliance")
+
+SQL["schedule_wide"] = (f"WITH {sched_ctes()}\nSELECT home_id, hour, {R('price')} AS price, "
+                        + ", ".join(f"max(is_on) FILTER (WHERE slot = {s}) AS slot_{s}" for s in range(3))
+                        + " FROM sched GROUP BY home_id, hour, price")
+
+
+def _clock(x: str) -> str:
+    return f"coalesce(lpad(CAST({x} AS VARCHAR), 2, '0') || ':00', 'N/A')"
+
+
+SQL["schedule_summary"] = f"""WITH {sched_ctes()},
+a AS (
+  SELECT home_id, appliance, first(power_rating) AS power_w, first(runtime_hours) AS runtime_h,
+         min(hour) FILTER (WHERE baseline_on = 1) AS os, max(hour) FILTER (WHERE baseline_on = 1) + 1 AS oe,
+         min(hour) FILTER (WHERE is_on = 1) AS ns, max(hour) FILTER (WHERE is_on = 1) + 1 AS ne,
+         sum(baseline_on * kw * price) AS oc, sum(is_on * kw * price) AS nc
+  FROM sched GROUP BY home_id, appliance
+)
+SELECT home_id, appliance, {R('power_w')} AS power_w, {R('runtime_h')} AS runtime_h,
+       {_clock('os')} AS original_start, {_clock('oe')} AS original_end,
+       {_clock('ns')} AS optimized_start, {_clock('ne')} AS optimized_end,
+       printf('%.4f', oc) AS original_cost, printf('%.4f', nc) AS optimized_cost, printf('%.4f', oc - nc) AS savings
+FROM a"""
+
+SQL["savings_and_peak"] = f"""WITH {sched_ctes()},
+hr AS (
+  SELECT home_id, hour, sum(baseline_on) AS n_o, sum(is_on) AS n_n, sum(baseline_on * kw * price) AS c_o,
+         sum(is_on * kw * price) AS c_n
+  FROM sched GROUP BY home_id, hour
+),
+agg AS (
+  SELECT home_id, sum(c_o) AS oc, sum(c_n) AS nc,
+         coalesce(max(n_o)::DOUBLE / avg(n_o) FILTER (WHERE n_o > 0), 0.0) AS opa,
+         coalesce(max(n_n)::DOUBLE / avg(n_n) FILTER (WHERE n_n > 0), 0.0) AS npa
+  FROM hr GROUP BY home_id
+)
+SELECT home_id, {R('oc')} AS original_cost, {R('nc')} AS optimized_cost, {R('oc - nc')} AS absolute_savings,
+       {R('CASE WHEN oc > 0 THEN (oc - nc) / oc * 100 ELSE 0.0 END')} AS percent_savings,
+       {R('opa')} AS original_peak_to_avg, {R('npa')} AS optimized_peak_to_avg
+FROM agg"""
+
+SQL["hourly_power_cost"] = f"""WITH {sched_ctes()}
+SELECT home_id, hour, {R('sum(baseline_on * kw)')} AS original_kw, {R('sum(is_on * kw)')} AS optimized_kw,
+       {R('sum(baseline_on * kw * price)')} AS original_cost, {R('sum(is_on * kw * price)')} AS optimized_cost
+FROM sched GROUP BY home_id, hour"""
+
+SQL["results_summary"] = f"""WITH {sched_ctes()},
+{_PRED},
+m AS (
+  SELECT sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, avg(abs(y_true - y_pred)) AS mae,
+         coalesce(avg(CASE WHEN y_true <> 0 THEN abs((y_true - y_pred) / y_true) END) * 100, 0.0) AS mape
+  FROM preds
+),
+s AS (
+  SELECT sum(original_cost) AS oc, sum(optimized_cost) AS nc FROM status WHERE status = 'optimal'
+)
+SELECT * FROM (
+  SELECT 0 AS position, 'Prediction RMSE' AS Metric, printf('%.4f', rmse) AS Value FROM m
+  UNION ALL SELECT 1, 'Prediction MAE', printf('%.4f', mae) FROM m
+  UNION ALL SELECT 2, 'Prediction MAPE (%)', printf('%.2f', mape) FROM m
+  UNION ALL SELECT 3, 'Original Cost (£)', printf('%.4f', oc) FROM s
+  UNION ALL SELECT 4, 'Optimized Cost (£)', printf('%.4f', nc) FROM s
+  UNION ALL SELECT 5, 'Absolute Savings (£)', printf('%.4f', oc - nc) FROM s
+  UNION ALL SELECT 6, 'Percent Savings (%)', printf('%.2f', CASE WHEN oc > 0 THEN (oc - nc) / oc * 100 ELSE 0 END)
+  FROM s
+)"""
+
+from .scenarios import SCENARIOS  # noqa: E402
+
+
+def _scenario_plans() -> str:
+    vals = ", ".join(f"('{s}', '{t}', {(m if a else 1)})" for s, t, a, m in SCENARIOS)
+    return f"""plans AS (
+  SELECT s.scenario_id || '|' || CAST(d.home_id AS VARCHAR) AS sk, s.scenario_id, d.home_id, s.tariff_id,
+         s.cap::INTEGER AS cap
+  FROM (SELECT DISTINCT home_id FROM apps) d, (VALUES {vals}) s(scenario_id, tariff_id, cap)
+)"""
+
+
+SQL["scenario_costs"] = f"""WITH {sched_ctes(_scenario_plans(), key='sk')}
+SELECT p.scenario_id, count(*)::BIGINT AS n_homes, sum((st.status = 'optimal')::BIGINT)::BIGINT AS n_optimal,
+       sum((st.status = 'infeasible')::BIGINT)::BIGINT AS n_infeasible,
+       sum((st.path = 'flow')::BIGINT)::BIGINT AS n_flow,
+       {R("sum(st.original_cost) FILTER (WHERE st.status = 'optimal')")} AS total_original,
+       {R('sum(st.optimized_cost)')} AS total_optimized
+FROM status st JOIN plans p USING (sk)
+GROUP BY p.scenario_id"""

@@ -59,13 +59,16 @@ def combined_rows_from_events(events: DataFrame) -> DataFrame:
 
 
 def appliances_from_part(part: DataFrame) -> DataFrame:
-    """Appliance table ``(home_id, appliance, runtime_hours, earliest_start,
-    latest_finish, power_rating)``; some rows fail validation on purpose."""
+    """Appliance table ``(home_id, appliance, slot, runtime_hours,
+    earliest_start, latest_finish, power_rating)``; some rows fail validation
+    on purpose.  Homes grow with the table; each has at most three appliances
+    with windows of at most five hours."""
     size = F.col("p_size")
     earliest = (size * 7) % 24
     return part.select(
         (F.col("p_partkey") / APPLIANCES_PER_HOME).cast("long").alias("home_id"),
         F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("appliance"),
+        (F.col("p_partkey") % APPLIANCES_PER_HOME).cast("int").alias("slot"),
         (F.lit(1.0) + (size % 3).cast("double") * 0.5).alias("runtime_hours"),
         earliest.cast("int").alias("earliest_start"),
         (earliest + 1 + size % 5).cast("int").alias("latest_finish"),
