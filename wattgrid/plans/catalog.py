@@ -31,7 +31,9 @@ from ..operators.schedule import (baseline_schedule, cheapest_hours, optimize_sc
                                   validate_appliances, validate_tariffs)
 from ..sources.tables import (appliances_from_part, plans_from_appliances, tariff_table,
                               tariffs_from_events)
-from . import reports
+from ..operators.features import feature_names
+from ..session import materialize
+from . import forecast, reports
 from .preprocess import preprocess
 from .scenarios import SCENARIOS, scenario_plans
 
@@ -195,6 +197,28 @@ def q_profile(spark, sf):
     return rounded(describe(filled(spark, sf), CH))
 
 
+# --- forecast (rows-only check: Spark ML has no SQL form) -------------------
+
+GBT_DRIVER_PARAMS = {"maxIter": 20}
+
+
+def fitted(spark, sf):
+    frame = materialize(split_frame(spark, sf))
+    feats = feature_names(frame)
+    model = forecast.train_forecaster(frame, feats, params=GBT_DRIVER_PARAMS)
+    return frame, feats, model
+
+
+def q_forecast_gbt(spark, sf):
+    frame, _, model = fitted(spark, sf)
+    return rounded(forecast.evaluate(forecast.predict(model, frame)))
+
+
+def q_importance_topn(spark, sf):
+    _, feats, model = fitted(spark, sf)
+    return rounded(forecast.feature_importances(spark, model, feats, 20))
+
+
 # --- schedules -------------------------------------------------------------
 
 def schedule_inputs(spark, sf):
@@ -327,4 +351,6 @@ QUERIES = {
     "hourly_power_cost": q_hourly_power_cost,
     "results_summary": q_results_summary,
     "scenario_costs": q_scenario_costs,
+    "forecast_gbt": q_forecast_gbt,
+    "importance_topn": q_importance_topn,
 }
