@@ -12,7 +12,8 @@ and priced by an equi-join with the tariffs.  Each appliance takes its
 ``ceil(runtime)`` cheapest allowed hours (``row_number`` over the appliance
 ordered by price, hour).  Homes where that never puts more than ``cap``
 appliances in one hour are optimal as they are.  Only the remaining homes go
-through an exact min-cost flow, one ``applyInPandas`` group per home.  A home
+through an exact min-cost flow (``mapInPandas`` over home-sorted partitions,
+one whole home at a time).  A home
 that needs more than ``24 * cap`` appliance-hours is infeasible without
 solving, so a flow group never exceeds ``24 * cap`` appliances x 24 cells.
 
@@ -27,12 +28,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..util import checked_broadcast
 from .flow import min_cost_assignment
 
 HOURS = 24
@@ -79,42 +82,47 @@ def effective_cap(plans: DataFrame) -> DataFrame:
         .otherwise(F.lit(1)).cast("int"))
 
 
-def home_checks(appliances: DataFrame, plans: DataFrame, tariffs: DataFrame,
+def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
                 keys: Sequence[str] = ("home_id",)) -> DataFrame:
-    """Per home: cap, appliance count, demand, and ``invalid`` when any
-    appliance or the tariff fails validation."""
-    checked = validate_appliances(appliances)
+    """Per home: cap, appliance count, demand; ``valid_home`` is false when
+    any appliance or the tariff fails validation; ``solvable`` also needs
+    the demand to fit ``24 * cap`` (else infeasible without solving)."""
     per_home = checked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_appliances"),
         F.sum(F.col("violation").isNotNull().cast("int")).alias("n_invalid"),
         F.sum(F.ceil("runtime_hours")).alias("total_need"))
-    tv = validate_tariffs(tariffs).select("tariff_id", F.col("valid").alias("tariff_valid"))
-    p = effective_cap(plans).join(per_home, list(keys)).join(tv, "tariff_id", "left")
-    invalid = (F.col("n_invalid") > 0) | ~F.coalesce(F.col("tariff_valid"), F.lit(False))
-    return p.withColumn("valid_home", ~invalid)
-
-
-def hour_grid(appliances: DataFrame, homes: DataFrame, tariffs: DataFrame,
-              keys: Sequence[str] = ("home_id",)) -> DataFrame:
-    """(appliance x hour) rows of valid homes with price, window and baseline.
-
-    J6 by ``explode(sequence(0, 23))``; J4 an equi-join on (tariff, hour);
-    W11 baseline: ON from ``earliest`` for ``ceil(runtime)`` hours."""
-    h = homes.filter("valid_home").select(*keys, "tariff_id", "cap")
-    apps = appliances.join(h, list(keys))
-    es, lf = F.col("earliest_start"), F.col("latest_finish")
-    need = F.ceil("runtime_hours").cast("int")
+    tv = tariff_status.select("tariff_id", F.col("valid").alias("tariff_valid"))
+    p = effective_cap(plans).join(per_home, list(keys)).join(F.broadcast(tv), "tariff_id", "left")
+    valid = (F.col("n_invalid") == 0) & F.coalesce(F.col("tariff_valid"), F.lit(False))
+    return p.withColumns({"valid_home": valid,
+                          "solvable": valid & (F.col("total_need") <= HOURS * F.col("cap"))})
+
+
+def _priced_tariffs(tariffs: DataFrame, tariff_status: DataFrame) -> DataFrame:
+    ok = tariff_status.filter("valid").select("tariff_id")
+    return checked_broadcast(tariffs.join(F.broadcast(ok), "tariff_id", "left_semi")
+                             .select("tariff_id", "hour", F.col("price").cast("double").alias("price")))
+
+
+def hour_grid(checked: DataFrame, homes: DataFrame, priced: DataFrame,
+              keys: Sequence[str] = ("home_id",), only: str = "solvable") -> DataFrame:
+    """(appliance x hour) rows with price, window, baseline and cost units.
+
+    J6 + J4 in one step: each appliance meets the 24 rows of its home's
+    tariff (a broadcast of a size-checked table).  W11 baseline: ON from
+    ``earliest`` for ``ceil(runtime)`` hours."""
+    h = homes.filter(only).select(*keys, "tariff_id", "cap")
     std = {*keys, "appliance", "tariff_id", "cap", "violation", *REQUIRED}
-    extra = [c for c in appliances.columns if c not in std]
-    grid = apps.select(*keys, "appliance", *extra, "tariff_id", "cap", need.alias("need"),
-                       F.col("power_rating").cast("double").alias("power_rating"),
-                       (F.col("power_rating") / 1000.0).alias("kw"),
-                       es.cast("double").alias("earliest_start"), lf.cast("double").alias("latest_finish"),
-                       F.col("runtime_hours").cast("double").alias("runtime_hours"),
-                       F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))).alias("hour"))
-    priced = grid.join(tariffs.select("tariff_id", "hour", "price"), ["tariff_id", "hour"])
+    extra = [c for c in checked.columns if c not in std]
+    es, lf = F.col("earliest_start").cast("double"), F.col("latest_finish").cast("double")
+    apps = checked.join(h, list(keys)).select(
+        *keys, "appliance", *extra, "tariff_id", "cap", F.ceil("runtime_hours").cast("int").alias("need"),
+        F.col("power_rating").cast("double").alias("power_rating"),
+        (F.col("power_rating") / 1000.0).alias("kw"), es.alias("earliest_start"), lf.alias("latest_finish"),
+        F.col("runtime_hours").cast("double").alias("runtime_hours"))
+    grid = apps.join(priced, "tariff_id")
     hour = F.col("hour")
-    return priced.withColumns({
+    return grid.withColumns({
         "in_window": (hour >= F.col("earliest_start")) & (hour < F.col("latest_finish")),
         "baseline_on": ((hour >= F.col("earliest_start")) & (hour < F.col("earliest_start") + F.col("need")))
         .cast("int"),
@@ -132,32 +140,57 @@ def rank_cheapest(grid: DataFrame, keys: Sequence[str] = ("home_id",)) -> DataFr
 
 # --- O3: exact flow for homes where the cap binds -------------------------
 
-def _flow_schema(grid: DataFrame, keys: Sequence[str]) -> T.StructType:
-    fields = [grid.schema[k] for k in keys]
-    return T.StructType([*fields, T.StructField("appliance", T.StringType()),
-                         T.StructField("hour", T.IntegerType()), T.StructField("flow_on", T.IntegerType()),
-                         T.StructField("feasible", T.BooleanType())])
-
-
-def _solver(keys: Sequence[str]):
+def _solve_home(app, hour, cost, in_window, need, cap) -> tuple[list[int], bool]:
+    """Exact schedule of one home from its grid rows (numpy arrays)."""
+    names = sorted({a for a, w in zip(app, in_window) if w})
+    ordinal = {a: i for i, a in enumerate(names)}
+    needs = dict(zip(app, need))
+    shift = 1 << (len(names) * HOURS)
+    cells = [(ordinal[a], int(h), int(c) * shift + (1 << (ordinal[a] * HOURS + int(h))))
+             for a, h, c, w in zip(app, hour, cost, in_window) if w]
+    chosen = min_cost_assignment([int(needs[a]) for a in names], cells, int(cap), HOURS)
+    on = set() if chosen is None else {(names[i], h) for i, h in chosen}
+    return [int((a, int(h)) in on) for a, h in zip(app, hour)], chosen is not None
+
+
+def _batch_solver(keys: Sequence[str], columns: list[str]):
+    """``mapInPandas`` body: rows arrive hash-partitioned and sorted by home,
+    so each home is a contiguous run; a home cut by a batch boundary is
+    carried into the next batch, so every home is solved whole."""
     keys = list(keys)
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(pdf["appliance"].unique())
-        ordinal = {a: i for i, a in enumerate(names)}
-        needs = pdf.groupby("appliance")["need"].first()
-        cap = int(pdf["cap"].iloc[0])
-        shift = 1 << (len(names) * HOURS)
-        cells = [(ordinal[a], int(h), int(cu) * shift + (1 << (ordinal[a] * HOURS + int(h))))
-                 for a, h, cu in zip(pdf["appliance"], pdf["hour"], pdf["cost_units"])]
-        chosen = min_cost_assignment([int(needs[a]) for a in names], cells, cap, HOURS)
-        on = set() if chosen is None else {(names[i], h) for i, h in chosen}
-        out = pdf[[*keys, "appliance", "hour"]].copy()
-        out["flow_on"] = [int((a, int(h)) in on) for a, h in zip(out["appliance"], out["hour"])]
-        out["feasible"] = chosen is not None
-        return out
-
-    return solve
+    def solve_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        gid = pdf.groupby(keys, sort=False).ngroup().to_numpy()
+        starts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
+        ends = np.r_[starts[1:], len(gid)]
+        app, hour = pdf["appliance"].to_numpy(), pdf["hour"].to_numpy()
+        cost, win = pdf["cost_units"].to_numpy(), pdf["in_window"].to_numpy()
+        need, cap = pdf["need"].to_numpy(), pdf["cap"].to_numpy()
+        is_on = np.zeros(len(pdf), dtype="int32")
+        feasible = np.zeros(len(pdf), dtype=bool)
+        for a, b in zip(starts, ends):
+            on, ok = _solve_home(app[a:b], hour[a:b], cost[a:b], win[a:b], need[a:b], cap[a])
+            is_on[a:b] = on
+            feasible[a:b] = ok
+        out = pdf.assign(is_on=is_on, feasible=feasible)
+        return out[columns]
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = np.logical_and.reduce([pdf[k].to_numpy() == pdf[k].iloc[-1] for k in keys])
+            carry = pdf[last]
+            done = pdf[~last]
+            if len(done):
+                yield solve_frame(done.reset_index(drop=True))
+        if carry is not None and len(carry):
+            yield solve_frame(carry.reset_index(drop=True))
+
+    return run
 
 
 @dataclass
@@ -171,75 +204,77 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
                        checkpoint: bool = True) -> ScheduleResult:
     """O1: the schedule of every home, its status and costs.
 
-    The combined schedule is checkpointed once (to the shared checkpoint
-    dir): the flow runs once and every report reads the stored table."""
+    Plan: one aggregate settles invalid and over-demand homes; every home
+    left has at most ``24 * cap`` appliances, so the grid is hash-partitioned
+    on the home once and all ranking, per-hour counts, the path decision and
+    the flow (``mapInPandas`` on the same partitioning, sorted by home) run
+    without another exchange.  The schedule is checkpointed once to the shared checkpoint
+    dir, so the flow runs once and the reports read the stored table."""
     from ..session import materialize
 
     keys = list(keys)
-    if strict:
-        validate_appliances(appliances, strict=True)
-    homes = home_checks(appliances, plans, tariffs, keys)
-    grid = rank_cheapest(hour_grid(appliances, homes, tariffs, keys), keys)
-
-    per_app = grid.groupBy(*keys, "appliance").agg(
-        F.first("need").alias("need"), F.sum(F.col("in_window").cast("int")).alias("n_window"))
-    short = per_app.groupBy(*keys).agg(F.max((F.col("n_window") < F.col("need")).cast("int")).alias("short"))
-    ranked_peak = (grid.groupBy(*keys, "hour").agg(F.sum("ranked_on").alias("n_on"))
-                   .groupBy(*keys).agg(F.max("n_on").alias("ranked_max")))
-    flags = (homes.filter("valid_home").select(*keys, "cap", "total_need")
-             .join(short, keys).join(ranked_peak, keys)
-             .select(*keys, F.when((F.col("short") > 0) | (F.col("total_need") > HOURS * F.col("cap")),
-                                   F.lit("none"))
-                     .when(F.col("ranked_max") <= F.col("cap"), F.lit("ranked"))
-                     .otherwise(F.lit("flow")).alias("path")))
-
-    g = grid.join(flags, keys)
-    flow_in = (g.filter((F.col("path") == "flow") & F.col("in_window"))
-               .select(*keys, "appliance", "hour", "need", "cap", "cost_units"))
-    solved = flow_in.groupBy(*keys).applyInPandas(_solver(keys), _flow_schema(grid, keys))
-    is_flow = F.col("path") == "flow"
-    full = (g.join(solved, [*keys, "appliance", "hour"], "left")
-            .withColumn("is_on", F.when(F.col("path") == "ranked", F.col("ranked_on"))
-                        .when(is_flow, F.coalesce(F.col("flow_on"), F.lit(0))).otherwise(F.lit(0)))
-            .withColumn("cell_feasible", F.when(F.col("path") == "ranked", F.lit(True))
-                        .when(F.col("path") == "none", F.lit(False)).otherwise(F.col("feasible")))
-            .drop("ranked_on", "flow_on", "feasible"))
+    checked = validate_appliances(appliances, strict=strict)
+    tariff_status = validate_tariffs(tariffs)
+    homes = home_checks(checked, plans, tariff_status, keys)
+    grid = hour_grid(checked, homes, _priced_tariffs(tariffs, tariff_status), keys).repartition(*keys)
+
+    w_app = Window.partitionBy(*keys, "appliance")
+    g = rank_cheapest(grid, keys).withColumn(
+        "_short", (F.sum(F.col("in_window").cast("int")).over(w_app) < F.col("need")).cast("int"))
+    g = g.withColumn("_n_on", F.sum("ranked_on").over(Window.partitionBy(*keys, "hour")))
+    g = g.withColumns({"_peak": F.max("_n_on").over(Window.partitionBy(*keys)),
+                       "_short_home": F.max("_short").over(Window.partitionBy(*keys))})
+    g = g.withColumn("path", F.when(F.col("_short_home") > 0, F.lit("none"))
+                     .when(F.col("_peak") <= F.col("cap"), F.lit("ranked")).otherwise(F.lit("flow")))
+    g = g.drop("_short", "_n_on", "_peak", "_short_home")
+
+    direct = (g.filter(F.col("path") != "flow")
+              .withColumns({"is_on": F.when(F.col("path") == "ranked", F.col("ranked_on")).otherwise(F.lit(0)),
+                            "feasible": F.col("path") == "ranked"})
+              .drop("ranked_on"))
+    flow_in = g.filter(F.col("path") == "flow").drop("ranked_on")
+    schema = T.StructType([*flow_in.schema.fields, T.StructField("is_on", T.IntegerType()),
+                           T.StructField("feasible", T.BooleanType())])
+    flowed = flow_in.sortWithinPartitions(*keys).mapInPandas(_batch_solver(keys, schema.fieldNames()), schema)
+    full = direct.withColumn("is_on", F.col("is_on").cast("int")).unionByName(flowed)
     if checkpoint:
         full = materialize(full)
 
     cost = F.col("kw") * F.col("price")
-    per_home = full.groupBy(*keys).agg(
-        F.sum(F.col("baseline_on") * cost).alias("original_cost"),
-        F.sum(F.col("is_on") * cost).alias("optimized_cost"),
-        F.min(F.coalesce(F.col("cell_feasible"), F.lit(True))).alias("feasible"),
+    per_hour = full.groupBy(*keys, "hour").agg(
+        F.sum("is_on").alias("n_on"), F.sum(F.col("baseline_on") * cost).alias("c_o"),
+        F.sum(F.col("is_on") * cost).alias("c_n"), F.min("feasible").alias("feasible"),
         F.first("path").alias("path"))
-    peak = (full.groupBy(*keys, "hour").agg(F.sum("is_on").alias("n_on"))
-            .groupBy(*keys).agg(F.max("n_on").alias("max_on")))
-    optimal = F.col("valid_home") & F.coalesce(F.col("feasible"), F.lit(False))
-    status = (homes.select(*keys, "cap", "valid_home")
-              .join(per_home, keys, "left").join(peak, keys, "left")
+    per_home = per_hour.groupBy(*keys).agg(
+        F.sum("c_o").alias("original_cost"), F.sum("c_n").alias("optimized_cost"),
+        F.max("n_on").alias("max_on"), F.min("feasible").alias("feasible"), F.first("path").alias("path"))
+    optimal = F.coalesce(F.col("feasible"), F.lit(False))
+    status = (homes.select(*keys, "cap", "valid_home").join(per_home, keys, "left")
               .select(*keys,
                       F.when(~F.col("valid_home"), F.lit("invalid"))
                       .when(optimal, F.lit("optimal")).otherwise(F.lit("infeasible")).alias("status"),
                       F.when(optimal, F.col("path")).alias("path"), "cap",
                       F.when(optimal, F.col("max_on")).alias("max_on"),
                       "original_cost", F.when(optimal, F.col("optimized_cost")).alias("optimized_cost")))
-    schedule = (full.join(per_home.filter("feasible").select(*keys), keys, "left_semi")
-                .drop("cell_feasible", "cost_units"))
+    schedule = full.filter("feasible").drop("feasible", "cost_units")
     return ScheduleResult(schedule=schedule, homes=status)
 
 
 def baseline_schedule(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
                       keys: Sequence[str] = ("home_id",)) -> DataFrame:
     """W11 as a long 24-hour table ``(keys, appliance, hour, is_on)``."""
-    homes = home_checks(appliances, plans, tariffs, keys)
-    return hour_grid(appliances, homes, tariffs, keys).select(
+    checked = validate_appliances(appliances)
+    ts = validate_tariffs(tariffs)
+    homes = home_checks(checked, plans, ts, keys)
+    return hour_grid(checked, homes, _priced_tariffs(tariffs, ts), keys, only="valid_home").select(
         *keys, "appliance", "hour", F.col("baseline_on").alias("is_on"))
 
 
 def cheapest_hours(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
                    keys: Sequence[str] = ("home_id",)) -> DataFrame:
     """T3 / O2 without a cap: the chosen ``(keys, appliance, hour)``."""
-    homes = home_checks(appliances, plans, tariffs, keys)
-    ranked = rank_cheapest(hour_grid(appliances, homes, tariffs, keys), keys)
+    checked = validate_appliances(appliances)
+    ts = validate_tariffs(tariffs)
+    homes = home_checks(checked, plans, ts, keys)
+    ranked = rank_cheapest(hour_grid(checked, homes, _priced_tariffs(tariffs, ts), keys, only="valid_home"), keys)
     return ranked.filter(F.col("ranked_on") == 1).select(*keys, "appliance", "hour")

@@ -66,3 +66,12 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def value_columns(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> list[str]:
     return numeric_columns(df, exclude=(*keys, ts))
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only when a count proves the side small; otherwise the
+    plain side (shuffle join, AQE may still switch at runtime)."""
+    return F.broadcast(df) if df.count() <= max_rows else df
