@@ -1,0 +1,3 @@
+from .bins import start_bin_stream, stream_bin_means
+
+__all__ = ["start_bin_stream", "stream_bin_means"]
