@@ -85,3 +85,16 @@ def test_csv_sink(spark, tmp_dir):
     write_csv(df, f"{tmp_dir}/out", single_file=True)
     back = spark.read.option("header", True).csv(f"{tmp_dir}/out").collect()
     assert [(r["x"], r["y"]) for r in back] == [("1", "a")]
+
+
+def test_load_and_prepare_with_weather(spark, tmp_dir):
+    from wattgrid.sources.readings import load_and_prepare
+
+    write(f"{tmp_dir}/CLEAN_House1.csv",
+          "timestamp,Aggregate,Appliance1\n2024-01-01 00:00:00,1,2\n2024-01-01 02:00:00,3,4\n")
+    write(f"{tmp_dir}/weather.csv", "timestamp,temperature\n2024-01-01 00:40:00,5.0\n2024-01-01 00:20:00,6.0\n")
+    df = load_and_prepare(spark, tmp_dir, 1, f"{tmp_dir}/weather.csv", ["Aggregate"])
+    assert df.columns == ["home_id", "ts", "Aggregate"]
+    full = load_and_prepare(spark, tmp_dir, 1, f"{tmp_dir}/weather.csv")
+    temps = [r["temperature"] for r in full.orderBy("ts").collect()]
+    assert temps == [6.0, None]

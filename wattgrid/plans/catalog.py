@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL
 from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
-from ..operators.outliers import remove_outliers
+from ..operators.outliers import removal_counts, remove_outliers
 from ..operators.pivot import pivot_first
 from ..operators.resample import count_missing, resample_mean
 from ..operators.scale import fit_minmax, minmax_scale
@@ -132,6 +132,11 @@ def q_outlier_filter(spark, sf):
     return rounded(remove_outliers(filled(spark, sf), CH, 3.0))
 
 
+def q_outlier_counts(spark, sf):
+    before = filled(spark, sf)
+    return rounded(removal_counts(before, remove_outliers(before, CH, 3.0)))
+
+
 def q_minmax_fit(spark, sf):
     return rounded(fit_minmax(filled(spark, sf), CH))
 
@@ -323,6 +328,7 @@ QUERIES = {
     "fill_drop": q_fill_drop,
     "calendar_features": q_calendar_features,
     "outlier_filter": q_outlier_filter,
+    "outlier_counts": q_outlier_counts,
     "minmax_fit": q_minmax_fit,
     "minmax_transform": q_minmax_transform,
     "preprocessed_series": q_preprocessed_series,

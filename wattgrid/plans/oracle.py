@@ -161,6 +161,14 @@ SQL["calendar_features"] = (f"WITH {HOURLY},\n{filled_cte('ffill')},\n"
 SQL["outlier_filter"] = f"WITH {HOURLY},\n{filled_cte('ffill')},\n{outlier_cte('filled', 'clean')}\n" + \
     rounded_select("clean")
 
+SQL["outlier_counts"] = f"""WITH {HOURLY},\n{filled_cte('ffill')},\n{outlier_cte('filled', 'clean')},
+b AS (SELECT home_id, count(*) AS n_before FROM filled GROUP BY home_id),
+a AS (SELECT home_id, count(*) AS n_after FROM clean GROUP BY home_id)
+SELECT b.home_id, n_before::BIGINT AS n_before, coalesce(n_after, 0)::BIGINT AS n_after,
+       (n_before - coalesce(n_after, 0))::BIGINT AS n_removed,
+       {R('(n_before - coalesce(n_after, 0)) / n_before::DOUBLE * 100')} AS pct_removed
+FROM b LEFT JOIN a USING (home_id)"""
+
 SQL["minmax_fit"] = f"""WITH {HOURLY},\n{filled_cte('ffill')}
 SELECT home_id, "column", round((data_min)::DECIMAL(38,9), 6)::DOUBLE AS data_min, round((data_max)::DECIMAL(38,9), 6)::DOUBLE AS data_max FROM (
   {' UNION ALL '.join(f"SELECT home_id, '{c}' AS \"column\", min({c})::DOUBLE AS data_min, max({c})::DOUBLE AS data_max FROM filled GROUP BY home_id" for c in CH)}

@@ -109,3 +109,16 @@ def load_readings(spark: SparkSession, data_path: str, home_id: int = 1,
         channels = list(dict.fromkeys(r["channel"] for r in sorted(pairs, key=lambda r: r["variable_id"])))
         return pivot_first(long, channels)
     raise FileNotFoundError("REFIT data file not found. Tried:\n" + "\n".join(f"  - {p}" for p in tried))
+
+
+def load_and_prepare(spark: SparkSession, data_path: str, home_id: int = 1, weather_path: str | None = None,
+                     appliance_subset: Sequence[str] | None = None, *, tolerance: str = "1h") -> DataFrame:
+    """Readings (S1) + optional weather (S5) by nearest time (J1/J2) +
+    optional channel subset (P3), lazily."""
+    from ..operators.asof import merge_weather
+    from .weather import load_weather
+
+    readings = load_readings(spark, data_path, home_id)
+    weather = load_weather(spark, weather_path) if weather_path else None
+    df = merge_weather(readings, weather, tolerance=tolerance)
+    return select_channels(df, appliance_subset) if appliance_subset else df
