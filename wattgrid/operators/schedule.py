@@ -216,7 +216,11 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
     checked = validate_appliances(appliances, strict=strict)
     tariff_status = validate_tariffs(tariffs)
     homes = home_checks(checked, plans, tariff_status, keys)
-    grid = hour_grid(checked, homes, _priced_tariffs(tariffs, tariff_status), keys).repartition(*keys)
+    # Hash-partition the grid on the home once (Spark drops this exchange when
+    # the join already left the grid partitioned that way).  The explicit
+    # count keeps AQE from coalescing a CPU-bound stage by bytes.
+    parts = int(appliances.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = hour_grid(checked, homes, _priced_tariffs(tariffs, tariff_status), keys).repartition(parts, *keys)
 
     w_app = Window.partitionBy(*keys, "appliance")
     g = rank_cheapest(grid, keys).withColumn(
