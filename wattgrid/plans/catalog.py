@@ -55,24 +55,24 @@ def wide_readings(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_first(readings_from_events(table(spark, sf, "events")), CH)
 
 
-def hourly(spark: SparkSession, sf: str, fill_gaps: bool = True) -> DataFrame:
-    return resample_mean(wide_readings(spark, sf), CH, INTERVAL, fill_gaps=fill_gaps)
+def hourly(spark: SparkSession, sf: str, fill_gaps: bool = True, interval: str = INTERVAL) -> DataFrame:
+    return resample_mean(wide_readings(spark, sf), CH, interval, fill_gaps=fill_gaps)
 
 
 def filled(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
     return handle_missing(hourly(spark, sf), CH, method)
 
 
-def processed(spark: SparkSession, sf: str) -> DataFrame:
-    return preprocess(wide_readings(spark, sf), CH, interval=INTERVAL)
+def processed(spark: SparkSession, sf: str, interval: str = INTERVAL) -> DataFrame:
+    return preprocess(wide_readings(spark, sf), CH, interval=interval)
 
 
 TARGET = CH[0]
 LAGS, WINDOWS, HORIZON, SEQ_LEN = [1, 2, 3, 4], [4, 8, 12], 4, 24
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare_features(processed(spark, sf), TARGET, CH, LAGS, WINDOWS, HORIZON)
+def features(spark: SparkSession, sf: str, interval: str = INTERVAL) -> DataFrame:
+    return prepare_features(processed(spark, sf, interval), TARGET, CH, LAGS, WINDOWS, HORIZON)
 
 
 def split_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,6 +165,14 @@ def q_feature_matrix(spark, sf):
     return rounded(features(spark, sf))
 
 
+def q_resample_gapfill_15min(spark, sf):
+    return rounded(hourly(spark, sf, interval="15min"))
+
+
+def q_feature_matrix_15min(spark, sf):
+    return rounded(features(spark, sf, "15min"))
+
+
 def q_chrono_split(spark, sf):
     return rounded(split_frame(spark, sf).select("home_id", "ts", "target", "split"))
 
@@ -336,6 +344,8 @@ QUERIES = {
     "rolling_features": q_rolling_features,
     "future_target": q_future_target,
     "feature_matrix": q_feature_matrix,
+    "resample_gapfill_15min": q_resample_gapfill_15min,
+    "feature_matrix_15min": q_feature_matrix_15min,
     "chrono_split": q_chrono_split,
     "split_ranges": q_split_ranges,
     "sequences": q_sequences,

@@ -41,18 +41,23 @@ wide AS (
   FROM readings GROUP BY home_id, ts
 )"""
 
-HOURLY = READINGS + f""",
+def binned_ctes(interval: str = "1 hour") -> str:
+    """Readings -> per-home bins of ``interval`` -> full grid named ``hourly``."""
+    return READINGS + f""",
 binned AS (
-  SELECT home_id, time_bucket(INTERVAL 1 hour, ts) AS ts, {cols("avg({c}) AS {c}")}
+  SELECT home_id, time_bucket(INTERVAL {interval}, ts) AS ts, {cols("avg({c}) AS {c}")}
   FROM wide GROUP BY 1, 2
 ),
 bounds AS (SELECT home_id, min(ts) AS lo, max(ts) AS hi FROM binned GROUP BY home_id),
-grid AS (SELECT home_id, unnest(generate_series(lo, hi, INTERVAL 1 hour)) AS ts FROM bounds),
+grid AS (SELECT home_id, unnest(generate_series(lo, hi, INTERVAL {interval})) AS ts FROM bounds),
 hourly AS (
   SELECT grid.home_id, grid.ts, {cols("binned.{c}")}
   FROM grid LEFT JOIN binned ON grid.home_id = binned.home_id AND grid.ts = binned.ts
 )"""
 
+
+HOURLY = binned_ctes("1 hour")
+
 W_BACK = "OVER (PARTITION BY home_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 W_FWD = "OVER (PARTITION BY home_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
 
@@ -104,8 +109,8 @@ def minmax_cte(src: str, name: str) -> str:
     return f"{name} AS (SELECT * REPLACE ({sc}) FROM {src})"
 
 
-def processed_ctes() -> str:
-    return (HOURLY + ",\n" + filled_cte("ffill") + ",\n" + outlier_cte("filled", "clean") +
+def processed_ctes(interval: str = "1 hour") -> str:
+    return (binned_ctes(interval) + ",\n" + filled_cte("ffill") + ",\n" + outlier_cte("filled", "clean") +
             f",\ncal AS (SELECT clean.*, {calendar_sel()} FROM clean),\n" + minmax_cte("cal", "processed"))
 
 
@@ -226,10 +231,10 @@ FEATURE_SEL = lag_sel() + rolling_sel() + [target_sel()]
 FEATURE_NAMES = [a for _, a in FEATURE_SEL]
 
 
-def features_ctes() -> str:
+def features_ctes(interval: str = "1 hour") -> str:
     inner = ", ".join(f"{e} AS {a}" for e, a in FEATURE_SEL)
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in [*CH, *TF_INT, *TF_DBL, *FEATURE_NAMES])
-    return (f"{processed_ctes()},\nfx AS (SELECT *, {inner} FROM processed),\n"
+    return (f"{processed_ctes(interval)},\nfx AS (SELECT *, {inner} FROM processed),\n"
             f"features AS (SELECT * FROM fx WHERE {not_null})")
 
 
@@ -242,10 +247,16 @@ def split_ctes() -> str:
             f"ELSE 'test' END AS split FROM sp)")
 
 
-SQL["feature_matrix"] = (f"WITH {features_ctes()}\n"
-                         f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {', '.join(TF_INT)}, "
-                         f"{', '.join(r6(c, c) for c in TF_DBL)}, {', '.join(r6(a, a) for a in FEATURE_NAMES)} "
-                         f"FROM features")
+def feature_matrix_sql(interval: str = "1 hour") -> str:
+    return (f"WITH {features_ctes(interval)}\n"
+            f"SELECT home_id, ts, {cols('round(({c})::DECIMAL(38,9), 6)::DOUBLE AS {c}')}, {', '.join(TF_INT)}, "
+            f"{', '.join(r6(c, c) for c in TF_DBL)}, {', '.join(r6(a, a) for a in FEATURE_NAMES)} "
+            f"FROM features")
+
+
+SQL["feature_matrix"] = feature_matrix_sql("1 hour")
+SQL["feature_matrix_15min"] = feature_matrix_sql("15 minutes")
+SQL["resample_gapfill_15min"] = f"WITH {binned_ctes('15 minutes')}\n" + rounded_select("hourly")
 
 SQL["chrono_split"] = f"WITH {split_ctes()}\nSELECT home_id, ts, round((target)::DECIMAL(38,9), 6)::DOUBLE AS target, split FROM split"
 
