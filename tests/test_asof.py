@@ -65,3 +65,13 @@ def test_keyed_join(spark):
                                   "k long, ts timestamp_ntz, w double")
     out = {r["k"]: r["w"] for r in merge_nearest(left, right, by=["k"]).collect()}
     assert out == {1: 1.0, 2: 2.0}
+
+
+def test_salted_join_gives_the_same_rows(spark):
+    rng = np.random.default_rng(9)
+    lm = np.sort(rng.integers(0, 300, 200)).tolist()
+    rm = np.sort(rng.integers(0, 300, 30)).tolist()
+    left, r = frames(spark, lm, list(zip(rm, range(len(rm)))))
+    plain = merge_nearest(left, r, tolerance="20min", right_order="rseq").orderBy("lid").collect()
+    salted = merge_nearest(left, r, tolerance="20min", right_order="rseq", salt=5).orderBy("lid").collect()
+    assert plain == salted

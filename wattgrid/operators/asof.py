@@ -35,8 +35,12 @@ def _micros(c):
 def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
                   by: Sequence[str] = (), tolerance: str | int = "1h",
                   right_order: str | None = None,
-                  suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
-    """Left outer nearest as-of join of ``right`` onto ``left`` on time ``on``."""
+                  suffixes: tuple[str, str] = ("_x", "_y"), salt: int = 1) -> DataFrame:
+    """Left outer nearest as-of join of ``right`` onto ``left`` on time ``on``.
+
+    ``salt`` > 1 splits a hot (key, bucket) over that many partitions: left
+    rows are spread by a hash, right rows are copied to every salt, so each
+    left row still sees all its candidates (right side copied 3 x salt)."""
     tol = interval_seconds(tolerance)
     by = list(by)
     right_vals = [c for c in right.columns if c not in (on, *by)]
@@ -53,10 +57,12 @@ def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
     r = (right.select(*by, F.col(on).alias("_t"), bucket.alias("_b0"),
                       r_order.alias("_ro"), r_struct.alias("_r"))
          .withColumn("_b", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
-         .select(*by, "_t", "_b", "_ro", "_r"))
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(max(salt, 1) - 1))))
+         .select(*by, "_t", "_b", "_salt", "_ro", "_r"))
     l_struct = F.struct(*[F.col(c).alias(l_names[c]) for c in left_vals])
-    lft = left.select(*by, F.col(on).alias("_t"), bucket.alias("_b"), F.lit(None).cast("double").alias("_ro"),
-                      l_struct.alias("_l"))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(max(salt, 1))).cast("int") if salt > 1 else F.lit(0)
+    lft = left.select(*by, F.col(on).alias("_t"), bucket.alias("_b"), spread.alias("_salt"),
+                      F.lit(None).cast("double").alias("_ro"), l_struct.alias("_l"))
     r = r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType))
     lft = lft.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
     u = lft.unionByName(r)
@@ -65,7 +71,7 @@ def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
     # backward search includes exact matches; duplicates keep right order.
     kind = F.when(F.col("_l").isNull(), F.lit(0)).otherwise(F.lit(1))
     u = u.withColumn("_k", kind)
-    part = [*by, "_b"]
+    part = [*by, "_b", "_salt"]
     back = (Window.partitionBy(*part).orderBy("_t", "_k", "_ro")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # Reverse order: later times first; at one time, the first duplicate last,

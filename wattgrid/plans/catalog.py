@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL
+from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS
 from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
 from ..operators.outliers import removal_counts, remove_outliers
@@ -85,7 +85,7 @@ def q_channel_filter(spark, sf):
     rows = combined_rows_from_events(table(spark, sf, "events"))
     long = rows.select(F.col(f"`{LONG_ID_COL}`").alias("variable_id"), F.col(LONG_TIME_COL).alias("ts"),
                        F.col(LONG_VALUE_COL).alias("watts"), "seq")
-    kept = rename_channels(filter_variables(long), channel_dimension(spark))
+    kept = rename_channels(filter_variables(long, ids=list(VARIABLE_CHANNELS)), channel_dimension(spark))
     return rounded(kept.filter(F.col("channel").isin(KEEP_CHANNELS))
                    .select("seq", "variable_id", "home_id", "channel", "ts", "watts"))
 
