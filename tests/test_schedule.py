@@ -73,6 +73,8 @@ def test_e22_infeasible_after_validation(spark):
     three = [(f"A{i}", "c", 1.0, 10.0, 11.0, 1000.0) for i in range(3)]
     _, home = run(spark, three, cap=2)
     assert home["status"] == "infeasible"
+    with pytest.raises(RuntimeError, match="infeasible"):
+        optimize_schedules(apps_df(spark, three), tariff_table(spark), plan_df(spark, "default", 2), strict=True)
     _, home = run(spark, [("B", "c", 1.5, 10.5, 12.0, 1000.0)], cap=2)
     assert home["status"] == "infeasible"
 

@@ -261,6 +261,10 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
                       F.when(optimal, F.col("max_on")).alias("max_on"),
                       "original_cost", F.when(optimal, F.col("optimized_cost")).alias("optimized_cost")))
     schedule = full.filter("feasible").drop("feasible", "cost_units")
+    if strict:
+        bad = status.filter(F.col("status") != "optimal").select(*keys, "status").limit(1).collect()
+        if bad:
+            raise RuntimeError(f"Optimization failed with status: {bad[0]['status']} for {bad[0].asDict()}")
     return ScheduleResult(schedule=schedule, homes=status)
 
 
