@@ -13,17 +13,17 @@ from pyspark.sql.types import DoubleType
 from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS
 from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
-from ..operators.outliers import removal_counts, remove_outliers
+from ..operators.outliers import removal_counts, remove_outliers, zscore_stats
 from ..operators.pivot import pivot_first
 from ..operators.resample import count_missing, resample_mean
 from ..operators.scale import fit_minmax, minmax_scale
 from ..sources.readings import channel_dimension, filter_variables, rename_channels
 from ..sources.tables import EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table
-from ..functions.metrics import prediction_bounds, regression_metrics
+from ..functions.metrics import error_columns, prediction_bounds, regression_metrics
 from ..operators.asof import merge_nearest
 from ..operators.features import (add_lag_features, add_rolling_features, add_target,
                                   prepare_features)
-from ..operators.profile import describe
+from ..operators.profile import date_range, describe, head
 from ..operators.sequences import make_sequences
 from ..operators.split import chrono_split, split_ranges
 from ..sources.tables import predictions_from_lineitem
@@ -210,6 +210,23 @@ def q_profile(spark, sf):
     return rounded(describe(filled(spark, sf), CH))
 
 
+def q_date_range(spark, sf):
+    return date_range(filled(spark, sf))
+
+
+def q_head_rows(spark, sf):
+    """T4: the first rows by time (a top-k: the limit is the feature)."""
+    return rounded(filled(spark, sf).orderBy("ts", "home_id").limit(10))
+
+
+def q_zscore_stats(spark, sf):
+    return rounded(zscore_stats(filled(spark, sf), CH))
+
+
+def q_error_columns(spark, sf):
+    return rounded(error_columns(predictions_from_lineitem(table(spark, sf, "lineitem"))))
+
+
 # --- forecast (rows-only check: Spark ML has no SQL form) -------------------
 
 GBT_DRIVER_PARAMS = {"maxIter": 20}
@@ -279,6 +296,14 @@ def q_cap_check(spark, sf):
                  F.sum((F.col("n_on") > F.col("cap")).cast("long")).alias("n_over")))
 
 
+def q_appliance_costs(spark, sf):
+    return rounded(reports.appliance_costs(optimized(spark, sf).schedule))
+
+
+def q_appliances_per_hour(spark, sf):
+    return reports.appliances_per_hour(optimized(spark, sf).schedule)
+
+
 def q_schedule_matrix(spark, sf):
     return reports.schedule_matrix(optimized(spark, sf).schedule)
 
@@ -353,6 +378,12 @@ QUERIES = {
     "regression_metrics": q_regression_metrics,
     "prediction_bounds": q_prediction_bounds,
     "profile": q_profile,
+    "date_range": q_date_range,
+    "head_rows": q_head_rows,
+    "zscore_stats": q_zscore_stats,
+    "error_columns": q_error_columns,
+    "appliance_costs": q_appliance_costs,
+    "appliances_per_hour": q_appliances_per_hour,
     "constraint_violations": q_constraint_violations,
     "tariff_check": q_tariff_check,
     "baseline_schedule": q_baseline_schedule,

@@ -586,3 +586,38 @@ SELECT p.scenario_id, count(*)::BIGINT AS n_homes, sum((st.status = 'optimal')::
        {R('sum(st.optimized_cost)')} AS total_optimized
 FROM status st JOIN plans p USING (sk)
 GROUP BY p.scenario_id"""
+
+
+# --- profile pieces, error columns, per-appliance and per-hour reports ----------------
+
+SQL["date_range"] = (f"{_with_filled()}\nSELECT home_id, count(*)::BIGINT AS n_rows, min(ts) AS first_ts, "
+                     f"max(ts) AS last_ts FROM filled GROUP BY home_id")
+
+SQL["head_rows"] = f"{_with_filled()}\n" + rounded_select("filled") + " ORDER BY ts, home_id LIMIT 10"
+
+SQL["zscore_stats"] = (f"{_with_filled()}\nSELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT home_id, '{c}' AS \"column\", {R(f'avg({c})')} AS mean, {R(f'stddev_samp({c})')} AS std "
+    f"FROM filled GROUP BY home_id" for c in CH) + ")")
+
+SQL["error_columns"] = """
+SELECT l_orderkey, l_linenumber, l_returnflag AS split,
+       round((l_extendedprice * (1 - l_discount))::DECIMAL(38,9), 6)::DOUBLE AS y_true,
+       round((l_extendedprice * 0.95)::DECIMAL(38,9), 6)::DOUBLE AS y_pred,
+       round((l_extendedprice * (1 - l_discount) - l_extendedprice * 0.95)::DECIMAL(38,9), 6)::DOUBLE AS residual,
+       round(abs(l_extendedprice * (1 - l_discount) - l_extendedprice * 0.95)::DECIMAL(38,9), 6)::DOUBLE AS abs_error,
+       round((CASE WHEN l_extendedprice * (1 - l_discount) <> 0
+              THEN abs((l_extendedprice * (1 - l_discount) - l_extendedprice * 0.95) / (l_extendedprice * (1 - l_discount))) * 100
+              END)::DECIMAL(38,9), 6)::DOUBLE AS pct_error
+FROM lineitem
+"""
+
+SQL["appliance_costs"] = f"""WITH {sched_ctes()}
+SELECT home_id, appliance, {R('first(power_rating)')} AS power_w, {R('first(runtime_hours)')} AS runtime_h,
+       min(hour) FILTER (WHERE baseline_on = 1) AS original_start,
+       max(hour) FILTER (WHERE baseline_on = 1) + 1 AS original_end,
+       min(hour) FILTER (WHERE is_on = 1) AS optimized_start, max(hour) FILTER (WHERE is_on = 1) + 1 AS optimized_end,
+       {R('sum(baseline_on * kw * price)')} AS original_cost, {R('sum(is_on * kw * price)')} AS optimized_cost
+FROM sched GROUP BY home_id, appliance"""
+
+SQL["appliances_per_hour"] = f"""WITH {sched_ctes()}
+SELECT home_id, hour, sum(is_on)::BIGINT AS n_on FROM sched GROUP BY home_id, hour"""
