@@ -449,7 +449,7 @@ sched AS (
 ),
 orig AS (SELECT {k}, sum(baseline_on * kw * price) AS original_cost FROM grid GROUP BY ALL),
 opt AS (
-  SELECT {k}, sum(c) AS optimized_cost, max(n) AS max_on
+  SELECT {k}, sum(c) AS optimized_cost, max(n)::BIGINT AS max_on
   FROM (SELECT {k}, hour, sum(is_on * kw * price) AS c, sum(is_on) AS n FROM sched GROUP BY ALL) GROUP BY ALL
 ),
 status AS (
@@ -492,7 +492,7 @@ SELECT home_id, status, path, cap, max_on, {R('original_cost')} AS original_cost
 FROM status"""
 
 SQL["cap_check"] = f"""WITH {sched_ctes()}
-SELECT home_id, cap, max(n) AS max_on, sum((n > cap)::BIGINT)::BIGINT AS n_over
+SELECT home_id, cap, max(n)::BIGINT AS max_on, sum((n > cap)::BIGINT)::BIGINT AS n_over
 FROM (SELECT s.home_id, s.cap, s.hour, sum(s.is_on) AS n FROM sched s GROUP BY ALL)
 GROUP BY home_id, cap"""
 
