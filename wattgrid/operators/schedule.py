@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -231,6 +232,10 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
     g = g.withColumn("path", F.when(F.col("_short_home") > 0, F.lit("none"))
                      .when(F.col("_peak") <= F.col("cap"), F.lit("ranked")).otherwise(F.lit("flow")))
     g = g.drop("_short", "_n_on", "_peak", "_short_home")
+    if checkpoint:
+        # Both branches below read the windowed grid; keep it for the one
+        # write that follows (lineage stays, so a lost executor recomputes).
+        g = g.persist(StorageLevel.MEMORY_AND_DISK)
 
     direct = (g.filter(F.col("path") != "flow")
               .withColumns({"is_on": F.when(F.col("path") == "ranked", F.col("ranked_on")).otherwise(F.lit(0)),
@@ -243,6 +248,7 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
     full = direct.withColumn("is_on", F.col("is_on").cast("int")).unionByName(flowed)
     if checkpoint:
         full = materialize(full)
+        g.unpersist()
 
     cost = F.col("kw") * F.col("price")
     per_hour = full.groupBy(*keys, "hour").agg(
