@@ -53,3 +53,23 @@ def test_forecast_beats_last_value_on_a_daily_cycle(spark):
     assert m["rmse"] < naive
     top = forecast.feature_importances(spark, model, feats, 5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
+
+
+def test_scaler_fitted_on_train_rows_only(spark):
+    from wattgrid.operators.features import prepare_features
+    from wattgrid.operators.split import chrono_split
+    from wattgrid.plans.household import fit_scaler_on_train
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0 + dt.timedelta(hours=i), float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "home_id long, ts timestamp_ntz, Aggregate double")
+
+    def featurize(s):
+        return chrono_split(prepare_features(s, "Aggregate", ["Aggregate"], [1], [2], 1))
+
+    scaled = fit_scaler_on_train(df, ["Aggregate"], featurize)
+    split = featurize(df).select("ts", "split")
+    out = scaled.join(split, "ts").groupBy("split").agg(F.min("Aggregate").alias("lo"), F.max("Aggregate").alias("hi"))
+    rng = {r["split"]: (r["lo"], r["hi"]) for r in out.collect()}
+    assert rng["train"][0] == 0.0 and rng["train"][1] == 1.0
+    assert rng["test"][1] > 1.0  # no clipping outside the fitted range

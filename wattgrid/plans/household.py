@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import FORECAST_HORIZON, LAG_INTERVALS, RESAMPLE_INTERVAL, ROLLING_WINDOWS
 from ..functions.channels import choose_target, feature_channels
 from ..operators.features import feature_names, prepare_features
+from ..operators.scale import apply_minmax, fit_minmax
 from ..operators.schedule import optimize_schedules
 from ..operators.split import chrono_split
 from ..session import materialize
@@ -23,20 +24,44 @@ from . import forecast, reports
 from .preprocess import preprocess
 
 
+def fit_scaler_on_train(unscaled: DataFrame, columns: Sequence[str], featurize, *, keys=("home_id",),
+                        ts: str = "ts") -> DataFrame:
+    """D7 option: min-max params from the training rows only, applied to all.
+
+    Scaling adds or removes no row, so the split found on the unscaled series
+    is the split of the scaled one.  Params are one row per home and column
+    (``fit_minmax``), joined back by home (no clipping outside the fit)."""
+    train = featurize(unscaled).filter(F.col("split") == "train").select(*keys, ts)
+    params = fit_minmax(unscaled.join(train, [*keys, ts], "left_semi"), columns, keys=keys, ts=ts)
+    return apply_minmax(unscaled, params, columns, keys=keys)
+
+
 def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFrame, tariffs: DataFrame,
                       plans: DataFrame, output_dir: str | None = None, *,
                       channels: Sequence[str] | None = None, target: str | None = None,
                       features_from: Sequence[str] | None = None, interval: str = RESAMPLE_INTERVAL,
-                      gbt_params: dict | None = None, keys=("home_id",)) -> dict[str, DataFrame]:
+                      gbt_params: dict | None = None, keys=("home_id",),
+                      scaler_fit: str = "all") -> dict[str, DataFrame]:
+    """``scaler_fit="all"`` fits min-max on every row before the split, as the
+    reference does (D7); ``"train"`` fits it on the training rows only."""
     chans = list(channels) if channels is not None else value_columns(wide, keys)
     target = target or choose_target(chans)
     feat_ch = list(features_from) if features_from is not None else feature_channels(chans)
 
-    processed = preprocess(wide, chans, interval=interval, keys=keys)
+    def featurize(series):
+        return chrono_split(prepare_features(series, target, feat_ch, LAG_INTERVALS, ROLLING_WINDOWS,
+                                             FORECAST_HORIZON, keys=keys), keys=keys)
+
     # A channel a home never reported is all NULL there; 0 for the model.
-    processed = processed.fillna(0.0, subset=chans)
-    frame = chrono_split(prepare_features(processed, target, feat_ch, LAG_INTERVALS, ROLLING_WINDOWS,
-                                          FORECAST_HORIZON, keys=keys), keys=keys)
+    if scaler_fit == "all":
+        processed = preprocess(wide, chans, interval=interval, keys=keys).fillna(0.0, subset=chans)
+    elif scaler_fit == "train":
+        processed = fit_scaler_on_train(
+            preprocess(wide, chans, interval=interval, keys=keys, normalize=False).fillna(0.0, subset=chans),
+            chans, featurize, keys=keys)
+    else:
+        raise ValueError(f"scaler_fit must be 'all' or 'train', not {scaler_fit!r}")
+    frame = featurize(processed)
     frame = materialize(frame)  # many passes follow (fit, score): read it once from storage
     feats = feature_names(frame, keys=keys)
     model = forecast.train_forecaster(frame, feats, params=gbt_params)
