@@ -93,7 +93,7 @@ def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
         F.sum(F.col("violation").isNotNull().cast("int")).alias("n_invalid"),
         F.sum(F.ceil("runtime_hours")).alias("total_need"))
     tv = tariff_status.select("tariff_id", F.col("valid").alias("tariff_valid"))
-    p = effective_cap(plans).join(per_home, list(keys)).join(F.broadcast(tv), "tariff_id", "left")
+    p = effective_cap(plans).join(per_home, list(keys)).join(tv, "tariff_id", "left")
     valid = (F.col("n_invalid") == 0) & F.coalesce(F.col("tariff_valid"), F.lit(False))
     return p.withColumns({"valid_home": valid,
                           "solvable": valid & (F.col("total_need") <= HOURS * F.col("cap"))})
@@ -101,7 +101,7 @@ def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
 
 def _priced_tariffs(tariffs: DataFrame, tariff_status: DataFrame) -> DataFrame:
     ok = tariff_status.filter("valid").select("tariff_id")
-    return checked_broadcast(tariffs.join(F.broadcast(ok), "tariff_id", "left_semi")
+    return checked_broadcast(tariffs.join(ok, "tariff_id", "left_semi")
                              .select("tariff_id", "hour", F.col("price").cast("double").alias("price")))
 
 
