@@ -112,9 +112,11 @@ def load_readings(spark: SparkSession, data_path: str, home_id: int = 1,
         dim = dimension if dimension is not None else channel_dimension(spark, home_id=home_id)
         ids = None if dimension is not None else list(VARIABLE_CHANNELS)
         long = rename_channels(filter_variables(read_combined_csv(spark, tried[2]), ids=ids), dim)
-        # Column order follows the ids as text (D3): Aggregate, Appliance9, Appliance1, ...
-        pairs = dim.select("variable_id", "channel").distinct().collect()
-        channels = list(dict.fromkeys(r["channel"] for r in sorted(pairs, key=lambda r: r["variable_id"])))
+        # Pivot columns: one row per channel name (bounded by the channel
+        # vocabulary, not by homes), ordered by id text (D3): Aggregate,
+        # Appliance9, Appliance1, ...
+        names = dim.groupBy("channel").agg(F.min("variable_id").alias("first_id")).collect()
+        channels = [r["channel"] for r in sorted(names, key=lambda r: r["first_id"])]
         return pivot_first(long, channels)
     raise FileNotFoundError("REFIT data file not found. Tried:\n" + "\n".join(f"  - {p}" for p in tried))
 
