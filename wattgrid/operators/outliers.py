@@ -24,7 +24,15 @@ def zscore_stats(df: DataFrame, columns: Sequence[str], *, keys=("home_id",)) ->
 def remove_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, *,
                     keys=("home_id",), keep_constant: bool = False,
                     skip_empty: bool = True) -> DataFrame:
-    """Keep rows whose |z| < threshold in every column (strict).
+    """Filter on :func:`outlier_flags`."""
+    return (outlier_flags(df, columns, threshold, keys=keys, keep_constant=keep_constant, skip_empty=skip_empty)
+            .filter("_keep").drop("_keep"))
+
+
+def outlier_flags(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, *,
+                  keys=("home_id",), keep_constant: bool = False,
+                  skip_empty: bool = True) -> DataFrame:
+    """Add ``_keep``: |z| < threshold in every column (strict).
 
     Statistics are window aggregates over the series partition, so they ride
     the same exchange as the fill and feature windows: no join, no extra
@@ -48,7 +56,7 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.
     keep = conds[0]
     for c in conds[1:]:
         keep = keep & c
-    return df.withColumn("_keep", keep).filter("_keep").drop("_keep")
+    return df.withColumn("_keep", keep)
 
 
 def removal_counts(before: DataFrame, after: DataFrame, *, keys=("home_id",)) -> DataFrame:
@@ -59,3 +67,15 @@ def removal_counts(before: DataFrame, after: DataFrame, *, keys=("home_id",)) ->
     removed = F.col("n_before") - F.col("n_after")
     return out.select(*keys, "n_before", "n_after", removed.alias("n_removed"),
                       (removed / F.col("n_before") * 100).alias("pct_removed"))
+
+
+def outlier_removal_counts(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, *,
+                           keys=("home_id",), **kw) -> DataFrame:
+    """A7 for the z-score filter in one pass: the keep flag is a column and
+    one aggregate counts rows before (all) and after (kept)."""
+    flagged = outlier_flags(df, columns, threshold, keys=keys, **kw)
+    counts = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_before"),
+                                        F.sum(F.col("_keep").cast("long")).alias("n_after"))
+    removed = F.col("n_before") - F.col("n_after")
+    return counts.select(*keys, "n_before", "n_after", removed.alias("n_removed"),
+                         (removed / F.col("n_before") * 100).alias("pct_removed"))

@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS
 from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
-from ..operators.outliers import removal_counts, remove_outliers, zscore_stats
+from ..operators.outliers import outlier_removal_counts, remove_outliers, zscore_stats
 from ..operators.pivot import pivot_first
 from ..operators.resample import count_missing, resample_mean
 from ..operators.scale import fit_minmax, minmax_scale
@@ -133,8 +133,7 @@ def q_outlier_filter(spark, sf):
 
 
 def q_outlier_counts(spark, sf):
-    before = filled(spark, sf)
-    return rounded(removal_counts(before, remove_outliers(before, CH, 3.0)))
+    return rounded(outlier_removal_counts(filled(spark, sf), CH, 3.0))
 
 
 def q_minmax_fit(spark, sf):
