@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..util import interval_seconds
@@ -52,7 +53,9 @@ def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
     tol_us = tol * 1_000_000
     bucket = F.floor(_micros(F.col(on)) / F.lit(tol_us)).cast("long")
 
-    r_order = F.col(right_order).cast("double") if right_order else F.monotonically_increasing_id().cast("double")
+    # The order key keeps its own type (a cast to double would lose large ids).
+    r_order = F.col(right_order) if right_order else F.monotonically_increasing_id()
+    order_type = right.schema[right_order].dataType if right_order else T.LongType()
     r_struct = F.struct(F.col(on).alias("t"), *[F.col(c).alias(r_names[c]) for c in right_vals])
     r = (right.select(*by, F.col(on).alias("_t"), bucket.alias("_b0"),
                       r_order.alias("_ro"), r_struct.alias("_r"))
@@ -62,7 +65,7 @@ def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
     l_struct = F.struct(*[F.col(c).alias(l_names[c]) for c in left_vals])
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(max(salt, 1))).cast("int") if salt > 1 else F.lit(0)
     lft = left.select(*by, F.col(on).alias("_t"), bucket.alias("_b"), spread.alias("_salt"),
-                      F.lit(None).cast("double").alias("_ro"), l_struct.alias("_l"))
+                      F.lit(None).cast(order_type).alias("_ro"), l_struct.alias("_l"))
     r = r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType))
     lft = lft.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
     u = lft.unionByName(r)
