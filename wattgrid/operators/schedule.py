@@ -244,7 +244,10 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
     flow_in = g.filter(F.col("path") == "flow").drop("ranked_on")
     schema = T.StructType([*flow_in.schema.fields, T.StructField("is_on", T.IntegerType()),
                            T.StructField("feasible", T.BooleanType())])
-    flowed = flow_in.sortWithinPartitions(*keys).mapInPandas(_batch_solver(keys, schema.fieldNames()), schema)
+    # mapInPandas needs every row of a home in one partition: state it (Spark
+    # drops this exchange when the grid is already partitioned that way).
+    flowed = (flow_in.repartition(parts, *keys).sortWithinPartitions(*keys)
+              .mapInPandas(_batch_solver(keys, schema.fieldNames()), schema))
     full = direct.withColumn("is_on", F.col("is_on").cast("int")).unionByName(flowed)
     if checkpoint:
         full = materialize(full)
