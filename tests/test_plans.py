@@ -32,11 +32,14 @@ def test_no_pairs_are_ever_formed(spark, name):
     assert "BroadcastNestedLoopJoin" not in text
 
 
-def test_feature_chain_is_three_exchanges_and_no_python(spark):
+def test_feature_chain_is_two_exchanges_and_no_python(spark):
     text = plan(E.queries()["feature_matrix"](spark, SF))
     keys = [re.sub(r"#\d+L?", "", e) for e in exchanges(text)]
-    assert len(keys) == 3
+    # bin means (after a map-side partial aggregate), then the per-home windows
+    assert len(keys) == 2
+    assert keys[0].startswith("hashpartitioning(home_id, _bin,")
     assert keys[-1].startswith("hashpartitioning(home_id,") and keys[-1].count(",") == 1
+    assert re.search(r"HashAggregate[\s\S]*partial_avg", text)
     assert not re.search(r"MapInPandas|FlatMapGroupsInPandas|EvalPython", text)
     assert "PushedFilters: [In(event_type" in text or "In(event_type," in text
 

@@ -154,3 +154,24 @@ def test_e12_e13_calendar(spark):
 def test_missing_channel_is_ignored_by_outlier_filter(spark):
     df = series_df(spark, [1.0, 2.0, 3.0]).withColumn("y", F.lit(None).cast("double"))
     assert remove_outliers(df, ["x", "y"], 3.0).count() == 3
+
+
+def test_unique_readings_path_equals_pivot_path(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(300):
+        t = T0 + dt.timedelta(seconds=int(i * 97 + rng.integers(0, 50)))
+        rows.append((int(rng.integers(0, 3)), ["a", "b", "c"][i % 3], t,
+                     None if i % 17 == 0 else float(rng.integers(0, 1000)), i))
+    df = long_df(spark, rows)
+    from wattgrid.operators.resample import resample_readings
+    exact = resample_readings(df, ["a", "b", "c"], "15min").orderBy("home_id", "ts").collect()
+    fast = resample_readings(df, ["a", "b", "c"], "15min", unique=True).orderBy("home_id", "ts").collect()
+    assert exact == fast
+
+
+def test_default_path_keeps_the_first_duplicate(spark):
+    from wattgrid.operators.resample import resample_readings
+    rows = [(1, "a", T0, 10.0, 2), (1, "a", T0, 30.0, 1), (1, "a", T0 + dt.timedelta(minutes=1), 20.0, 3)]
+    out = resample_readings(long_df(spark, rows), ["a"], "15min").collect()
+    assert out[0]["a"] == 25.0  # first of the duplicates (seq 1 -> 30) and 20

@@ -15,7 +15,7 @@ from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
 from ..operators.outliers import outlier_removal_counts, remove_outliers, zscore_stats
 from ..operators.pivot import pivot_first
-from ..operators.resample import count_missing, resample_mean
+from ..operators.resample import count_missing, resample_readings
 from ..operators.scale import fit_minmax, minmax_scale
 from ..sources.readings import channel_dimension, filter_variables, rename_channels
 from ..sources.tables import EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table
@@ -34,7 +34,7 @@ from ..sources.tables import (appliances_from_part, plans_from_appliances, tarif
 from ..operators.features import feature_names
 from ..session import materialize
 from . import forecast, reports
-from .preprocess import preprocess
+from .preprocess import preprocess_binned
 from .scenarios import SCENARIOS, scenario_plans
 
 CH = EVENT_CHANNELS
@@ -55,8 +55,15 @@ def wide_readings(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_first(readings_from_events(table(spark, sf, "events")), CH)
 
 
+# ``events`` has one row per timestamp (a key of the table, checked at every
+# scale factor), so one reading per (home, channel, ts): the bin means use
+# the partial-aggregation path.  ``pivot_first`` keeps the general path.
+UNIQUE_READINGS = True
+
+
 def hourly(spark: SparkSession, sf: str, fill_gaps: bool = True, interval: str = INTERVAL) -> DataFrame:
-    return resample_mean(wide_readings(spark, sf), CH, interval, fill_gaps=fill_gaps)
+    return resample_readings(readings_from_events(table(spark, sf, "events")), CH, interval,
+                             unique=UNIQUE_READINGS, fill_gaps=fill_gaps)
 
 
 def filled(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
@@ -64,7 +71,7 @@ def filled(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
 
 
 def processed(spark: SparkSession, sf: str, interval: str = INTERVAL) -> DataFrame:
-    return preprocess(wide_readings(spark, sf), CH, interval=interval)
+    return preprocess_binned(hourly(spark, sf, interval=interval), CH)
 
 
 TARGET = CH[0]
