@@ -75,3 +75,13 @@ def test_salted_join_gives_the_same_rows(spark):
     plain = merge_nearest(left, r, tolerance="20min", right_order="rseq").orderBy("lid").collect()
     salted = merge_nearest(left, r, tolerance="20min", right_order="rseq", salt=5).orderBy("lid").collect()
     assert plain == salted
+
+
+def test_broadcast_strategy_keyed_and_suffixes(spark):
+    left = spark.createDataFrame([(1, T0, 5.0), (2, T0, 6.0), (3, T0, 7.0)], "k long, ts timestamp_ntz, v double")
+    right = spark.createDataFrame([(1, T0, 1.0), (2, T0 + dt.timedelta(minutes=5), 2.0),
+                                   (2, T0 + dt.timedelta(minutes=5), 3.0)], "k long, ts timestamp_ntz, v double")
+    out = merge_nearest(left, right, by=["k"], strategy="broadcast")
+    assert set(out.columns) == {"k", "ts", "v_x", "v_y"}
+    got = {r["k"]: (r["v_x"], r["v_y"]) for r in out.collect()}
+    assert got == {1: (5.0, 1.0), 2: (6.0, 2.0), 3: (7.0, None)}

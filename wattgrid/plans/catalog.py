@@ -204,6 +204,15 @@ def q_asof_nearest(spark, sf):
     return rounded(merge_nearest(left, right, on="ts", tolerance="1h", right_order="weather_seq"))
 
 
+def q_asof_nearest_broadcast(spark, sf):
+    ev = table(spark, sf, "events")
+    left = ev.filter(F.col("event_type") == "click").select("event_id", "ts", "user_id", "value")
+    right = ev.filter(F.col("event_type") == "view").select(
+        "ts", "value", F.col("event_id").alias("weather_seq"))
+    return rounded(merge_nearest(left, right, on="ts", tolerance="1h", right_order="weather_seq",
+                                 strategy="broadcast"))
+
+
 def q_regression_metrics(spark, sf):
     return rounded(regression_metrics(predictions_from_lineitem(table(spark, sf, "lineitem")), ["split"]))
 
@@ -381,6 +390,7 @@ QUERIES = {
     "split_ranges": q_split_ranges,
     "sequences": q_sequences,
     "asof_nearest": q_asof_nearest,
+    "asof_nearest_broadcast": q_asof_nearest_broadcast,
     "regression_metrics": q_regression_metrics,
     "prediction_bounds": q_prediction_bounds,
     "profile": q_profile,

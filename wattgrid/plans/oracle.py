@@ -621,3 +621,5 @@ FROM sched GROUP BY home_id, appliance"""
 
 SQL["appliances_per_hour"] = f"""WITH {sched_ctes()}
 SELECT home_id, hour, sum(is_on)::BIGINT AS n_on FROM sched GROUP BY home_id, hour"""
+
+SQL["asof_nearest_broadcast"] = SQL["asof_nearest"]
