@@ -30,3 +30,19 @@ def test_stream_matches_batch(spark, tmp_dir):
     assert got and set(got) <= set(exp)
     for k, v in got.items():
         assert v == exp[k]
+
+
+def test_parquet_to_parquet_stream(spark, tmp_dir):
+    from wattgrid.streaming.bins import start_bin_stream
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, "a", t0 + dt.timedelta(minutes=5 * i), float(i), i) for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_dir}/in")
+    q = start_bin_stream(spark, f"{tmp_dir}/in", spark.read.parquet(f"{tmp_dir}/in").schema, ["a"],
+                         f"{tmp_dir}/out", f"{tmp_dir}/ckpt", interval="15min", watermark="15 minutes",
+                         trigger_once=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{tmp_dir}/out").orderBy("ts").collect()
+    assert out, "closed bins are written"
+    assert out[0]["a"] == 1.0  # mean of 0, 1, 2 in the first 15 minutes
+    assert out[0]["ts"] == t0
