@@ -39,6 +39,7 @@ def date_range(df: DataFrame, *, keys=("home_id",), ts="ts") -> DataFrame:
                                  F.max(ts).alias("last_ts"))
 
 
-def head(df: DataFrame, n: int = 5, *, ts="ts") -> DataFrame:
-    """T4: first ``n`` rows by time (a top-k; the limit is the feature)."""
-    return df.orderBy(ts).limit(n)
+def head(df: DataFrame, n: int = 5, *, ts="ts", tie_break: Sequence[str] = ()) -> DataFrame:
+    """T4: first ``n`` rows by time (a top-k; the limit is the feature).
+    ``tie_break`` orders rows of equal time (e.g. several homes per bin)."""
+    return df.orderBy(ts, *tie_break).limit(n)

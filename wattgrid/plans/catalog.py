@@ -51,10 +51,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # --- building blocks -------------------------------------------------------
 
-def wide_readings(spark: SparkSession, sf: str) -> DataFrame:
-    return pivot_first(readings_from_events(table(spark, sf, "events")), CH)
-
-
 # ``events`` has one row per timestamp (a key of the table, checked at every
 # scale factor), so one reading per (home, channel, ts): the bin means use
 # the partial-aggregation path.  ``pivot_first`` keeps the general path.
@@ -231,7 +227,7 @@ def q_date_range(spark, sf):
 
 def q_head_rows(spark, sf):
     """T4: the first rows by time (a top-k: the limit is the feature)."""
-    return rounded(filled(spark, sf).orderBy("ts", "home_id").limit(10))
+    return rounded(head(filled(spark, sf), 10, tie_break=["home_id"]))
 
 
 def q_zscore_stats(spark, sf):
