@@ -101,8 +101,9 @@ def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
 
 def _priced_tariffs(tariffs: DataFrame, tariff_status: DataFrame) -> DataFrame:
     ok = tariff_status.filter("valid").select("tariff_id")
-    return checked_broadcast(tariffs.join(ok, "tariff_id", "left_semi")
-                             .select("tariff_id", "hour", F.col("price").cast("double").alias("price")))
+    priced = (tariffs.join(ok, "tariff_id", "left_semi")
+              .select("tariff_id", "hour", F.col("price").cast("double").alias("price")))
+    return checked_broadcast(priced, source=tariffs)  # a semi join never adds rows
 
 
 def hour_grid(checked: DataFrame, homes: DataFrame, priced: DataFrame,

@@ -85,13 +85,18 @@ def plans_from_appliances(appliances: DataFrame) -> DataFrame:
 
 
 def tariff_table(spark: SparkSession, names=None) -> DataFrame:
-    """The reference's tariffs as ``(tariff_id, hour, price)``."""
+    """The reference's tariffs as ``(tariff_id, hour, price)`` - a local
+    relation (its rows sit on the driver, so its size is known)."""
+    import pandas as pd
+
     names = list(names or TARIFFS)
-    rows = [(n, h, float(p)) for n in names for h, p in enumerate(TARIFFS[n])]
+    pdf = pd.DataFrame({"tariff_id": [n for n in names for _ in TARIFFS[n]],
+                        "hour": pd.array([h for n in names for h in range(len(TARIFFS[n]))], dtype="int32"),
+                        "price": [float(p) for n in names for p in TARIFFS[n]]})
     schema = StructType([StructField("tariff_id", StringType(), False),
                          StructField("hour", IntegerType(), False),
                          StructField("price", DoubleType(), False)])
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(pdf, schema)
 
 
 def tariffs_from_events(events: DataFrame) -> DataFrame:
