@@ -29,8 +29,19 @@ APPLIANCES_PER_HOME = 3
 TARIFF_ORDER = ["default", "flat", "steep"]
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table ``name``.  One lazy DataFrame per (session, path):
+    it holds the file listing and schema, not data, so repeated queries skip
+    re-listing files and re-reading footers on the driver."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
