@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..util import series_window
+from ..util import over_sql, quote
 
 
 def lag_columns(columns: Sequence[str], lags: Sequence[int], *, keys=("home_id",), ts="ts",
@@ -15,8 +15,8 @@ def lag_columns(columns: Sequence[str], lags: Sequence[int], *, keys=("home_id",
     """``{c}_lag_{k}`` = the value k rows back (rows, not time).
 
     Columns not in ``available`` are skipped, as the reference skips them."""
-    w = series_window(keys, ts)
-    return {f"{c}_lag_{k}": F.lag(F.col(c), k).over(w)
+    w = over_sql(keys, ts)
+    return {f"{c}_lag_{k}": F.expr(f"lag({quote(c)}, {int(k)}) {w}")
             for c in columns if available is None or c in available for k in lags}
 
 
@@ -25,21 +25,20 @@ def rolling_columns(columns: Sequence[str], windows: Sequence[int], *, keys=("ho
     """Trailing mean, sum and sample std over ``w`` rows, current included,
     at least one value (std of one value is NULL)."""
     out = {}
-    base = series_window(keys, ts)
     for c in columns:
         if available is not None and c not in available:
             continue
         for n in windows:
-            w = base.rowsBetween(-(n - 1), 0)
-            out[f"{c}_rolling_mean_{n}"] = F.avg(c).over(w)
-            out[f"{c}_rolling_sum_{n}"] = F.sum(c).over(w)
-            out[f"{c}_rolling_std_{n}"] = F.stddev_samp(c).over(w)
+            w = over_sql(keys, ts, rows=(-(int(n) - 1), 0))
+            out[f"{c}_rolling_mean_{n}"] = F.expr(f"avg({quote(c)}) {w}")
+            out[f"{c}_rolling_sum_{n}"] = F.expr(f"sum({quote(c)}) {w}")
+            out[f"{c}_rolling_std_{n}"] = F.expr(f"stddev_samp({quote(c)}) {w}")
     return out
 
 
 def target_column(target: str, horizon: int = 4, *, keys=("home_id",), ts="ts") -> Column:
     """The value ``horizon`` rows ahead."""
-    return F.lead(F.col(target), horizon).over(series_window(keys, ts))
+    return F.expr(f"lead({quote(target)}, {int(horizon)}) {over_sql(keys, ts)}")
 
 
 def add_lag_features(df: DataFrame, columns, lags, *, keys=("home_id",), ts="ts") -> DataFrame:

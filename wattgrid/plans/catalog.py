@@ -45,8 +45,10 @@ KEEP_CHANNELS = ["Aggregate", "Appliance1", "Appliance2", "Appliance9"]
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles in two steps (9 places, then ``digits``) so summation-order
     noise cannot flip a half-way case."""
-    return df.select(*[F.round(F.round(F.col(f.name), 9), digits).alias(f.name)
-                       if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in df.schema.fields])
+    def q(n):
+        return "`" + n.replace("`", "``") + "`"
+    return df.selectExpr(*[f"round(round({q(f.name)}, 9), {int(digits)}) AS {q(f.name)}"
+                           if isinstance(f.dataType, DoubleType) else q(f.name) for f in df.schema.fields])
 
 
 # --- building blocks -------------------------------------------------------

@@ -82,3 +82,20 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     if source is not None and source.isLocal():
         return F.broadcast(df) if source.count() <= max_rows else df
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def over_sql(keys: Sequence[str], ts: str = "ts", rows: tuple[int, int] | None = None) -> str:
+    """``OVER (...)`` text of the series window.  Many window columns are
+    cheaper to declare as SQL text (``F.expr``): one call each instead of a
+    chain of Column-building calls from Python."""
+    frame = ""
+    if rows is not None:
+        lo, hi = rows
+        start = "UNBOUNDED PRECEDING" if lo is None else ("CURRENT ROW" if lo == 0 else f"{-lo} PRECEDING")
+        end = "CURRENT ROW" if hi == 0 else f"{hi} FOLLOWING"
+        frame = f" ROWS BETWEEN {start} AND {end}"
+    return f"OVER (PARTITION BY {', '.join(quote(k) for k in keys)} ORDER BY {quote(ts)} ASC{frame})"
