@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..util import epoch_seconds, running
+from ..util import epoch_seconds, over_sql, quote, running
 
 METHODS = ("ffill", "bfill", "interpolate", "drop")
 
 
 def _prev(c: str, keys, ts):
     """Last non-null value at or before the row (growing frame, O(n))."""
-    return F.last(F.col(c), ignorenulls=True).over(running(keys, ts))
+    return F.expr(f"last({quote(c)}, true) {over_sql(keys, ts, rows=(None, 0))}")
 
 
 def _next(c: str, keys, ts):
@@ -23,7 +23,7 @@ def _next(c: str, keys, ts):
     Written as a growing frame over the reversed order: an unbounded
     *following* frame would be recomputed for every row (quadratic).
     """
-    return F.last(F.col(c), ignorenulls=True).over(running(keys, ts, desc=True))
+    return F.expr(f"last({quote(c)}, true) {over_sql(keys, ts, rows=(None, 0), desc=True)}")
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), ts="ts") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..util import whole
+from ..util import over_sql, quote
 
 
 def zscore_stats(df: DataFrame, columns: Sequence[str], *, keys=("home_id",)) -> DataFrame:
@@ -41,17 +41,17 @@ def outlier_flags(df: DataFrame, columns: Sequence[str], threshold: float = 3.0,
     zero spread are ignored instead.  ``skip_empty`` ignores a column that has
     no value at all in a series (a channel the home does not have).
     """
-    w = whole(keys)
+    w = over_sql(keys, None)
     conds = []
     for c in columns:
-        mean = F.avg(c).over(w)
-        std = F.stddev_samp(c).over(w)
+        mean = F.expr(f"avg({quote(c)}) {w}")
+        std = F.expr(f"stddev_samp({quote(c)}) {w}")
         z = F.abs(F.try_divide(F.col(c) - mean, std))
         cond = z < F.lit(float(threshold))
         if keep_constant:
             cond = F.when(F.coalesce(std, F.lit(0.0)) == 0, F.lit(True)).otherwise(cond)
         if skip_empty:
-            cond = F.when(F.count(c).over(w) == 0, F.lit(True)).otherwise(cond)
+            cond = F.when(F.expr(f"count({quote(c)}) {w}") == 0, F.lit(True)).otherwise(cond)
         conds.append(F.coalesce(cond, F.lit(False)))
     keep = conds[0]
     for c in conds[1:]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import TIME_FEATURES
-from ..util import numeric_columns, whole
+from ..util import numeric_columns, over_sql, quote
 
 
 def default_scale_columns(df: DataFrame, keys=("home_id",), ts="ts") -> list[str]:
@@ -27,8 +27,9 @@ def minmax_scale(df: DataFrame, columns: Sequence[str] | None = None, *,
     """Fit and transform in one pass: min/max are window aggregates over the
     series partition (no join, no extra exchange)."""
     cols = list(columns) if columns is not None else default_scale_columns(df, keys, ts)
-    w = whole(keys)
-    return df.withColumns({c: _scaled(c, F.min(c).over(w), F.max(c).over(w)) for c in cols})
+    w = over_sql(keys, None)
+    return df.withColumns({c: _scaled(c, F.expr(f"min({quote(c)}) {w}"), F.expr(f"max({quote(c)}) {w}"))
+                           for c in cols})
 
 
 def fit_minmax(df: DataFrame, columns: Sequence[str] | None = None, *,

@@ -88,7 +88,8 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def over_sql(keys: Sequence[str], ts: str = "ts", rows: tuple[int, int] | None = None) -> str:
+def over_sql(keys: Sequence[str], ts: str | None = "ts", rows: tuple[int, int] | None = None,
+             desc: bool = False) -> str:
     """``OVER (...)`` text of the series window.  Many window columns are
     cheaper to declare as SQL text (``F.expr``): one call each instead of a
     chain of Column-building calls from Python."""
@@ -98,4 +99,5 @@ def over_sql(keys: Sequence[str], ts: str = "ts", rows: tuple[int, int] | None =
         start = "UNBOUNDED PRECEDING" if lo is None else ("CURRENT ROW" if lo == 0 else f"{-lo} PRECEDING")
         end = "CURRENT ROW" if hi == 0 else f"{hi} FOLLOWING"
         frame = f" ROWS BETWEEN {start} AND {end}"
-    return f"OVER (PARTITION BY {', '.join(quote(k) for k in keys)} ORDER BY {quote(ts)} ASC{frame})"
+    order = f" ORDER BY {quote(ts)} {'DESC' if desc else 'ASC'}" if ts else ""
+    return f"OVER (PARTITION BY {', '.join(quote(k) for k in keys)}{order}{frame})"
