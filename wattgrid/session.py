@@ -41,11 +41,38 @@ def build_session(master: str | None = None, app: str = "wattgrid",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on for a session made elsewhere."""
+    """Pin the settings results depend on for a session made elsewhere, and
+    make the package importable on executors (the schedule flow and the
+    broadcast as-of join run library code inside Python workers)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+_ZIP: list = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of this package once per SparkContext - what
+    ``spark-submit --py-files`` does - so Python workers import it wherever
+    they run.  The zip is built once per driver process and Spark ships it
+    to every executor; no data goes there."""
+    import shutil
+    import tempfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    if not _ZIP:
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = tempfile.mkdtemp(prefix="wattgrid-pyfiles-")
+        _ZIP.append(shutil.make_archive(os.path.join(out, "wattgrid"), "zip",
+                                        root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg)))
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only set one where unset."""
     sc = spark.sparkContext
