@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from .common import map_arrow
 
 UNDETERMINED = "und"
+#: Stands at the end of every dictionary and before every block, so that also a
+#: block of a few bytes is encoded (not stored as it is) and sizes can differ.
+MARK = bytes(range(160, 224)) * 2
 
 
 def fit_dictionaries(docs: DataFrame, slots: int = 256, snippet: int = 512,
@@ -46,11 +49,12 @@ def fit_dictionaries(docs: DataFrame, slots: int = 256, snippet: int = 512,
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.01,
-             level: int = 6, block: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             level: int = 6, tie_level: int = 19, block: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, lang_pred, score, margin, rejected)`` for every row.
 
     The whole text, lower-cased, is encoded in blocks of ``block`` bytes with
-    each dictionary.  ``margin``: how much smaller the best encoding is than
+    each dictionary; where the smallest size is not alone, again at
+    ``tie_level``, which finds shorter matches.  ``margin``: how much smaller the best encoding is than
     the second, as a share of the second.  ``score``: share of the best
     language when sizes are turned into weights, 0 to 1.  ``rejected``: margin
     under ``min_margin``, or undetermined.  Null text, a text without a letter
@@ -62,17 +66,21 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     names = list(dictionaries)
 
     def make():
-        packs = []
-        for name in names:
-            d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        def compressor(name: str, level: int):
+            d = zstandard.ZstdCompressionDict(dictionaries[name] + MARK, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
-            packs.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False,
-                                                  write_content_size=False, write_dict_id=False).compress)
+            return zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False,
+                                            write_content_size=False, write_dict_id=False).compress
+
+        packs = [compressor(name, level) for name in names]
+        closer = [compressor(name, tie_level) for name in names]
 
         def score(text: str) -> tuple[str, float, float, bool]:
             raw = text.lower().encode()
-            blocks = [raw[i:i + block] for i in range(0, len(raw), block)]
+            blocks = [MARK + raw[i:i + block] for i in range(0, len(raw), block)]
             sizes = [sum(len(p(b)) for b in blocks) for p in packs]
+            if sizes.count(min(sizes)) > 1:
+                sizes = [sum(len(p(b)) for b in blocks) for p in closer]
             best = min(sizes)
             at = sizes.index(best)
             rest = [s for i, s in enumerate(sizes) if i != at]
