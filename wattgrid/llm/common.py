@@ -31,6 +31,13 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(prepare(spark), sf_dir, "labels")
 
 
+def public_file(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder and read again."""
     return materialize(df)

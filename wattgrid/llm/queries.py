@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, sharding, toxicity
-from .common import documents, labels, remainder, training_sample
+from . import fingerprints, language, quality, repeats, sentencepiece, sharding, token_counts, toxicity
+from .common import documents, labels, public_file, remainder, training_sample
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,28 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, limit: int = 2048) -> DataFrame:
+    """``tokenizer``: path of the tokenizer's file; None: the public one."""
+    counts = token_counts.count_tokens(documents(spark, sf_dir), tokenizer or public_file("word_bpe_49k.json"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return fingerprints.fingerprint_chain(docs, fingerprints.lexicon(docs))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """``model``: path of the SentencePiece model; None: the public one."""
+    pieces = sentencepiece.Pieces.load(model or public_file("piece_bpe_32k.model"))
+    return sentencepiece.encode(documents(spark, sf_dir), pieces)
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), width=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -40,5 +62,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_sharding, op4_toxicity, op9_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_sharding, op4_toxicity, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
+    op10_suffix_dedup)}
 SQL: dict[str, str] = {}
