@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, quality, repeats, sentencepiece, sharding, token_counts, toxicity
+from . import fingerprints, language, near_duplicates, quality, repeats, sentencepiece, sharding, token_counts, toxicity
 from .common import documents, labels, public_file, remainder, training_sample
 
 
@@ -23,6 +23,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, sf_dir), similarity=0.85)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
@@ -63,6 +67,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_sharding, op4_toxicity, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
+    op1_language_id, op2_sharding, op3_near_duplicates, op4_toxicity, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
     op10_suffix_dedup)}
 SQL: dict[str, str] = {}
