@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, near_duplicates, quality, repeats, sentencepiece, sharding, token_counts, toxicity
-from .common import documents, labels, public_file, remainder, training_sample
+from . import contamination, fingerprints, language, near_duplicates, quality, repeats, sentencepiece, sharding, token_counts, toxicity
+from .common import documents, labels, public_file, remainder, table, training_sample
+from .oracle import SQL
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, limit: int = 2048) -> DataFrame:
     """``tokenizer``: path of the tokenizer's file; None: the public one."""
     counts = token_counts.count_tokens(documents(spark, sf_dir), tokenizer or public_file("word_bpe_49k.json"))
@@ -67,6 +75,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_sharding, op3_near_duplicates, op4_toxicity, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
+    op1_language_id, op2_sharding, op3_near_duplicates, op4_toxicity, op5_decontamination, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
     op10_suffix_dedup)}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
