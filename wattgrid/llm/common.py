@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import configure, materialize
 from ..sources.tables import table
@@ -48,8 +49,13 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def with_id(docs: DataFrame, id_col: str, rest: str) -> StructType:
+    """Schema of an id column as ``docs`` has it, and of further columns."""
+    return StructType([StructField(id_col, docs.schema[id_col].dataType), *StructType.fromDDL(rest)])
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``make()`` runs once in each task and returns the function that turns a
     batch into a batch (or None)."""
     def run(batches):

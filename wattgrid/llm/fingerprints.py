@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow
+from .common import cut, map_arrow, with_id
 from .words import LETTERS_DIGITS, LOWER_ASCII, Words, mix, pieces
 
 _U = np.uint64
@@ -180,7 +180,6 @@ def fingerprint_chain(docs: DataFrame, words: np.ndarray, id_col: str = "doc_id"
     ids come first.  A single row follows itself.  An empty table gives an
     empty result.  No other column is read."""
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(words)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -220,7 +219,7 @@ def fingerprint_chain(docs: DataFrame, words: np.ndarray, id_col: str = "doc_id"
         if held is not None:
             yield edge("last", held)
 
-    done = cut(dealt.mapInArrow(walk, f"id {kind}, {_OUT}, place string, part int, text string"))
+    done = cut(dealt.mapInArrow(walk, with_id(rows, "id", f"{_OUT}, place string, part int, text string")))
     # Two rows per partition at most.
     turn = Window.orderBy("part")
     all_parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -240,6 +239,6 @@ def fingerprint_chain(docs: DataFrame, words: np.ndarray, id_col: str = "doc_id"
                 names=names[:-3])
         return each
 
-    paired = map_arrow(ends, make, f"id {kind}, {_OUT}")
+    paired = map_arrow(ends, make, with_id(rows, "id", _OUT))
     return (done.where("place is null").select(*names[:-3]).unionByName(paired)
             .withColumnRenamed("id", id_col))

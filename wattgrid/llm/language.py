@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, with_id
 
 UNDETERMINED = "und"
 #: Stands at the end of every dictionary and before every block, so that also a
@@ -99,5 +99,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
                 names=[id_col, "lang_pred", "score", "margin", "rejected"])
         return each
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_arrow(rows, make, f"`{id_col}` {kind}, lang_pred string, score double, margin double, rejected boolean")
+    return map_arrow(rows, make, with_id(docs, id_col, "lang_pred string, score double, margin double, rejected boolean"))

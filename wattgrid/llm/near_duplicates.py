@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow
+from .common import cut, map_arrow, with_id
 from .graph import components
 from .words import BETWEEN_BLANKS, LOWER_ASCII, Words, join_hashes, list_array, mix, pieces
 
@@ -107,8 +107,7 @@ def _sketch_rows(rows: DataFrame, k: int, bands: int, per_band: int) -> DataFram
                 names=["id", "k", "n", "node", "bands"])
         return each
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return map_arrow(rows, make, f"id {kind}, k long, n long, node long, bands array<long>")
+    return map_arrow(rows, make, with_id(rows, "id", "k long, n long, node long, bands array<long>"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, with_id
 from .words import Piece, Words, join_hashes, mix, pieces
 
 BITS = 18
@@ -93,7 +93,6 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     of the whole text's n-gram shares with the weights.  Null and empty texts
     have no n-grams, so their score is that of the constant alone.  Repeated
     rows are scored each; no other column is read."""
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def make():
@@ -111,4 +110,4 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=[id_col, "score"])
         return each
 
-    return map_arrow(docs.select(F.col(id_col), F.col(text_col).alias("_text")), make, f"`{id_col}` {kind}, score double")
+    return map_arrow(docs.select(F.col(id_col), F.col(text_col).alias("_text")), make, with_id(docs, id_col, "score double"))

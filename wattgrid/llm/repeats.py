@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .common import cut, map_arrow
 from .suffixes import repeated_starts
@@ -216,7 +217,8 @@ def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 32, crowd: int
                 names=[*(f"_c{i}" for i in range(len(rest))), "n_bytes", "n_removed", "n_spans", "kept", "kept_text"])
         return each
 
-    kinds = [f"_c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)]
+    schema = StructType([*(StructField(f"_c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)),
+                         *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")])
     new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
-    done = map_arrow(rows, make, ", ".join([*kinds, "n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"]))
+    done = map_arrow(rows, make, schema)
     return done.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in new), *new)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, with_id
 
 CACHE = 300_000
 LONGEST_KEPT = 64
@@ -129,7 +129,6 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     nothing is lost).  ``round_trip``: decoding ``ids`` gives the text back.
     Null text: null ids, 0 tokens, round_trip null.  Empty text: no ids, true.
     Repeated rows are encoded each; no other column is read."""
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
@@ -151,12 +150,11 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         return each
 
     return map_arrow(docs.select(F.col(id_col), F.col(text_col).alias("_text")), make,
-                     f"`{id_col}` {kind}, n_tokens long, ids array<int>, round_trip boolean")
+                     with_id(docs, id_col, "n_tokens long, ids array<int>, round_trip boolean"))
 
 
 def decode(rows: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id_col, text)``: the texts that lists of ids stand for (null: null)."""
-    kind = rows.schema[id_col].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
@@ -167,4 +165,4 @@ def decode(rows: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col: str
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
         return each
 
-    return map_arrow(rows.select(F.col(id_col), F.col(ids_col)), make, f"`{id_col}` {kind}, text string")
+    return map_arrow(rows.select(F.col(id_col), F.col(ids_col)), make, with_id(rows, id_col, "text string"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, with_id
 
 CACHE = 400_000
 
@@ -88,7 +88,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     The tokenizer file (a few MB) is read on the driver and sent to the tasks."""
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
         counter = PieceCounter(shared.value)
@@ -101,4 +100,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col), text.alias("_text"), F.octet_length(text).cast("long").alias("_n"))
-    return map_arrow(rows, make, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
+    return map_arrow(rows, make, with_id(docs, id_col, "n_bytes long, n_tokens long"))

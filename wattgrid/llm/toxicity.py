@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, with_id
 from .words import LETTERS_DIGITS, LOWER_ASCII, Piece, Words, mix, pieces
 
 BITS = 20
@@ -170,11 +170,13 @@ def fit(sample: list[tuple[str, int]], rounds: int = 25, l2: float = 1e-4, rate:
     np.add.at(seen, (label[:-1][~opens[1:]].astype(int), label[1:][~opens[1:]].astype(int)), 1)
     squares = {k: 1e-6 for k in ("bias", "start")} | {"w": np.full(1 << BITS, 1e-6), "t": np.full((2, 2), 1e-6)}
     scale = 1.0 / max(1, int(label.sum()))
-    flat = ids.ravel()
+    columns = [ids[:, k] for k in range(ids.shape[1])]
     for _ in range(rounds):
         p, joint = marginals(_emission(ids, crf), first, crf)
         off = (label - p) * scale
-        g = np.bincount(flat, weights=np.repeat(off, ids.shape[1]), minlength=1 << BITS) - l2 * crf.weights
+        g = -l2 * crf.weights
+        for column in columns:
+            g += np.bincount(column, weights=off, minlength=1 << BITS)
         squares["w"] += g * g
         crf.weights += rate * g / np.sqrt(squares["w"])
         for name, value in (("bias", off.sum()), ("start", off[opens].sum())):
@@ -200,7 +202,6 @@ def score(docs: DataFrame, crf: Crf, span_p: float = 0.5, id_col: str = "doc_id"
     ``span_p`` or more; neighbouring tokens make one span.  Null, empty and
     wordless texts get the score of a text without tokens and no spans.
     Repeated rows are scored each; no other column is read."""
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(crf)
     span = pa.struct([("from", pa.int32()), ("to", pa.int32())])
 
@@ -230,4 +231,4 @@ def score(docs: DataFrame, crf: Crf, span_p: float = 0.5, id_col: str = "doc_id"
         return each
 
     return map_arrow(docs.select(F.col(id_col), F.col(text_col).alias("_text")), make,
-                     f"`{id_col}` {kind}, score double, spans array<struct<`from`: int, `to`: int>>")
+                     with_id(docs, id_col, "score double, spans array<struct<`from`: int, `to`: int>>"))
