@@ -33,7 +33,7 @@ def _bundle(digest, width: int):
     lo = F.conv(F.hex(F.substring(digest, 5, 4)), 16, 10).cast("long")
     level = F.least(F.lit(LEVELS - 1), F.lit(32) - F.length(F.conv(hi.cast("string"), 10, 2)))
     level = F.when(hi == 0, F.lit(LEVELS - 1)).otherwise(level)
-    return (level * width + lo % width).cast("int")
+    return F.coalesce((level * width + lo % width).cast("int"), F.lit(0))  # null texts: no digest
 
 
 def shard_rows(docs: DataFrame, shards: int = 24, large: int = 1000, width: int = 1024,
