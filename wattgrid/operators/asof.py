@@ -14,7 +14,8 @@ time order and in reverse time order.  To keep partitions bounded (and split
 a hot key over time), the window partition is (by keys, time bucket of width
 ``tolerance``); right rows are copied into their own bucket and the two
 adjacent ones, which is enough because a match is at most one tolerance
-away.  One exchange on (keys, bucket); the right side is copied 3x.
+away.  One exchange on (keys, bucket, salt); the right side is copied 3x per
+salt.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..util import interval_seconds
@@ -33,31 +33,26 @@ def _micros(c):
     return F.unix_micros(c.cast("timestamp"))
 
 
+KEYLESS_SALT = 8
+
+
 def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
                   by: Sequence[str] = (), tolerance: str | int = "1h",
                   right_order: str | None = None,
-                  suffixes: tuple[str, str] = ("_x", "_y"), salt: int = 1,
-                  strategy: str = "shuffle", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                  suffixes: tuple[str, str] = ("_x", "_y"), salt: int | None = None) -> DataFrame:
     """Left outer nearest as-of join of ``right`` onto ``left`` on time ``on``.
 
-    ``strategy="shuffle"`` (default, JVM only): the union + window plan
-    described above.  ``salt`` > 1 splits a hot (key, bucket) over that many
-    partitions: left rows are spread by a hash, right rows are copied to
-    every salt, so each left row still sees all its candidates.
-
-    ``strategy="broadcast"``: when a count proves the right side at most
-    ``broadcast_max_rows`` rows (a weather feed), it is broadcast sorted and
-    each left partition is matched in place by binary search
-    (``mapInPandas``): the left side, however large, is never shuffled; its
-    rows pass through Arrow batches instead.  Above the bound it falls back
-    to the shuffle plan."""
-    if strategy not in ("shuffle", "broadcast"):
-        raise ValueError(f"strategy must be 'shuffle' or 'broadcast', not {strategy!r}")
-    if strategy == "broadcast" and right.count() <= broadcast_max_rows:
-        return _merge_broadcast(left, right, on=on, by=list(by), tolerance=tolerance,
-                                right_order=right_order, suffixes=suffixes)
-    tol = interval_seconds(tolerance)
+    One plan for every size.  ``salt`` splits each (key, bucket) over that
+    many partitions: left rows are spread by a hash of the row, right rows are
+    copied to every salt, so each left row still sees all its candidates.
+    Without ``by`` all readings of an hour share a bucket while the right side
+    (a weather feed) is small, so the default there is ``KEYLESS_SALT``; with
+    ``by`` it is 1.
+
+    A NULL key or time matches nothing; such left rows stay, without a match."""
     by = list(by)
+    salt = (1 if by else KEYLESS_SALT) if salt is None else max(int(salt), 1)
+    tol = interval_seconds(tolerance)
     right_vals = [c for c in right.columns if c not in (on, *by)]
     left_vals = [c for c in left.columns if c not in (on, *by)]
     clash = set(right_vals) & set(left_vals)
@@ -71,13 +66,13 @@ def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
     r_order = F.col(right_order) if right_order else F.monotonically_increasing_id()
     order_type = right.schema[right_order].dataType if right_order else T.LongType()
     r_struct = F.struct(F.col(on).alias("t"), *[F.col(c).alias(r_names[c]) for c in right_vals])
-    r = (right.select(*by, F.col(on).alias("_t"), bucket.alias("_b0"),
+    r = (right.dropna(subset=[on, *by]).select(*by, F.col(on).alias("_t"), bucket.alias("_b0"),
                       r_order.alias("_ro"), r_struct.alias("_r"))
          .withColumn("_b", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(max(salt, 1) - 1))))
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
          .select(*by, "_t", "_b", "_salt", "_ro", "_r"))
     l_struct = F.struct(*[F.col(c).alias(l_names[c]) for c in left_vals])
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(max(salt, 1))).cast("int") if salt > 1 else F.lit(0)
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int") if salt > 1 else F.lit(0)
     lft = left.select(*by, F.col(on).alias("_t"), bucket.alias("_b"), spread.alias("_salt"),
                       F.lit(None).cast(order_type).alias("_ro"), l_struct.alias("_l"))
     r = r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType))
@@ -122,70 +117,3 @@ def merge_weather(readings: DataFrame, weather: DataFrame | None, **kw) -> DataF
     if weather is None:
         return readings
     return merge_nearest(readings, weather, **kw)
-
-
-def _merge_broadcast(left: DataFrame, right: DataFrame, *, on, by, tolerance, right_order, suffixes) -> DataFrame:
-    """Broadcast strategy of :func:`merge_nearest` (same tie rules)."""
-    import numpy as np
-    import pandas as pd
-
-    tol_us = interval_seconds(tolerance) * 1_000_000
-    right_vals = [c for c in right.columns if c not in (on, *by)]
-    left_vals = [c for c in left.columns if c not in (on, *by)]
-    clash = set(right_vals) & set(left_vals)
-    r_names = {c: (c + suffixes[1] if c in clash else c) for c in right_vals}
-    l_names = {c: (c + suffixes[0] if c in clash else c) for c in left_vals}
-
-    order = F.col(right_order) if right_order else F.monotonically_increasing_id()
-    rp = (right.filter(F.col(on).isNotNull())
-          .select(*by, _micros(F.col(on)).alias("_t"), order.alias("_ro"),
-                  *[F.col(c).alias(r_names[c]) for c in right_vals])
-          .toPandas())  # size-checked by the caller
-    rp = rp.sort_values([*by, "_t", "_ro"], kind="mergesort")
-    groups = {}
-    for key, part in (rp.groupby(by, sort=False) if by else [((), rp)]):
-        key = key if isinstance(key, tuple) else (key,)
-        groups[key] = (part["_t"].to_numpy(dtype="int64"), part[[r_names[c] for c in right_vals]].reset_index(drop=True))
-    shared = left.sparkSession.sparkContext.broadcast(groups)
-
-    lsel = left.select(*by, F.col(on), *[F.col(c).alias(l_names[c]) for c in left_vals],
-                       _micros(F.col(on)).alias("_lt"))
-    out_fields = [f for f in lsel.schema.fields if f.name != "_lt"]
-    out_fields += [T.StructField(r_names[c], right.schema[c].dataType, True) for c in right_vals]
-    schema = T.StructType(out_fields)
-    rcols = [r_names[c] for c in right_vals]
-
-    def run(batches):
-        table = shared.value
-        for pdf in batches:
-            n = len(pdf)
-            values = {c: np.full(n, None, dtype=object) for c in rcols}
-            keys_iter = pdf.groupby(by, sort=False).indices.items() if by else [((), np.arange(n))]
-            for key, idx in keys_iter:
-                key = key if isinstance(key, tuple) else (key,)
-                if key not in table:
-                    continue
-                rt, rv = table[key]
-                lt = pdf["_lt"].to_numpy()[idx]
-                valid = ~pd.isna(lt)
-                ltv = np.where(valid, lt, 0).astype("int64")
-                pos = np.searchsorted(rt, ltv, side="right")  # first right strictly after
-                prev, nxt = pos - 1, pos
-                has_p = valid & (prev >= 0)
-                has_n = valid & (nxt < len(rt))
-                dp = np.where(has_p, ltv - rt[np.clip(prev, 0, len(rt) - 1)], 0)
-                dn = np.where(has_n, rt[np.clip(nxt, 0, len(rt) - 1)] - ltv, 0)
-                ok_p = has_p & (dp <= tol_us)
-                ok_n = has_n & (dn <= tol_us)
-                choice = np.where(ok_p & (~ok_n | (dp <= dn)), prev, np.where(ok_n, nxt, -1))
-                good = choice >= 0
-                if good.any():
-                    sub = rv.iloc[choice[good]]
-                    for c in rcols:
-                        values[c][idx[good]] = sub[c].to_numpy(dtype=object)
-            out = pdf.drop(columns=["_lt"])
-            for c in rcols:
-                out[c] = values[c]
-            yield out[schema.fieldNames()]
-
-    return lsel.mapInPandas(run, schema)

@@ -32,7 +32,7 @@ def cols(fmt: str, names=CH, sep: str = ", ") -> str:
 
 READINGS = f"""
 readings AS (
-  SELECT user_id % 4 AS home_id, event_type AS channel, ts, value AS watts, event_id AS seq
+  SELECT user_id // 10 AS home_id, event_type AS channel, ts, value AS watts, event_id AS seq
   FROM events
   WHERE event_type IN ({cols("'{c}'")}) AND value IS NOT NULL AND NOT isnan(value)
 ),
@@ -136,12 +136,20 @@ dim AS (
 SELECT seq, raw.variable_id, home_id, channel, ts, round((watts)::DECIMAL(38,9), 6)::DOUBLE AS watts
 FROM raw JOIN dim ON raw.variable_id = dim.variable_id
 WHERE regexp_matches(raw.variable_id, 'TimeSeriesVariable[1-9]$|TimeSeriesVariable10$')
-  AND channel IN ('Aggregate', 'Appliance1', 'Appliance2', 'Appliance9')
+"""
+
+SQL["channel_select"] = """
+WITH k AS (SELECT user_id % 12 AS k, ts, value, event_id FROM events WHERE value IS NOT NULL AND NOT isnan(value))
+SELECT 1::BIGINT AS home_id, ts,
+       round((arg_min(value, event_id) FILTER (WHERE k = 1))::DECIMAL(38,9), 6)::DOUBLE AS Aggregate,
+       round((arg_min(value, event_id) FILTER (WHERE k = 2))::DECIMAL(38,9), 6)::DOUBLE AS Appliance1,
+       round((arg_min(value, event_id) FILTER (WHERE k = 10))::DECIMAL(38,9), 6)::DOUBLE AS Appliance9
+FROM k WHERE k BETWEEN 1 AND 10 GROUP BY ts
 """
 
 SQL["pivot_first"] = f"""
 WITH r AS (
-  SELECT user_id % 4 AS home_id, event_type AS channel, time_bucket(INTERVAL 1 hour, ts) AS ts,
+  SELECT user_id // 10 AS home_id, event_type AS channel, time_bucket(INTERVAL 1 hour, ts) AS ts,
          value AS watts, event_id AS seq
   FROM events WHERE event_type IN ({cols("'{c}'")}) AND value IS NOT NULL
 )
@@ -623,3 +631,54 @@ SQL["appliances_per_hour"] = f"""WITH {sched_ctes()}
 SELECT home_id, hour, sum(is_on)::BIGINT AS n_on FROM sched GROUP BY home_id, hour"""
 
 SQL["asof_nearest_broadcast"] = SQL["asof_nearest"]
+
+
+def _nearest(left: str, right: str, hours: int, on: str = "") -> str:
+    """CTEs ``prev`` and ``nxt`` (nearest right row before and after) of tables
+    with columns lid, ts (left) and rts, rid (right), and ``m``: the choice."""
+    side = (f"SELECT l.lid, r.*, row_number() OVER (PARTITION BY l.lid ORDER BY r.rts {{o}}, r.rid {{o}}) AS rn "
+            f"FROM {left} l JOIN {right} r ON {{c}}{on}")
+    before = side.format(o="DESC", c=f"r.rts <= l.ts AND r.rts >= l.ts - INTERVAL {hours} hour")
+    after = side.format(o="ASC", c=f"r.rts > l.ts AND r.rts <= l.ts + INTERVAL {hours} hour")
+    return f"""prev AS ({before}),
+nxt AS ({after}),
+m AS (
+  SELECT l.lid, coalesce(CASE WHEN p.rts IS NOT NULL AND (n.rts IS NULL OR l.ts - p.rts <= n.rts - l.ts) THEN p.rid END,
+                         n.rid) AS rid
+  FROM {left} l LEFT JOIN prev p ON p.lid = l.lid AND p.rn = 1 LEFT JOIN nxt n ON n.lid = l.lid AND n.rn = 1
+)"""
+
+
+SQL["asof_nearest_keyed"] = f"""
+WITH ev AS (SELECT CASE WHEN event_id % 11 <> 0 THEN user_id // 10 END AS home_id, ts, event_type, event_id,
+                   CASE WHEN NOT isnan(value) THEN value END AS watts FROM events),
+l AS (SELECT *, event_id AS lid FROM ev WHERE event_type = 'click'),
+r AS (SELECT home_id AS h, ts AS rts, event_id AS rid, CASE WHEN event_id % 7 <> 0 THEN watts END AS w,
+             CASE WHEN event_id % 5 <> 0 THEN event_id END AS feed_seq FROM ev WHERE event_type = 'view'),
+{_nearest('l', 'r', 12, ' AND l.home_id = r.h')}
+SELECT l.home_id, l.ts, l.event_id AS seq, {R('l.watts')} AS watts_x, {R('r.w')} AS watts_y, r.feed_seq, r.rid AS right_seq
+FROM l JOIN m USING (lid) LEFT JOIN r ON r.rid = m.rid
+"""
+
+_WEATHER = [*CH, "temperature"]
+
+
+def _weather_sql() -> str:
+    fill = cols(f"coalesce(last_value({{c}} IGNORE NULLS) {W_BACK}, first_value({{c}} IGNORE NULLS) {W_FWD}) AS {{c}}", _WEATHER)
+    return f"""WITH {READINGS},
+l AS (SELECT *, row_number() OVER (ORDER BY home_id, ts) AS lid FROM wide),
+r AS (SELECT ts AS rts, event_id AS rid, CASE WHEN NOT isnan(value) THEN value END AS temperature
+      FROM events WHERE event_type = 'view'),
+{_nearest('l', 'r', 1)},
+joined AS (SELECT l.*, r.temperature FROM l JOIN m USING (lid) LEFT JOIN r ON r.rid = m.rid),
+binned AS (SELECT home_id, time_bucket(INTERVAL 1 hour, ts) AS ts, {cols("avg({c}) AS {c}", _WEATHER)} FROM joined GROUP BY ALL),
+bounds AS (SELECT home_id, min(ts) AS lo, max(ts) AS hi FROM binned GROUP BY home_id),
+grid AS (SELECT home_id, unnest(generate_series(lo, hi, INTERVAL 1 hour)) AS ts FROM bounds),
+hourly AS (SELECT grid.home_id, grid.ts, {cols("binned.{c}", _WEATHER)}
+           FROM grid LEFT JOIN binned ON grid.home_id = binned.home_id AND grid.ts = binned.ts),
+filled AS (SELECT home_id, ts, {fill} FROM hourly),
+c AS (SELECT filled.*, {calendar_sel()} FROM filled)
+SELECT home_id, ts, {', '.join(r6(c, c) for c in _WEATHER)}, {', '.join(TF_INT)}, {', '.join(r6(c, c) for c in TF_DBL)} FROM c"""
+
+
+SQL["weather_features"] = _weather_sql()

@@ -1,9 +1,9 @@
 """Adapters from the shared parquet tables to this library's inputs.
 
 The mapping (fixed here, used by the driver queries and the bench):
-* ``events``  -> long readings: ``home_id = user_id % 4``, ``channel =
-  event_type`` (all types but ``view``), ``watts = value``, ``seq = event_id``;
-  the ``view`` rows are an outside-temperature feed (weather).
+* ``events``  -> long readings: ``home_id = user_id div 10`` (homes grow with
+  the table), ``channel = event_type`` (every type), ``watts = value``, ``seq =
+  event_id``; the ``view`` rows also serve as an outside-temperature feed.
 * ``events``  -> combined long file rows: ``TimeSeriesVariable<user_id % 12>``.
 * ``part``    -> flexible appliances: three parts per home
   (``home_id = p_partkey div 3``), runtime, window and power by arithmetic on
@@ -21,9 +21,9 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, TARIFFS, VARIABLE_PREFIX
 from ..util import nan_to_null
 
-EVENT_CHANNELS = ["click", "error", "purchase", "signup"]
+EVENT_CHANNELS = ["click", "error", "purchase", "signup", "view"]
 WEATHER_EVENT = "view"
-EVENT_HOMES = 4
+USERS_PER_HOME = 10
 VARIABLE_MODULUS = 12
 APPLIANCES_PER_HOME = 3
 TARIFF_ORDER = ["default", "flat", "steep"]
@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def readings_from_events(events: DataFrame) -> DataFrame:
     """Long readings ``(home_id, channel, ts, watts, seq)``."""
     return (events.filter(F.col("event_type").isin(EVENT_CHANNELS))
-            .select((F.col("user_id") % EVENT_HOMES).alias("home_id"),
+            .select(F.expr(f"user_id div {USERS_PER_HOME}").alias("home_id"),
                     F.col("event_type").alias("channel"),
                     F.col("ts"),
                     nan_to_null(F.col("value")).alias("watts"),
