@@ -72,3 +72,20 @@ def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)}
+
+
+def test_blocks_of_a_large_loose_family(spark):
+    """Copies whose similarities lie around the threshold, in blocks smaller
+    than the family."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rnd.randrange(0, 6)):
+            words[rnd.randrange(80)] = f"m{rnd.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 0.8, block=20).collect()
+    want = near_components(rows, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert 1 < len(set(want.values())) < 100

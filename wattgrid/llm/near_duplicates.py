@@ -138,8 +138,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return map_arrow(joined, make, "u long, v long")
 
 
+def _links_within(nodes: np.ndarray, component: np.ndarray, owner: np.ndarray, value: np.ndarray, sizes: np.ndarray,
+                  percent: int) -> list[tuple[int, int]]:
+    """Links that join rows of different components into the classes they form:
+    at most one per row.  ``owner``, ``value``: shingle sets of the rows."""
+    n = len(nodes)
+    common = np.zeros((n, n), np.float32)
+    order = np.argsort(value, kind="stable")
+    owner, value = owner[order], value[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(value)))
+    shared = np.flatnonzero(count > 1)
+    for at in range(0, len(shared), 4096):        # columns of shingles that several rows have
+        some = shared[at:at + 4096]
+        rows = np.concatenate([np.arange(f, f + c) for f, c in zip(first[some], count[some], strict=True)])
+        matrix = np.zeros((n, len(some)), np.float32)
+        matrix[owner[rows], np.repeat(np.arange(len(some)), count[some])] = 1
+        common += matrix @ matrix.T
+    both = sizes[:, None] + sizes[None, :] - common
+    link = ((100 * common >= percent * both) & (common > 0)) | (component[:, None] == component[None, :])
+    label = np.arange(n)
+    while True:
+        new = np.where(link, label, n).min(axis=1)
+        if (new == label).all():
+            break
+        label = new
+    # A representative per component and class is enough.
+    out = {(int(component[i]), int(label[i])): int(nodes[i]) for i in range(n) if component[i] != component[label[i]]}
+    return [(node, int(nodes[k])) for (_, k), node in out.items()]
+
+
+def _links_in_groups(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows ``(hub, i, j, node, component, text)``: links between rows of equal
+    ``(hub, i, j)``, which are a bounded block and come together."""
+    def run(batches):
+        held: dict[str, list] = {"node": [], "component": [], "text": []}
+        key = None
+
+        def links():
+            owners, values, sizes = [], [], np.zeros(len(held["node"]), np.int64)
+            for first, value, bounds, _ in shingles(pa.array(held["text"], pa.string()), k):
+                c = np.diff(bounds)
+                sizes[first:first + len(c)] = c
+                owners.append(first + np.repeat(np.arange(len(c)), c))
+                values.append(value)
+            got = _links_within(np.array(held["node"]), np.array(held["component"]), np.concatenate(owners),
+                                np.concatenate(values), sizes, percent)
+            for column in held.values():
+                column.clear()
+            u, v = zip(*got, strict=True) if got else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for hub, i, j, node, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (hub, i, j) != key and held["node"]:
+                    yield links()
+                key = (hub, i, j)
+                held["node"].append(node)
+                held["component"].append(component)
+                held["text"].append(text)
+        if held["node"]:
+            yield links()
+
+    dealt = rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    return dealt.select("hub", "i", "j", "node", "component", "text").mapInArrow(run, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", block: int = 400) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row.
 
     Words: A-Z lower-cased, between blanks.  Two texts are linked if their sets
@@ -148,12 +214,15 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col
     ``kept``: the row's own id is that one.
 
     Texts of equal word sequences are one node from the start.  Nodes that
-    share a band meet in buckets, in three steps, each checked on full sets:
-    every node with the least node it shares a bucket with; then, in buckets
-    that still hold several components, with the bucket's least node; then all
-    pairs of such buckets' nodes of different components whose sizes allow a
-    link.  So copies of one text never make all pairs, and no pair that shares
-    a band is left unchecked unless its ends are already connected.
+    share a band meet in buckets.  First every node is checked, on full sets,
+    with the least node it shares a bucket with; that settles groups of copies.
+    What is left are buckets that still hold several components.  Each of them
+    goes to its hub (its node with the most partners); the nodes of a hub's
+    buckets are dealt out in blocks of about ``block``, and each pair of blocks
+    is one small task that checks all its pairs of different components and
+    returns one link per class it finds.  So no pair that shares a band is left
+    unchecked unless its ends are already connected, no task holds more than
+    two blocks, and pairs are never rows of a table.
 
     Null, empty and wordless texts: no shingles, linked with nothing.  A null
     id: component_id is the least other id of the group, or null; it is kept
@@ -167,7 +236,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col
                                                             F.first("n").alias("n"), F.first("bands").alias("bands")))
     members = nodes.select("node", "n", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
-    members = cut(members.join(buckets.select("key", "pivot"), "key"))
+    members = cut(members.join(buckets, "key"))
     first = members.where("node > pivot").groupBy(F.col("node").alias("u")).agg(F.min("pivot").alias("v"))
     # One row for each node that has a partner (equal rows may repeat).
     chosen = (nodes.join(members.select("node").distinct(), "node", "left_semi")
@@ -176,28 +245,20 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col
                 .select("node", "text"))
     found = cut(components(_verified(first, texts, k, percent)))
 
-    def undecided(found: DataFrame) -> DataFrame:
-        """Members of buckets that hold several components."""
-        placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return cut(placed.join(several.where("lo < hi").select("key"), "key"))
-
-    def joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
-        """Components with the links among ``pairs`` as well."""
-        links = cut(_verified(pairs, texts, k, percent))
-        if links.isEmpty():
-            return found
-        return cut(components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)))
-
-    sizes_allow = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    some = undecided(found)
-    pivots = some.groupBy("key").agg(F.min(F.struct("node", "component", "n")).alias("p"))
-    found = joined(found, some.join(pivots, "key").where("component <> p.component").withColumn("m", F.col("p.n"))
-                   .where(sizes_allow).select(F.col("node").alias("u"), F.col("p.node").alias("v")).distinct())
-    some = undecided(found)
-    other = some.select("key", F.col("node").alias("v"), F.col("component").alias("c"), F.col("n").alias("m"))
-    found = joined(found, some.join(other, "key").where("node < v and component <> c").where(sizes_allow)
-                   .select(F.col("node").alias("u"), "v").distinct())
+    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = cut(placed.join(several.where("lo < hi").select("key"), "key"))
+    partners = open_.groupBy("node").agg(F.sum("size").alias("partners"))
+    hubs = open_.join(partners, "node").groupBy("key").agg(F.max(F.struct("partners", "node"))["node"].alias("hub"))
+    groups = cut(open_.join(hubs, "key").select("hub", "node", "component").distinct())
+    blocks = groups.groupBy("hub").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    pairs = (groups.join(blocks, "hub").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component"))
+    more = cut(_links_in_groups(pairs.join(texts, "node"), k, percent))
+    if not more.isEmpty():
+        found = cut(components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)))
     groups = nodes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = cut(groups)
     least = groups.groupBy("component").agg(F.min("least").alias("component_id"))
