@@ -23,7 +23,7 @@ WINDOW = 10
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is told apart; dictionaries come from a
     bounded sample of the labelled rows.  Rejected rows go: no letter, null
-    text, or best and second best encoding within a hundredth of each other.
+    text, or best and second best encoding within half a hundredth of each other.
     If no row has text and language, all go."""
     prepare(spark)
     whole = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "text")

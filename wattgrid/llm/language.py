@@ -48,7 +48,7 @@ def fit_dictionaries(docs: DataFrame, slots: int = 256, snippet: int = 512,
     return {lang: "\n".join(t for _, t in sorted(got)).encode() for lang, got in sorted(parts.items())}
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.01,
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.005,
              level: int = 6, tie_level: int = 19, block: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, lang_pred, score, margin, rejected)`` for every row.
 
