@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from wattgrid.operators.asof import merge_nearest, merge_weather
 
@@ -77,11 +78,12 @@ def test_salted_join_gives_the_same_rows(spark):
     assert plain == salted
 
 
-def test_broadcast_strategy_keyed_and_suffixes(spark):
-    left = spark.createDataFrame([(1, T0, 5.0), (2, T0, 6.0), (3, T0, 7.0)], "k long, ts timestamp_ntz, v double")
-    right = spark.createDataFrame([(1, T0, 1.0), (2, T0 + dt.timedelta(minutes=5), 2.0),
-                                   (2, T0 + dt.timedelta(minutes=5), 3.0)], "k long, ts timestamp_ntz, v double")
-    out = merge_nearest(left, right, by=["k"], strategy="broadcast")
+def test_keyed_suffixes_duplicates_and_null_keys(spark):
+    schema = "k long, ts timestamp_ntz, v long"
+    big = 9007199254740993
+    left = spark.createDataFrame([(1, T0, 5), (2, T0, 6), (3, T0, 7), (None, T0, 8), (1, None, 9)], schema)
+    right = spark.createDataFrame([(1, T0, big), (2, T0 + dt.timedelta(minutes=5), None),
+                                   (2, T0 + dt.timedelta(minutes=5), 3), (None, T0, 4), (1, None, 1)], schema)
+    out = merge_nearest(left, right.withColumn("o", F.monotonically_increasing_id()), by=["k"], right_order="o").drop("o")
     assert set(out.columns) == {"k", "ts", "v_x", "v_y"}
-    got = {r["k"]: (r["v_x"], r["v_y"]) for r in out.collect()}
-    assert got == {1: (5.0, 1.0), 2: (6.0, 2.0), 3: (7.0, None)}
+    assert {r["v_x"]: r["v_y"] for r in out.collect()} == {5: big, 6: None, 7: None, 8: None, 9: None}

@@ -1,7 +1,7 @@
 """The driver contract from outside the repo: a plain session, another cwd.
 
-Python workers must import the package there too (the schedule flow and the
-broadcast as-of join run library code in them)."""
+Python workers must import the package there too (the schedule flow runs
+library code in them)."""
 
 import os
 import subprocess
@@ -19,9 +19,9 @@ from pyspark.sql import SparkSession
 spec = importlib.util.spec_from_file_location("spark_entry", {os.path.join(REPO, "__spark_entry__.py")!r})
 E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
-         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+         .config("spark.ui.showConsoleProgress", "false").config("spark.ui.enabled", "false").getOrCreate())
 assert E.entry(spark).count() > 0
-for name in ("schedule_capped_cost", "asof_nearest_broadcast"):
+for name in ("schedule_capped_cost", "asof_nearest_keyed"):
     assert E.queries()[name](spark, {SF!r}).count() > 0, name
 assert set(E.oracle_sql()) <= set(E.queries())
 print("CONTRACT-OK")

@@ -8,10 +8,11 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from wattgrid.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
-ML = {"forecast_gbt", "importance_topn"}
+ML = {"forecast_gbt", "forecast_metrics", "importance_topn"}
 
 
 def plan(df) -> str:
@@ -25,19 +26,21 @@ def exchanges(text):
     return re.findall(r"Arguments: (hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|SinglePartition)", text)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ML))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ML))
 def test_no_pairs_are_ever_formed(spark, name):
     text = plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
 
 
-def test_feature_chain_is_two_exchanges_and_no_python(spark):
+def test_feature_chain_is_three_exchanges_and_no_python(spark):
     text = plan(E.queries()["feature_matrix"](spark, SF))
     keys = [re.sub(r"#\d+L?", "", e) for e in exchanges(text)]
-    # bin means (after a map-side partial aggregate), then the per-home windows
-    assert len(keys) == 2
-    assert keys[0].startswith("hashpartitioning(home_id, _bin,")
+    # first reading per time, bin means (after a map-side partial aggregate),
+    # then the per-home windows
+    assert len(keys) == 3
+    assert keys[0].startswith("hashpartitioning(home_id, ts,")
+    assert keys[1].startswith("hashpartitioning(home_id, _bin,")
     assert keys[-1].startswith("hashpartitioning(home_id,") and keys[-1].count(",") == 1
     assert re.search(r"HashAggregate[\s\S]*partial_avg", text)
     assert not re.search(r"MapInPandas|FlatMapGroupsInPandas|EvalPython", text)
@@ -51,6 +54,6 @@ def test_asof_is_one_exchange(spark):
 
 
 def test_python_only_in_the_schedule_flow(spark):
-    for name in sorted(set(E.queries()) - ML):
+    for name in sorted(set(QUERIES) - ML):
         text = plan(E.queries()[name](spark, SF))
         assert not re.search(r"BatchEvalPython|ArrowEvalPython", text), name

@@ -98,3 +98,30 @@ def test_load_and_prepare_with_weather(spark, tmp_dir):
     full = load_and_prepare(spark, tmp_dir, 1, f"{tmp_dir}/weather.csv")
     temps = [r["temperature"] for r in full.orderBy("ts").collect()]
     assert temps == [6.0, None]
+
+
+def test_wide_files_are_read_by_name(spark, tmp_dir):
+    write(f"{tmp_dir}/CLEAN_House1.csv", "timestamp,Aggregate,Appliance1\n2024-01-01 00:00:00,100,1\n")
+    write(f"{tmp_dir}/CLEAN_House2.csv", "timestamp,Appliance1,Aggregate\n2024-01-01 00:00:00,2,200\n")
+    write(f"{tmp_dir}/CLEAN_House3.csv", 'Appliance7,"timestamp"\n7,2024-01-01 00:00:00\n')
+    rows = {r["home_id"]: r for r in load_readings(spark, tmp_dir, [1, 2, 3]).collect()}
+    assert (rows[1]["Aggregate"], rows[2]["Aggregate"], rows[2]["Appliance1"]) == (100.0, 200.0, 2.0)
+    assert rows[3]["Aggregate"] is None and rows[3]["Appliance7"] == 7.0
+    write(f"{tmp_dir}/CLEAN_House4.csv", "time,Aggregate\n2024-01-01 00:00:00,1\n")
+    with pytest.raises(ValueError):
+        read_wide_csv(spark, f"{tmp_dir}/CLEAN_House*.csv")
+
+
+def test_combined_file_by_name_and_by_dimension(spark, tmp_dir):
+    write(f"{tmp_dir}/REFIT_TIME_SERIES_VALUES/REFIT_TIME_SERIES_VALUES.csv",
+          "note,data,dateTime,TimeSeriesVariable/@id\nx,5,2024-01-01 00:00:00,TimeSeriesVariable11\n"
+          "y,6,2024-01-01 00:00:00,TimeSeriesVariable1\n")
+    dim = spark.createDataFrame([("TimeSeriesVariable11", 2, "Aggregate"), ("TimeSeriesVariable1", 1, "Aggregate")],
+                                "variable_id string, home_id bigint, channel string")
+    got = {r["home_id"]: r["Aggregate"] for r in load_readings(spark, tmp_dir, [1, 2], dim).collect()}
+    assert got == {1: 6.0, 2: 5.0}
+    assert [r["Aggregate"] for r in load_readings(spark, tmp_dir, 2, dim).collect()] == [5.0]
+    with pytest.raises(ValueError):
+        load_readings(spark, tmp_dir, 7)
+    with pytest.raises(ValueError):
+        load_readings(spark, tmp_dir, [1, 9], dim)

@@ -109,10 +109,6 @@ OUTLIER_THRESHOLD = 3.0
 LAG_INTERVALS = [1, 2, 3, 4]
 ROLLING_WINDOWS = [4, 8, 12]
 FORECAST_HORIZON = 4
-TRAIN_RATIO, VAL_RATIO, TEST_RATIO = 0.70, 0.15, 0.15
-SEQUENCE_LENGTH = 24
-MAX_SIMULTANEOUS = 2
-ALLOW_SIMULTANEOUS = True
 FEATURE_CHANNELS = 5
 TOP_N_IMPORTANCES = 20
 GBT_PARAMS = {
@@ -124,6 +120,3 @@ GBT_PARAMS = {
     "seed": 42,
     "maxBins": 256,
 }
-
-KEYS = ("home_id",)
-TS = "ts"

@@ -17,6 +17,14 @@ def _prev(c: str, keys, ts):
     return F.expr(f"last({quote(c)}, true) {over_sql(keys, ts, rows=(None, 0))}")
 
 
+def _edge(c: str, keys, ts, last: bool = False):
+    """First (or last) non-null value of the whole series: what a leading (or
+    trailing) gap is filled with.  No order, so no further sort."""
+    pick = "max_by" if last else "min_by"
+    at = f"CASE WHEN {quote(c)} IS NOT NULL THEN {quote(ts)} END"
+    return F.expr(f"{pick}({quote(c)}, {at}) {over_sql(keys, None)}")
+
+
 def _next(c: str, keys, ts):
     """First non-null value at or after the row.
 
@@ -28,12 +36,12 @@ def _next(c: str, keys, ts):
 
 def forward_fill(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), ts="ts") -> DataFrame:
     """Forward fill, then backward fill what is still missing at the start."""
-    return df.withColumns({c: F.coalesce(_prev(c, keys, ts), _next(c, keys, ts)) for c in columns})
+    return df.withColumns({c: F.coalesce(_prev(c, keys, ts), _edge(c, keys, ts)) for c in columns})
 
 
 def backward_fill(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), ts="ts") -> DataFrame:
     """Backward fill, then forward fill what is still missing at the end."""
-    return df.withColumns({c: F.coalesce(_next(c, keys, ts), _prev(c, keys, ts)) for c in columns})
+    return df.withColumns({c: F.coalesce(_next(c, keys, ts), _edge(c, keys, ts, last=True)) for c in columns})
 
 
 def interpolate_time(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), ts="ts") -> DataFrame:
@@ -68,7 +76,7 @@ def handle_missing(df: DataFrame, columns: Sequence[str], method: str = "ffill",
                    keys=("home_id",), ts="ts") -> DataFrame:
     """Dispatcher.  An unknown method is always an error."""
     if method not in METHODS:
-        raise ValueError(f"Unknown method: {method}")
+        raise ValueError(f"no fill method {method!r}; there are {METHODS}")
     fn = {"ffill": forward_fill, "bfill": backward_fill,
           "interpolate": interpolate_time, "drop": drop_missing}[method]
     return fn(df, columns, keys=keys, ts=ts)

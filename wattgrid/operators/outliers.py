@@ -59,16 +59,6 @@ def outlier_flags(df: DataFrame, columns: Sequence[str], threshold: float = 3.0,
     return df.withColumn("_keep", keep)
 
 
-def removal_counts(before: DataFrame, after: DataFrame, *, keys=("home_id",)) -> DataFrame:
-    """Rows before and after a filter, removed count and percent, per series."""
-    b = before.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_before"))
-    a = after.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_after"))
-    out = b.join(a, list(keys), "left").fillna(0, subset=["n_after"])
-    removed = F.col("n_before") - F.col("n_after")
-    return out.select(*keys, "n_before", "n_after", removed.alias("n_removed"),
-                      (removed / F.col("n_before") * 100).alias("pct_removed"))
-
-
 def outlier_removal_counts(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, *,
                            keys=("home_id",), **kw) -> DataFrame:
     """A7 for the z-score filter in one pass: the keep flag is a column and

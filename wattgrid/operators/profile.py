@@ -14,13 +14,13 @@ def unpivot(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), ts: str
     return df.unpivot(ids, list(columns), name, value)
 
 
-def describe(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], *, keys=("home_id",), exact: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles, max per (keys, column).
 
-    Exact quartiles interpolate linearly, as the reference does; they keep a
-    value histogram per group, so use them on regular series (bounded per
-    home by span / interval).  ``exact=False`` uses ``percentile_approx`` for
-    raw readings of unbounded size."""
+    Quartiles are approximate by default (a bounded sketch per group), for raw
+    readings of any number.  ``exact=True`` interpolates linearly, as the
+    reference does; it keeps a value histogram per group, so use it on regular
+    series (bounded per home by span / interval)."""
     long = unpivot(df, columns, keys=keys, ts=None, name="column", value="_v")
     if exact:
         q = F.percentile(F.col("_v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))

@@ -7,15 +7,14 @@ Inputs are tables:
 * tariffs ``(tariff_id, hour, price)``, 24 rows each;
 * plans ``(keys..., tariff_id, allow_simultaneous, max_simultaneous)``.
 
-Plan: the (appliance x 24 hours) grid is built with ``explode(sequence)``
-and priced by an equi-join with the tariffs.  Each appliance takes its
-``ceil(runtime)`` cheapest allowed hours (``row_number`` over the appliance
-ordered by price, hour).  Homes where that never puts more than ``cap``
-appliances in one hour are optimal as they are.  Only the remaining homes go
-through an exact min-cost flow (``mapInPandas`` over home-sorted partitions,
-one whole home at a time).  A home
-that needs more than ``24 * cap`` appliance-hours is infeasible without
-solving, so a flow group never exceeds ``24 * cap`` appliances x 24 cells.
+Plan: each tariff becomes one row with its 24 prices and its hours from the
+cheapest to the dearest.  An appliance's ``ceil(runtime)`` cheapest allowed
+hours are a filter and a slice of that array: one row per appliance, no
+window, no grid.  One aggregate per home counts the appliances per hour; homes
+where the cap never binds are optimal as they are, the others go through an
+exact min-cost flow (``mapInPandas`` over home-sorted partitions, one whole
+home at a time).  A home that needs more than ``24 * cap`` appliance-hours is
+infeasible without solving.  The 24-hour grid is only made for reports.
 
 Ties: among equal-cost schedules the chosen one is canonical - cost first,
 then the set of (appliance ordinal, hour) cells read as a binary number,
@@ -30,13 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..util import checked_broadcast
 from .flow import min_cost_assignment
 
 HOURS = 24
@@ -46,36 +43,44 @@ REQUIRED = ["runtime_hours", "earliest_start", "latest_finish", "power_rating"]
 
 # --- F13 / F14 -------------------------------------------------------------
 
-def validate_appliances(appliances: DataFrame, *, strict: bool = False) -> DataFrame:
-    """Add ``violation`` (NULL when valid), checked in the reference's order."""
+def validate_appliances(appliances: DataFrame, *, keys: Sequence[str] = ("home_id",),
+                        strict: bool = False) -> DataFrame:
+    """Add ``violation`` (NULL when valid): a missing value, an hour out of
+    range, a runtime that is not positive or does not fit the window, or a name
+    that the home uses twice."""
     es, lf, rt = F.col("earliest_start"), F.col("latest_finish"), F.col("runtime_hours")
     v = None
     for key in REQUIRED:
-        cond = F.col(key).isNull()
-        msg = F.lit(f"missing required key: {key}")
+        cond, msg = F.col(key).isNull(), F.lit(f"{key} has no value")
         v = F.when(cond, msg) if v is None else v.when(cond, msg)
-    v = (v.when((es < 0) | (es >= HOURS), F.lit("Invalid earliest_start"))
-         .when((lf <= 0) | (lf > HOURS), F.lit("Invalid latest_finish"))
-         .when(rt <= 0, F.lit("Invalid runtime_hours"))
-         .when(es + rt > lf, F.lit("Impossible time window")))
+    twice = F.count(F.lit(1)).over(Window.partitionBy(*keys, "appliance")) > 1
+    v = (v.when((es < 0) | (es >= HOURS), F.lit("start hour not within the day"))
+         .when((lf <= 0) | (lf > HOURS), F.lit("finish hour not within the day"))
+         .when(rt <= 0, F.lit("runtime not positive"))
+         .when(es + rt > lf, F.lit("runtime longer than the window"))
+         .when(twice, F.lit("name used twice in the home")))
     out = appliances.withColumn("violation", v)
     if strict:
         bad = out.filter(F.col("violation").isNotNull()).select("appliance", "violation").limit(1).collect()
         if bad:
-            raise ValueError(f"{bad[0]['violation']} for {bad[0]['appliance']}")
+            raise ValueError(f"{bad[0]['appliance']}: {bad[0]['violation']}")
     return out
 
 
 def validate_tariffs(tariffs: DataFrame) -> DataFrame:
-    """One row per tariff: exactly 24 rows, one per hour 0..23."""
+    """One row per tariff: exactly 24 rows, one per hour 0..23, each with a
+    finite price."""
+    price = F.col("price").cast("double")
+    finite = price.isNotNull() & ~F.isnan(price) & (F.abs(price) < float("inf"))
     return (tariffs.groupBy("tariff_id")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hour").alias("n_hours"),
-                 F.min("hour").alias("min_hour"), F.max("hour").alias("max_hour"))
-            .withColumn("valid", (F.col("n_rows") == HOURS) & (F.col("n_hours") == HOURS)
+                 F.min("hour").alias("min_hour"), F.max("hour").alias("max_hour"),
+                 F.sum(finite.cast("long")).alias("n_priced"))
+            .withColumn("valid", (F.col("n_rows") == HOURS) & (F.col("n_hours") == HOURS) & (F.col("n_priced") == HOURS)
                         & (F.col("min_hour") == 0) & (F.col("max_hour") == HOURS - 1)))
 
 
-# --- grid, baseline, cheapest hours ---------------------------------------
+# --- homes, appliance rows, baseline, cheapest hours -----------------------
 
 def effective_cap(plans: DataFrame) -> DataFrame:
     return plans.withColumn(
@@ -85,74 +90,96 @@ def effective_cap(plans: DataFrame) -> DataFrame:
 
 def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
                 keys: Sequence[str] = ("home_id",)) -> DataFrame:
-    """Per home: cap, appliance count, demand; ``valid_home`` is false when
-    any appliance or the tariff fails validation; ``solvable`` also needs
+    """One row per home that has a plan or an appliance: cap, appliance count,
+    demand; ``valid_home`` is false when the plan or the appliances are absent
+    or any appliance or the tariff fails validation; ``solvable`` also needs
     the demand to fit ``24 * cap`` (else infeasible without solving)."""
     per_home = checked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_appliances"),
         F.sum(F.col("violation").isNotNull().cast("int")).alias("n_invalid"),
         F.sum(F.ceil("runtime_hours")).alias("total_need"))
     tv = tariff_status.select("tariff_id", F.col("valid").alias("tariff_valid"))
-    p = effective_cap(plans).join(per_home, list(keys)).join(tv, "tariff_id", "left")
-    valid = (F.col("n_invalid") == 0) & F.coalesce(F.col("tariff_valid"), F.lit(False))
-    return p.withColumns({"valid_home": valid,
+    p = (effective_cap(plans).withColumn("has_plan", F.lit(True))
+         .join(per_home, list(keys), "full").join(tv, "tariff_id", "left"))
+    no = F.lit(False)
+    valid = (F.coalesce(F.col("has_plan"), no) & F.coalesce(F.col("n_invalid") == 0, no)
+             & F.coalesce(F.col("tariff_valid"), no))
+    return p.withColumns({"has_plan": F.coalesce(F.col("has_plan"), no), "valid_home": valid,
                           "solvable": valid & (F.col("total_need") <= HOURS * F.col("cap"))})
 
 
-def _priced_tariffs(tariffs: DataFrame, tariff_status: DataFrame) -> DataFrame:
+def tariff_rows(tariffs: DataFrame, tariff_status: DataFrame) -> DataFrame:
+    """One row per valid tariff: ``prices`` by hour, and the hours ``ranked``
+    from the cheapest to the dearest (ties: the earlier)."""
     ok = tariff_status.filter("valid").select("tariff_id")
-    priced = (tariffs.join(ok, "tariff_id", "left_semi")
-              .select("tariff_id", "hour", F.col("price").cast("double").alias("price")))
-    return checked_broadcast(priced, source=tariffs)  # a semi join never adds rows
+    pair = F.struct(F.col("price").cast("double").alias("price"), F.col("hour").cast("int").alias("hour"))
+    turned = F.struct(F.col("hour").cast("int").alias("hour"), F.col("price").cast("double").alias("price"))
+    return (tariffs.join(ok, "tariff_id", "left_semi").groupBy("tariff_id")
+            .agg(F.array_sort(F.collect_list(turned))["price"].alias("prices"),
+                 F.array_sort(F.collect_list(pair))["hour"].alias("ranked")))
 
 
-def hour_grid(checked: DataFrame, homes: DataFrame, priced: DataFrame,
-              keys: Sequence[str] = ("home_id",), only: str = "solvable") -> DataFrame:
-    """(appliance x hour) rows with price, window, baseline and cost units.
-
-    J6 + J4 in one step: each appliance meets the 24 rows of its home's
-    tariff (a broadcast of a size-checked table).  W11 baseline: ON from
-    ``earliest`` for ``ceil(runtime)`` hours."""
-    h = homes.filter(only).select(*keys, "tariff_id", "cap")
+def appliance_rows(checked: DataFrame, homes: DataFrame, tariffs: DataFrame,
+                   keys: Sequence[str] = ("home_id",)) -> DataFrame:
+    """One row per appliance of a valid home, with the prices of its tariff,
+    ``need`` hours, the ``allowed`` hours from the cheapest on, the ``chosen``
+    first ``need`` of them (T3) and the baseline hours (W11: ON from
+    ``earliest`` for ``ceil(runtime)`` hours)."""
+    h = homes.filter("valid_home").select(*keys, "tariff_id", "cap", "solvable")
     std = {*keys, "appliance", "tariff_id", "cap", "violation", *REQUIRED}
     extra = [c for c in checked.columns if c not in std]
-    es, lf = F.col("earliest_start").cast("double"), F.col("latest_finish").cast("double")
     apps = checked.join(h, list(keys)).select(
-        *keys, "appliance", *extra, "tariff_id", "cap", F.ceil("runtime_hours").cast("int").alias("need"),
+        *keys, "appliance", *extra, "tariff_id", "cap", "solvable", F.ceil("runtime_hours").cast("int").alias("need"),
         F.col("power_rating").cast("double").alias("power_rating"),
-        (F.col("power_rating") / 1000.0).alias("kw"), es.alias("earliest_start"), lf.alias("latest_finish"),
+        (F.col("power_rating") / 1000.0).alias("kw"),
+        F.col("earliest_start").cast("double").alias("earliest_start"),
+        F.col("latest_finish").cast("double").alias("latest_finish"),
         F.col("runtime_hours").cast("double").alias("runtime_hours"))
-    grid = apps.join(priced, "tariff_id")
+    es, lf = F.col("earliest_start"), F.col("latest_finish")
+    day = F.sequence(F.lit(0), F.lit(HOURS - 1))
+    return (apps.join(tariffs, "tariff_id")
+            .withColumn("allowed", F.filter("ranked", lambda hour: (hour >= es) & (hour < lf)))
+            .withColumn("chosen", F.slice("allowed", F.lit(1), F.col("need")))
+            .withColumn("baseline", F.filter(day, lambda hour: (hour >= es) & (hour < es + F.col("need"))))
+            .drop("ranked"))
+
+
+def hour_rows(apps: DataFrame) -> DataFrame:
+    """The 24-hour grid of appliance rows: price, window, baseline, ON flag."""
     hour = F.col("hour")
-    return grid.withColumns({
-        "in_window": (hour >= F.col("earliest_start")) & (hour < F.col("latest_finish")),
-        "baseline_on": ((hour >= F.col("earliest_start")) & (hour < F.col("earliest_start") + F.col("need")))
-        .cast("int"),
-        "cost_units": F.round(F.col("power_rating") * F.col("price") * F.lit(float(COST_SCALE))).cast("long"),
-    })
+    return (apps.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
+            .withColumns({"price": F.element_at("prices", hour + 1),
+                          "in_window": (hour >= F.col("earliest_start")) & (hour < F.col("latest_finish")),
+                          "baseline_on": F.array_contains("baseline", hour).cast("int"),
+                          "is_on": F.array_contains("chosen", hour).cast("int")})
+            .drop("prices", "allowed", "chosen", "baseline"))
+
+
+def _loads(hours: str) -> list:
+    """Per hour, how many appliances have it among ``hours``."""
+    return [F.sum(F.array_contains(hours, F.lit(h)).cast("int")).alias(f"_h{h}") for h in range(HOURS)]
 
 
-def rank_cheapest(grid: DataFrame, keys: Sequence[str] = ("home_id",)) -> DataFrame:
-    """``ranked_on`` = among the k = ceil(runtime) cheapest allowed hours
-    (ties -> earlier hour).  One window per appliance."""
-    w = Window.partitionBy(*keys, "appliance").orderBy(F.col("in_window").desc(), "price", "hour")
-    rank = F.row_number().over(w)
-    return grid.withColumn("ranked_on", (F.col("in_window") & (rank <= F.col("need"))).cast("int"))
+def _peak():
+    return F.greatest(*[F.col(f"_h{h}") for h in range(HOURS)])
+
+
+def _hours_cost(hours: str):
+    total = F.aggregate(hours, F.lit(0.0), lambda t, h: t + F.element_at("prices", h + 1))
+    return F.col("kw") * total
 
 
 # --- O3: exact flow for homes where the cap binds -------------------------
 
-def _solve_home(app, hour, cost, in_window, need, cap) -> tuple[list[int], bool]:
-    """Exact schedule of one home from its grid rows (numpy arrays)."""
-    names = sorted({a for a, w in zip(app, in_window) if w})
-    ordinal = {a: i for i, a in enumerate(names)}
-    needs = dict(zip(app, need))
-    shift = 1 << (len(names) * HOURS)
-    cells = [(ordinal[a], int(h), int(c) * shift + (1 << (ordinal[a] * HOURS + int(h))))
-             for a, h, c, w in zip(app, hour, cost, in_window) if w]
-    chosen = min_cost_assignment([int(needs[a]) for a in names], cells, int(cap), HOURS)
-    on = set() if chosen is None else {(names[i], h) for i, h in chosen}
-    return [int((a, int(h)) in on) for a, h in zip(app, hour)], chosen is not None
+def _solve_home(app, allowed, cost, need, cap) -> tuple[list[list[int]], bool]:
+    """Chosen hours per appliance row of one home, and whether there are any."""
+    rank = sorted(range(len(app)), key=lambda r: app[r])
+    cells = [(i, int(h), int(c)) for i, r in enumerate(rank) for h, c in zip(allowed[r], cost[r])]
+    chosen = min_cost_assignment([int(need[r]) for r in rank], cells, int(cap), HOURS)
+    hours: list[list[int]] = [[] for _ in app]
+    for i, h in chosen or ():
+        hours[rank[i]].append(h)
+    return hours, chosen is not None
 
 
 def _batch_solver(keys: Sequence[str], columns: list[str]):
@@ -165,17 +192,15 @@ def _batch_solver(keys: Sequence[str], columns: list[str]):
         gid = pdf.groupby(keys, sort=False).ngroup().to_numpy()
         starts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
         ends = np.r_[starts[1:], len(gid)]
-        app, hour = pdf["appliance"].to_numpy(), pdf["hour"].to_numpy()
-        cost, win = pdf["cost_units"].to_numpy(), pdf["in_window"].to_numpy()
+        app, allowed, cost = (pdf[c].to_numpy() for c in ("appliance", "allowed", "_cost"))
         need, cap = pdf["need"].to_numpy(), pdf["cap"].to_numpy()
-        is_on = np.zeros(len(pdf), dtype="int32")
+        chosen: list = []
         feasible = np.zeros(len(pdf), dtype=bool)
         for a, b in zip(starts, ends):
-            on, ok = _solve_home(app[a:b], hour[a:b], cost[a:b], win[a:b], need[a:b], cap[a])
-            is_on[a:b] = on
+            hours, ok = _solve_home(app[a:b], allowed[a:b], cost[a:b], need[a:b], cap[a])
+            chosen += hours
             feasible[a:b] = ok
-        out = pdf.assign(is_on=is_on, feasible=feasible)
-        return out[columns]
+        return pdf.assign(chosen=pd.Series(chosen, index=pdf.index, dtype=object), feasible=feasible)[columns]
 
     def run(batches):
         carry = None
@@ -206,93 +231,85 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
                        checkpoint: bool = True) -> ScheduleResult:
     """O1: the schedule of every home, its status and costs.
 
-    Plan: one aggregate settles invalid and over-demand homes; every home
-    left has at most ``24 * cap`` appliances, so the grid is hash-partitioned
-    on the home once and all ranking, per-hour counts, the path decision and
-    the flow (``mapInPandas`` on the same partitioning, sorted by home) run
-    without another exchange.  The schedule is checkpointed once to the shared checkpoint
-    dir, so the flow runs once and the reports read the stored table."""
+    Every home with a plan or an appliance has a row in ``homes``; its status
+    is ``no plan``, ``no appliances``, ``invalid``, ``infeasible`` or ``optimal``.
+    The appliance rows are written once to the shared checkpoint folder, so the
+    flow runs once and the reports read the stored table."""
     from ..session import materialize
 
     keys = list(keys)
-    checked = validate_appliances(appliances, strict=strict)
-    tariff_status = validate_tariffs(tariffs)
-    homes = home_checks(checked, plans, tariff_status, keys)
-    # Hash-partition the grid on the home once (Spark drops this exchange when
-    # the join already left the grid partitioned that way).  The explicit
+    # Everything below is per home: one exchange on the home serves the
+    # duplicate check, the per-home aggregates and the joins back.  The explicit
     # count keeps AQE from coalescing a CPU-bound stage by bytes.
     parts = int(appliances.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = hour_grid(checked, homes, _priced_tariffs(tariffs, tariff_status), keys).repartition(parts, *keys)
-
-    w_app = Window.partitionBy(*keys, "appliance")
-    g = rank_cheapest(grid, keys).withColumn(
-        "_short", (F.sum(F.col("in_window").cast("int")).over(w_app) < F.col("need")).cast("int"))
-    g = g.withColumn("_n_on", F.sum("ranked_on").over(Window.partitionBy(*keys, "hour")))
-    g = g.withColumns({"_peak": F.max("_n_on").over(Window.partitionBy(*keys)),
-                       "_short_home": F.max("_short").over(Window.partitionBy(*keys))})
-    g = g.withColumn("path", F.when(F.col("_short_home") > 0, F.lit("none"))
-                     .when(F.col("_peak") <= F.col("cap"), F.lit("ranked")).otherwise(F.lit("flow")))
-    g = g.drop("_short", "_n_on", "_peak", "_short_home")
-    if checkpoint:
-        # Both branches below read the windowed grid; keep it for the one
-        # write that follows (lineage stays, so a lost executor recomputes).
-        g = g.persist(StorageLevel.MEMORY_AND_DISK)
-
-    direct = (g.filter(F.col("path") != "flow")
-              .withColumns({"is_on": F.when(F.col("path") == "ranked", F.col("ranked_on")).otherwise(F.lit(0)),
-                            "feasible": F.col("path") == "ranked"})
-              .drop("ranked_on"))
-    flow_in = g.filter(F.col("path") == "flow").drop("ranked_on")
-    schema = T.StructType([*flow_in.schema.fields, T.StructField("is_on", T.IntegerType()),
-                           T.StructField("feasible", T.BooleanType())])
+    checked = validate_appliances(appliances.repartition(parts, *keys), keys=keys, strict=strict)
+    tariff_status = validate_tariffs(tariffs)
+    homes = home_checks(checked, plans, tariff_status, keys)
+    apps = appliance_rows(checked, homes, tariff_rows(tariffs, tariff_status), keys)
+    ranked = apps.groupBy(*keys).agg(*_loads("chosen"), F.max(F.size("allowed") < F.col("need")).alias("_short"),
+                                     F.first("cap").alias("_cap"), F.first("solvable").alias("_solvable"))
+    paths = ranked.select(*keys, F.when(~F.col("_solvable") | F.col("_short"), F.lit("none"))
+                          .when(_peak() <= F.col("_cap"), F.lit("ranked")).otherwise(F.lit("flow")).alias("path"))
+    apps = apps.join(paths, keys).drop("solvable")
+    none = F.array().cast("array<int>")
+    direct = (apps.filter(F.col("path") != "flow")
+              .withColumns({"chosen": F.when(F.col("path") == "ranked", F.col("chosen")).otherwise(none),
+                            "feasible": F.col("path") == "ranked"}))
+    units = F.transform("allowed", lambda h: F.round(
+        F.col("power_rating") * F.element_at("prices", h + 1) * F.lit(float(COST_SCALE))).cast("long"))
+    flow_in = apps.filter(F.col("path") == "flow").withColumn("_cost", units)
     # mapInPandas needs every row of a home in one partition: state it (Spark
-    # drops this exchange when the grid is already partitioned that way).
+    # drops this exchange when the rows are already partitioned that way).
     flowed = (flow_in.repartition(parts, *keys).sortWithinPartitions(*keys)
-              .mapInPandas(_batch_solver(keys, schema.fieldNames()), schema))
-    full = direct.withColumn("is_on", F.col("is_on").cast("int")).unionByName(flowed)
+              .mapInPandas(_batch_solver(keys, direct.columns), direct.schema))
+    full = direct.unionByName(flowed)
     if checkpoint:
         full = materialize(full)
-        g.unpersist()
-
-    cost = F.col("kw") * F.col("price")
-    per_hour = full.groupBy(*keys, "hour").agg(
-        F.sum("is_on").alias("n_on"), F.sum(F.col("baseline_on") * cost).alias("c_o"),
-        F.sum(F.col("is_on") * cost).alias("c_n"), F.min("feasible").alias("feasible"),
-        F.first("path").alias("path"))
-    per_home = per_hour.groupBy(*keys).agg(
-        F.sum("c_o").alias("original_cost"), F.sum("c_n").alias("optimized_cost"),
-        F.max("n_on").alias("max_on"), F.min("feasible").alias("feasible"), F.first("path").alias("path"))
+
+    per_home = full.groupBy(*keys).agg(
+        *_loads("chosen"), F.sum(_hours_cost("baseline")).alias("original_cost"),
+        F.sum(_hours_cost("chosen")).alias("optimized_cost"), F.min("feasible").alias("feasible"),
+        F.first("path").alias("path")).withColumn("max_on", _peak())
     optimal = F.coalesce(F.col("feasible"), F.lit(False))
-    status = (homes.select(*keys, "cap", "valid_home").join(per_home, keys, "left")
+    status = (homes.select(*keys, "cap", "has_plan", "n_appliances", "valid_home").join(per_home, keys, "left")
               .select(*keys,
-                      F.when(~F.col("valid_home"), F.lit("invalid"))
+                      F.when(~F.col("has_plan"), F.lit("no plan"))
+                      .when(F.col("n_appliances").isNull(), F.lit("no appliances"))
+                      .when(~F.col("valid_home"), F.lit("invalid"))
                       .when(optimal, F.lit("optimal")).otherwise(F.lit("infeasible")).alias("status"),
                       F.when(optimal, F.col("path")).alias("path"), "cap",
                       F.when(optimal, F.col("max_on")).alias("max_on"),
                       "original_cost", F.when(optimal, F.col("optimized_cost")).alias("optimized_cost")))
-    schedule = full.filter("feasible").drop("feasible", "cost_units")
+    schedule = hour_rows(full.filter("feasible").drop("feasible"))
     if strict:
         bad = status.filter(F.col("status") != "optimal").select(*keys, "status").limit(1).collect()
         if bad:
-            raise RuntimeError(f"Optimization failed with status: {bad[0]['status']} for {bad[0].asDict()}")
+            raise RuntimeError(f"{bad[0].asDict()} has no schedule")
     return ScheduleResult(schedule=schedule, homes=status)
 
 
+def _valid_rows(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    checked = validate_appliances(appliances, keys=keys)
+    ts = validate_tariffs(tariffs)
+    return appliance_rows(checked, home_checks(checked, plans, ts, keys), tariff_rows(tariffs, ts), keys)
+
+
 def baseline_schedule(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
                       keys: Sequence[str] = ("home_id",)) -> DataFrame:
     """W11 as a long 24-hour table ``(keys, appliance, hour, is_on)``."""
-    checked = validate_appliances(appliances)
-    ts = validate_tariffs(tariffs)
-    homes = home_checks(checked, plans, ts, keys)
-    return hour_grid(checked, homes, _priced_tariffs(tariffs, ts), keys, only="valid_home").select(
+    return hour_rows(_valid_rows(appliances, tariffs, plans, keys)).select(
         *keys, "appliance", "hour", F.col("baseline_on").alias("is_on"))
 
 
+def baseline_costs(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
+                   keys: Sequence[str] = ("home_id",)) -> DataFrame:
+    """A10: cost of the baseline per valid home; nothing is optimised."""
+    return _valid_rows(appliances, tariffs, plans, keys).groupBy(*keys).agg(
+        F.sum(_hours_cost("baseline")).alias("original_cost"))
+
+
 def cheapest_hours(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
                    keys: Sequence[str] = ("home_id",)) -> DataFrame:
     """T3 / O2 without a cap: the chosen ``(keys, appliance, hour)``."""
-    checked = validate_appliances(appliances)
-    ts = validate_tariffs(tariffs)
-    homes = home_checks(checked, plans, ts, keys)
-    ranked = rank_cheapest(hour_grid(checked, homes, _priced_tariffs(tariffs, ts), keys, only="valid_home"), keys)
-    return ranked.filter(F.col("ranked_on") == 1).select(*keys, "appliance", "hour")
+    return _valid_rows(appliances, tariffs, plans, keys).select(
+        *keys, "appliance", F.explode("chosen").alias("hour"))

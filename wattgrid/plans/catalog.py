@@ -6,18 +6,23 @@ output only, so results compare exactly with an independent SQL engine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..constants import LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS
+from ..constants import (COMBINED_DIR, COMBINED_FILE, LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS,
+                         VARIABLE_PREFIX, WIDE_FILE_TEMPLATE)
 from ..functions.calendar import add_time_features
 from ..operators.impute import handle_missing
 from ..operators.outliers import outlier_removal_counts, remove_outliers, zscore_stats
 from ..operators.pivot import pivot_first
 from ..operators.resample import count_missing, resample_mean, resample_readings
 from ..operators.scale import fit_minmax, minmax_scale
-from ..sources.readings import channel_dimension, filter_variables, rename_channels, select_channels
+from ..sources.readings import (channel_dimension, filter_variables, load_and_prepare, load_readings, rename_channels,
+                                select_channels)
+from ..sources.sinks import write_csv
 from ..sources.tables import (EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table,
                               weather_from_events)
 from ..functions.metrics import error_columns, prediction_bounds, regression_metrics
@@ -28,12 +33,12 @@ from ..operators.profile import date_range, describe, head
 from ..operators.sequences import make_sequences
 from ..operators.split import chrono_split, split_ranges
 from ..sources.tables import predictions_from_lineitem
-from ..operators.schedule import (baseline_schedule, cheapest_hours, optimize_schedules,
+from ..operators.schedule import (baseline_costs, baseline_schedule, cheapest_hours, optimize_schedules,
                                   validate_appliances, validate_tariffs)
 from ..sources.tables import (appliances_from_part, plans_from_appliances, tariff_table,
                               tariffs_from_events)
 from ..operators.features import feature_names
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from . import forecast, reports
 from .preprocess import preprocess_binned
 from .scenarios import SCENARIOS, scenario_plans
@@ -246,7 +251,7 @@ def q_prediction_bounds(spark, sf):
 
 
 def q_profile(spark, sf):
-    return rounded(describe(filled(spark, sf), CH))
+    return rounded(describe(filled(spark, sf), CH, exact=True))  # a regular series
 
 
 def q_date_range(spark, sf):
@@ -266,25 +271,72 @@ def q_error_columns(spark, sf):
     return rounded(error_columns(predictions_from_lineitem(table(spark, sf, "lineitem"))))
 
 
-# --- forecast (rows-only check: Spark ML has no SQL form) -------------------
+# --- sources: events written as CSV, then read as the sources read files ----
+
+def _csv_dir(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+
+
+def q_combined_csv(spark, sf):
+    """The combined file of two homes, 6 ids each, its
+    columns in another order than the library names them."""
+    base = _csv_dir(spark)
+    rows = combined_rows_from_events(table(spark, sf, "events"))
+    write_csv(rows.select(LONG_VALUE_COL, F.col(LONG_TIME_COL).cast("string").alias(LONG_TIME_COL), f"`{LONG_ID_COL}`"),
+              f"{base}/{COMBINED_DIR}/{COMBINED_FILE}")
+    ids = [(f"{VARIABLE_PREFIX}{k}", 1 + k // 6, f"Channel{k % 6}") for k in range(12)]
+    dimension = spark.createDataFrame(ids, "variable_id string, home_id bigint, channel string")
+    return rounded(load_readings(spark, base, [1, 2], dimension))
+
 
-GBT_DRIVER_PARAMS = {"maxIter": 20}
+def q_wide_csv(spark, sf):
+    """One wide file per home, each with its own column order."""
+    base = _csv_dir(spark)
+    readings = readings_from_events(table(spark, sf, "events")).withColumn("home_id", F.col("home_id") % 3 + 1)
+    wide = pivot_first(readings, CH).withColumn("timestamp", F.col("ts").cast("string"))
+    for home in (1, 2, 3):
+        order = ["timestamp", *CH[home:], *CH[:home]] if home != 2 else [*reversed(CH), "timestamp"]
+        write_csv(wide.where(F.col("home_id") == home).select(order), f"{base}/{WIDE_FILE_TEMPLATE.format(home_id=home)}")
+    return rounded(load_and_prepare(spark, base, [1, 2, 3], appliance_subset=CH))
+
+
+# --- forecast ---------------------------------------------------------------
+
+_FITTED: dict = {}
 
 
 def fitted(spark, sf):
-    frame = materialize(split_frame(spark, sf))
-    feats = feature_names(frame)
-    model = forecast.train_forecaster(frame, feats, params=GBT_DRIVER_PARAMS)
-    return frame, feats, model
+    """The split frame, its features, the model with the default rounds, and
+    its predictions; fitted once per session and input, for all queries."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        frame = materialize(split_frame(spark, sf))
+        feats = feature_names(frame)
+        model = forecast.train_forecaster(frame, feats)
+        predictions = materialize(forecast.predict(model, frame))
+        _FITTED[key] = frame, feats, model, predictions
+    return _FITTED[key]
 
 
 def q_forecast_gbt(spark, sf):
-    frame, _, model = fitted(spark, sf)
-    return rounded(forecast.evaluate(forecast.predict(model, frame)))
+    """M1, M3 against the last value: rows per split, error of the last value,
+    and whether the model's is smaller."""
+    frame, _, _, predictions = fitted(spark, sf)
+    last = frame.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.sqrt(F.avg((F.col("target") - F.col(TARGET)) ** 2)).alias("last_value_rmse"))
+    scored = forecast.evaluate(predictions).select("split", "rmse")
+    return rounded(last.join(scored, "split").select(
+        "split", "n_rows", "last_value_rmse", (F.col("rmse") < F.col("last_value_rmse")).alias("beats_last_value")))
+
+
+def q_forecast_metrics(spark, sf):
+    """M2: the model's own errors (Spark ML: no SQL form)."""
+    return rounded(forecast.evaluate(fitted(spark, sf)[3]))
 
 
 def q_importance_topn(spark, sf):
-    _, feats, model = fitted(spark, sf)
+    """M4, T2 (Spark ML: no SQL form)."""
+    _, feats, model, _ = fitted(spark, sf)
     return rounded(forecast.feature_importances(spark, model, feats, 20))
 
 
@@ -313,8 +365,7 @@ def q_baseline_schedule(spark, sf):
 
 
 def q_baseline_cost(spark, sf):
-    b = optimized(spark, sf).homes
-    return rounded(b.filter(F.col("status") != "invalid").select("home_id", "original_cost"))
+    return rounded(baseline_costs(*schedule_inputs(spark, sf)))
 
 
 def q_schedule_uncapped(spark, sf):
@@ -416,6 +467,8 @@ QUERIES = {
     "asof_nearest": q_asof_nearest,
     "asof_nearest_keyed": q_asof_nearest_keyed,
     "channel_select": q_channel_select,
+    "combined_csv": q_combined_csv,
+    "wide_csv": q_wide_csv,
     "weather_features": q_weather_features,
     "asof_nearest_broadcast": q_asof_nearest_broadcast,
     "regression_metrics": q_regression_metrics,
@@ -442,5 +495,6 @@ QUERIES = {
     "results_summary": q_results_summary,
     "scenario_costs": q_scenario_costs,
     "forecast_gbt": q_forecast_gbt,
+    "forecast_metrics": q_forecast_metrics,
     "importance_topn": q_importance_topn,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FORECAST_HORIZON, LAG_INTERVALS, RESAMPLE_INTERVAL, ROLLING_WINDOWS
 from ..functions.channels import choose_target, feature_channels
+from ..operators.asof import merge_weather
 from ..operators.features import feature_names, prepare_features
 from ..operators.scale import apply_minmax, fit_minmax
 from ..operators.schedule import optimize_schedules
@@ -41,9 +42,17 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
                       channels: Sequence[str] | None = None, target: str | None = None,
                       features_from: Sequence[str] | None = None, interval: str = RESAMPLE_INTERVAL,
                       gbt_params: dict | None = None, keys=("home_id",),
-                      scaler_fit: str = "all") -> dict[str, DataFrame]:
-    """``scaler_fit="all"`` fits min-max on every row before the split, as the
+                      scaler_fit: str = "all", weather: DataFrame | None = None,
+                      weather_order: str | None = None) -> dict[str, DataFrame]:
+    """``weather`` ``(ts, <numeric columns>)`` is matched to the readings by
+    nearest time (J1); its columns then count as channels.
+
+    ``scaler_fit="all"`` fits min-max on every row before the split, as the
     reference does (D7); ``"train"`` fits it on the training rows only."""
+    if weather is not None:
+        wide = merge_weather(wide, weather, right_order=weather_order)
+        if weather_order:
+            wide = wide.drop(weather_order)
     chans = list(channels) if channels is not None else value_columns(wide, keys)
     target = target or choose_target(chans)
     feat_ch = list(features_from) if features_from is not None else feature_channels(chans)
@@ -88,7 +97,9 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
     }
     if output_dir:
         base = output_dir.rstrip("/")
-        write_csv(out["schedule"], f"{base}/optimized_schedule")
+        # One column per appliance name (bounded by the appliances' vocabulary).
+        names = [r[0] for r in result.schedule.select("appliance").distinct().orderBy("appliance").collect()]
+        write_csv(reports.schedule_wide(result.schedule, names, keys=keys, labels=True), f"{base}/optimized_schedule")
         write_csv(out["schedule_summary"], f"{base}/schedule_summary")
         write_csv(out["results_summary"].orderBy("position").drop("position"), f"{base}/results_summary",
                   single_file=True)

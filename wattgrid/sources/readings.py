@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, StringType, StructField, StructType
 
 from ..constants import (COMBINED_DIR, COMBINED_FILE, LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL,
                          VARIABLE_CHANNELS, VARIABLE_ID_PATTERN, WIDE_FILE_TEMPLATE)
 from ..util import nan_to_null
 
-COMBINED_SCHEMA = StructType([
-    StructField(LONG_ID_COL, StringType(), False),
-    StructField(LONG_TIME_COL, StringType(), False),
-    StructField(LONG_VALUE_COL, DoubleType(), True),
-])
-
-
 def _join(*parts: str) -> str:
     return "/".join(p.rstrip("/") for p in parts)
 
@@ -32,6 +29,46 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _path(uri: str) -> str:
+    """A file's address as Spark reports it, made comparable."""
+    return re.sub(r"^file:/+", "file:/", unquote(uri))
+
+
+def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the CSV files that have them in that order.
+
+    A header is the line of a file that names ``time_col``; lines are looked at
+    where the files are, only one line per file comes back.  A file without one
+    raises."""
+    lines = spark.read.text(paths)
+    named = (lines.where(F.col("value").rlike(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)'))
+             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+             .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in named.orderBy("file").collect():
+        columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([row["header"]])))
+        out.setdefault(columns, []).append(_path(row["file"]))
+    found = {f for files in out.values() for f in files}
+    bare = sorted(f for f in map(_path, lines.inputFiles()) if f not in found)
+    if bare:
+        raise ValueError(f"no column {time_col!r} in {bare}")
+    return out
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str] | str, time_col: str,
+                     kinds: Callable[[str], DataType]) -> DataFrame:
+    """All files, whatever the order of their columns: files with the same
+    header are one scan with an explicit schema (``kinds`` gives a column's
+    type), the scans are put together by column name; a column that a file
+    lacks is NULL there.  ``_file`` is the file's path."""
+    parts = []
+    for columns, files in headers(spark, paths, time_col).items():
+        schema = StructType([StructField(c, kinds(c), True) for c in columns])
+        parts.append(spark.read.schema(schema).option("header", True).csv(files)
+                     .select("*", F.col("_metadata.file_path").alias("_file")))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
 def channel_dimension(spark: SparkSession, mapping: dict | None = None, home_id: int = 1) -> DataFrame:
     """``(variable_id, home_id, channel)``; the known mapping is one home's."""
     mapping = mapping or VARIABLE_CHANNELS
@@ -39,9 +76,10 @@ def channel_dimension(spark: SparkSession, mapping: dict | None = None, home_id:
     return spark.createDataFrame(rows, "variable_id string, home_id bigint, channel string")
 
 
-def read_combined_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The combined long CSV with an explicit schema; NaN becomes NULL."""
-    raw = spark.read.schema(COMBINED_SCHEMA).option("header", True).csv(path)
+def read_combined_csv(spark: SparkSession, path: Sequence[str] | str) -> DataFrame:
+    """The combined long CSV, columns by name; NaN becomes NULL."""
+    raw = read_csv_by_name(spark, path, LONG_TIME_COL,
+                           lambda c: DoubleType() if c == LONG_VALUE_COL else StringType())
     return raw.select(F.col(f"`{LONG_ID_COL}`").alias("variable_id"),
                       F.to_timestamp_ntz(F.col(LONG_TIME_COL)).alias("ts"),
                       nan_to_null(F.col(LONG_VALUE_COL)).alias("watts"),
@@ -68,21 +106,19 @@ def rename_channels(df: DataFrame, dimension: DataFrame, id_col: str = "variable
     return df.join(dimension.withColumnRenamed("variable_id", id_col), id_col)
 
 
-def read_wide_csv(spark: SparkSession, path: str, channels: Sequence[str] | None = None, *,
+def read_wide_csv(spark: SparkSession, path: Sequence[str] | str, channels: Sequence[str] | None = None, *,
                   time_col: str = "timestamp", home_id: int | None = None) -> DataFrame:
     """S3: wide per-home CSV(s) -> ``(home_id, ts, <channel> double ...)``.
 
     ``home_id`` comes from the file name (``CLEAN_House<N>.csv``) unless given,
-    so a glob over many homes reads in one scan."""
-    header = spark.read.option("header", True).csv(path).columns
-    if time_col not in header:
-        raise ValueError(f"time column {time_col!r} not in {header}")
-    cols = [c for c in header if c != time_col] if channels is None else [c for c in channels if c in header]
-    schema = StructType([StructField(c, StringType() if c == time_col else DoubleType(), True) for c in header])
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    so a list or glob over many homes reads together; their columns may differ
+    in order and number."""
+    raw = read_csv_by_name(spark, path, time_col, lambda c: StringType() if c == time_col else DoubleType())
+    present = [c for c in raw.columns if c not in (time_col, "_file")]
+    cols = present if channels is None else [c for c in channels if c in present]
     hid = (F.lit(int(home_id)).cast("long") if home_id is not None else
-           F.regexp_extract(F.col("_metadata.file_path"), r"House(\d+)", 1).cast("long"))
-    return raw.select(hid.alias("home_id"), F.to_timestamp_ntz(F.col(time_col)).alias("ts"),
+           F.regexp_extract("_file", r"House(\d+)", 1).cast("long"))
+    return raw.select(hid.alias("home_id"), F.to_timestamp_ntz(F.col(f"`{time_col}`")).alias("ts"),
                       *[nan_to_null(F.col(f"`{c}`")).alias(c) for c in cols])
 
 
@@ -90,45 +126,61 @@ def select_channels(df: DataFrame, channels: Sequence[str], keys=("home_id",), t
     """Keep the requested channels that exist; error if none does."""
     available = [c for c in channels if c in df.columns]
     if not available:
-        raise ValueError(f"None of the specified appliances found in dataset. "
-                         f"Available columns: {df.columns}")
+        raise ValueError(f"no column among {list(channels)}; the frame has {df.columns}")
     return df.select(*keys, ts, *available)
 
 
-def load_readings(spark: SparkSession, data_path: str, home_id: int = 1,
+def load_readings(spark: SparkSession, data_path: str, home_id: int | Sequence[int] = 1,
                   dimension: DataFrame | None = None) -> DataFrame:
-    """The wide file of the home, in ``data_path`` or its combined-file
-    folder; else the combined long file, filtered (P1), renamed (P2) and
-    pivoted (A1).  S4: a missing input lists the tried paths."""
+    """For each home its wide file, in ``data_path`` or its combined-file
+    folder; for the others the combined long file, joined with the dimension
+    (P2), which also says which ids are kept, and pivoted (A1).  Without a
+    ``dimension`` the known ids (P1) are home 1's.  A home that the dimension
+    does not have raises; so does a missing input (S4)."""
     from ..operators.pivot import pivot_first
 
-    name = WIDE_FILE_TEMPLATE.format(home_id=home_id)
-    tried = [_join(data_path, name), _join(data_path, COMBINED_DIR, name),
-             _join(data_path, COMBINED_DIR, COMBINED_FILE)]
-    for wide in tried[:2]:
-        if _exists(spark, wide):
-            return read_wide_csv(spark, wide, home_id=home_id)
-    if _exists(spark, tried[2]):
-        dim = dimension if dimension is not None else channel_dimension(spark, home_id=home_id)
-        ids = None if dimension is not None else list(VARIABLE_CHANNELS)
-        long = rename_channels(filter_variables(read_combined_csv(spark, tried[2]), ids=ids), dim)
-        # Pivot columns: one row per channel name (bounded by the channel
-        # vocabulary, not by homes), ordered by id text (D3): Aggregate,
-        # Appliance9, Appliance1, ...
-        names = dim.groupBy("channel").agg(F.min("variable_id").alias("first_id")).collect()
+    homes = [home_id] if isinstance(home_id, int) else list(home_id)
+    combined = _join(data_path, COMBINED_DIR, COMBINED_FILE)
+    tried, wide, rest = [], [], []
+    for home in homes:
+        name = WIDE_FILE_TEMPLATE.format(home_id=home)
+        places = [_join(data_path, name), _join(data_path, COMBINED_DIR, name)]
+        at = next((p for p in places if _exists(spark, p)), None)
+        if at is None:
+            rest.append(home)
+            tried += places
+        else:
+            wide.append(at)
+    frames = [read_wide_csv(spark, wide)] if wide else []
+    if rest:
+        if not _exists(spark, combined):
+            raise FileNotFoundError(f"no readings of homes {rest}: none of these exists: {[*tried, combined]}")
+        dim = channel_dimension(spark) if dimension is None else dimension
+        dim = dim.where(F.col("home_id").isin(rest))
+        # Pivot columns: one row per home and channel asked for, ordered by id
+        # text (D3): Aggregate, Appliance9, Appliance1, ...
+        names = dim.groupBy("channel").agg(F.min("variable_id").alias("first_id"),
+                                           F.collect_set("home_id").alias("homes")).collect()
+        unknown = sorted(set(rest) - {h for r in names for h in r["homes"]})
+        if unknown:
+            raise ValueError(f"no channels known for homes {unknown}; pass a dimension that has them")
+        long = read_combined_csv(spark, combined)
+        if dimension is None:
+            long = filter_variables(long, ids=list(VARIABLE_CHANNELS))
         channels = [r["channel"] for r in sorted(names, key=lambda r: r["first_id"])]
-        return pivot_first(long, channels)
-    raise FileNotFoundError("REFIT data file not found. Tried:\n" + "\n".join(f"  - {p}" for p in tried))
+        frames.append(pivot_first(rename_channels(long, dim), channels))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
-def load_and_prepare(spark: SparkSession, data_path: str, home_id: int = 1, weather_path: str | None = None,
-                     appliance_subset: Sequence[str] | None = None, *, tolerance: str = "1h") -> DataFrame:
-    """Readings (S1) + optional weather (S5) by nearest time (J1/J2) +
-    optional channel subset (P3), lazily."""
+def load_and_prepare(spark: SparkSession, data_path: str, home_id: int | Sequence[int] = 1,
+                     weather_path: str | None = None, appliance_subset: Sequence[str] | None = None, *,
+                     tolerance: str = "1h", dimension: DataFrame | None = None, salt: int | None = None) -> DataFrame:
+    """Readings of one or more homes (S1) + optional weather (S5) by
+    nearest time (J1/J2) + optional channel subset (P3), lazily."""
     from ..operators.asof import merge_weather
     from .weather import load_weather
 
-    readings = load_readings(spark, data_path, home_id)
+    readings = load_readings(spark, data_path, home_id, dimension)
     weather = load_weather(spark, weather_path) if weather_path else None
-    df = merge_weather(readings, weather, tolerance=tolerance)
+    df = merge_weather(readings, weather, tolerance=tolerance, salt=salt)
     return select_channels(df, appliance_subset) if appliance_subset else df

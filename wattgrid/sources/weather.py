@@ -19,7 +19,7 @@ def find_time_column(columns) -> str:
     for c in columns:
         if "date" in c.lower() or "time" in c.lower():
             return c
-    raise ValueError("No timestamp column found in weather data")
+    raise ValueError(f"none of the weather columns holds a time: {list(columns)}")
 
 
 def load_weather(spark: SparkSession, path: str | None) -> DataFrame | None:

@@ -68,22 +68,6 @@ def value_columns(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> list[st
     return numeric_columns(df, exclude=(*keys, ts))
 
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      source: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only when the side is proven small; otherwise the plain
-    side (shuffle join, AQE may still switch at runtime).
-
-    Proof: ``source`` (what ``df`` derives from without growing) is a local
-    relation of at most ``max_rows`` rows - rows that already sit on the
-    driver - or else a ``count()`` of ``df``."""
-    if source is not None and source.isLocal():
-        return F.broadcast(df) if source.count() <= max_rows else df
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
