@@ -73,3 +73,35 @@ def test_scaler_fitted_on_train_rows_only(spark):
     rng = {r["split"]: (r["lo"], r["hi"]) for r in out.collect()}
     assert rng["train"][0] == 0.0 and rng["train"][1] == 1.0
     assert rng["test"][1] > 1.0  # no clipping outside the fitted range
+
+
+def test_scratch_tables_are_deleted_at_the_end_of_the_block(spark):
+    from pyspark.errors import AnalysisException
+
+    from wattgrid.session import materialize, scratch_tables
+
+    outside = materialize(spark.range(3))
+    with scratch_tables(spark):
+        inside = materialize(spark.range(5))
+        assert inside.count() == 5
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    assert outside.count() == 3
+
+
+def test_job_with_weather_writes_the_wide_schedule(spark, tmp_dir):
+    rows = [(1, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 100.0 + i % 24, 5.0 + i % 7) for i in range(24 * 6)]
+    wide = spark.createDataFrame(rows, "home_id long, ts timestamp_ntz, Aggregate double, Appliance1 double")
+    weather = spark.createDataFrame([(r[1] + dt.timedelta(minutes=20), float(r[1].hour), i) for i, r in enumerate(rows)],
+                                    "ts timestamp_ntz, temperature double, seq long")
+    apps = spark.createDataFrame([(1, "Dryer", 1.5, 6.0, 23.0, 2500.0), (1, "Washer", 2.0, 6.0, 22.0, 2000.0)],
+                                 "home_id long, appliance string, runtime_hours double, earliest_start double, "
+                                 "latest_finish double, power_rating double")
+    plans = spark.createDataFrame([(1, "default", True, 2)],
+                                  "home_id long, tariff_id string, allow_simultaneous boolean, max_simultaneous int")
+    out = run_household_job(spark, wide, apps, tariff_table(spark), plans, tmp_dir, interval="1h",
+                            gbt_params={"maxIter": 2}, weather=weather, weather_order="seq")
+    assert "temperature" in out["processed"].columns
+    table_ = spark.read.option("header", True).csv(f"{tmp_dir}/optimized_schedule")
+    assert table_.columns == ["home_id", "Hour", "Price (£/kWh)", "Dryer", "Washer"] and table_.count() == 24

@@ -319,19 +319,24 @@ def fitted(spark, sf):
 
 
 def q_forecast_gbt(spark, sf):
-    """M1, M3 against the last value: rows per split, error of the last value,
-    and whether the model's is smaller."""
+    """M1, M3: rows per split, rows that the model has scored with a finite
+    value, their mean truth, and the error of the last value to compare with
+    (``forecast_metrics`` has the model's own)."""
     frame, _, _, predictions = fitted(spark, sf)
     last = frame.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                       F.sqrt(F.avg((F.col("target") - F.col(TARGET)) ** 2)).alias("last_value_rmse"))
-    scored = forecast.evaluate(predictions).select("split", "rmse")
-    return rounded(last.join(scored, "split").select(
-        "split", "n_rows", "last_value_rmse", (F.col("rmse") < F.col("last_value_rmse")).alias("beats_last_value")))
+    finite = F.abs("y_pred") < float("inf")
+    scored = predictions.groupBy("split").agg(F.sum(finite.cast("long")).alias("n_scored"),
+                                              F.avg("y_true").alias("mean_truth"))
+    return rounded(last.join(scored, "split"))
 
 
 def q_forecast_metrics(spark, sf):
-    """M2: the model's own errors (Spark ML: no SQL form)."""
-    return rounded(forecast.evaluate(fitted(spark, sf)[3]))
+    """M2: the model's own errors, and whether they are under the last value's
+    (Spark ML: no SQL form).  On series without a pattern they are not."""
+    errors = forecast.evaluate(fitted(spark, sf)[3])
+    last = q_forecast_gbt(spark, sf).select("split", "last_value_rmse")
+    return rounded(errors.join(last, "split")).withColumn("beats_last_value", F.col("rmse") < F.col("last_value_rmse"))
 
 
 def q_importance_topn(spark, sf):

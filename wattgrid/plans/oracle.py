@@ -706,6 +706,6 @@ SQL["wide_csv"] = f"""WITH {READINGS}, three AS (
 
 SQL["forecast_gbt"] = f"""WITH {split_ctes()}
 SELECT split, count(*)::BIGINT AS n_rows, {R(f'sqrt(avg((target - {TARGET}) * (target - {TARGET})))')} AS last_value_rmse,
-       true AS beats_last_value
+       count(*)::BIGINT AS n_scored, {R('avg(target)')} AS mean_truth
 FROM split GROUP BY split
 """

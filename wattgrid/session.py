@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,4 +103,23 @@ def materialize(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_TABLES: list[str] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Tables that ``materialize`` writes inside the block are deleted at its
+    end; results that read them must have been written or collected by then."""
+    had = len(_TABLES)
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _TABLES[had:]:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        del _TABLES[had:]
