@@ -162,7 +162,7 @@ def repeated_spans(rows: DataFrame, width: int, gram: int, crowd: int) -> DataFr
     return spans.groupBy("k").agg(F.collect_list("span").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 32, crowd: int = 1000,
+def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 32, crowd: int = 10_000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with columns ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``
     (the remaining bytes) and ``kept_text`` (the remaining whole characters: a

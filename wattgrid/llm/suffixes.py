@@ -37,19 +37,17 @@ def two_stage_sort(text: np.ndarray, depth: int) -> np.ndarray:
     other buckets goes there in one step."""
     n = len(text)
     up = smaller_than_next(text)
-    direct = np.flatnonzero(up)
     chars = text.tobytes().decode("latin-1")
-    keys = [chars[i:i + depth] for i in direct.tolist()]
-    order = direct[sorted(range(len(keys)), key=keys.__getitem__)] if len(keys) else direct
-    del keys
     size = np.bincount(text, minlength=256)
     begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-    ups = np.bincount(text[direct], minlength=256)
-    out = np.empty(n, np.int64)
+    ups = np.bincount(text[up], minlength=256)
     tail = begin + size - ups          # where a bucket's directly sorted ones start
-    ends = np.concatenate([[0], np.cumsum(ups)])
+    out = np.empty(n, np.int64)
+    # One bucket after the other, so that only its own keys are held.
     for c in np.flatnonzero(ups):
-        out[tail[c]:tail[c] + ups[c]] = order[ends[c]:ends[c + 1]]
+        direct = np.flatnonzero(up & (text == c))
+        keys = [chars[i:i + depth] for i in direct.tolist()]
+        out[tail[c]:tail[c] + ups[c]] = direct[sorted(range(len(keys)), key=keys.__getitem__)]
     free = begin.copy()
 
     def place(starts: np.ndarray) -> None:
