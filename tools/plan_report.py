@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every driver query into PLANS.md.
+"""Summarise the physical plan of every query of plans/catalog.py into PLANS.md.
 
 usage: python tools/plan_report.py [sf_dir]
 For each query: exchanges (with their keys), scans (pushed filters, read
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from wattgrid.plans.catalog import QUERIES  # noqa: E402
 from wattgrid.session import build_session  # noqa: E402
 
 
@@ -54,7 +54,7 @@ def main() -> None:
              "| query | exchanges (keys) | broadcasts | windows | python ops | pushed filters |",
              "| --- | --- | --- | --- | --- | --- |"]
     scans = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ("forecast_gbt", "importance_topn"):
             continue  # model fitting runs at definition time; its plan is Spark ML's
         s = summarise(formatted(fn(spark, sf)))
