@@ -83,8 +83,8 @@ def _ratios(gain: np.ndarray, fresh: np.ndarray, enter: float, a: float, b: floa
 
 def marginals(emission: np.ndarray, first: np.ndarray, crf: Crf) -> tuple[np.ndarray, np.ndarray]:
     """Probability of "toxic" for each token, by forward and backward ratios;
-    and of the four transitions that end in each token (0 for first ones).
-    ``first``: bounds of the texts' tokens."""
+    and the expected number of each of the four transitions.  ``first``: bounds
+    of the texts' tokens."""
     n = len(emission)
     opens, closes = np.zeros(n, bool), np.zeros(n, bool)
     some = np.diff(first) > 0
@@ -98,10 +98,10 @@ def marginals(emission: np.ndarray, first: np.ndarray, crf: Crf) -> tuple[np.nda
     odds = forward * back / gain
     p = odds / (1 + odds)
     before = np.concatenate([[1.0], forward[:-1]]) if n else forward
-    joint = np.stack([np.full(n, t[0, 0]), t[0, 1] * back, t[1, 0] * before, t[1, 1] * before * back], axis=1)
-    joint[opens] = 0
-    total = joint.sum(axis=1, keepdims=True)
-    return p, joint / np.where(total == 0, 1, total)
+    back, before = back[~opens], before[~opens]
+    weight = 1.0 / (t[0, 0] + t[0, 1] * back + t[1, 0] * before + t[1, 1] * before * back)
+    expected = t * np.array([[weight.sum(), weight @ back], [weight @ before, weight @ (before * back)]])
+    return p, expected
 
 
 def _emission(ids: np.ndarray, crf: Crf) -> np.ndarray:
@@ -158,7 +158,7 @@ def fit(sample: list[tuple[str, int]], rounds: int = 25, l2: float = 1e-4, rate:
     ids, bounds = [], [np.zeros(1, np.int64)]
     for piece in pieces(pa.array([t for t, _ in sample], pa.string())):
         w, f = token_features(piece)
-        ids.append(f)
+        ids.append(f.astype(np.int32))
         bounds.append(w.first[1:] + bounds[-1][-1])
     ids, first = np.concatenate(ids), np.concatenate(bounds)
     toxic = np.array([y for _, y in sample], bool)
@@ -172,7 +172,7 @@ def fit(sample: list[tuple[str, int]], rounds: int = 25, l2: float = 1e-4, rate:
     scale = 1.0 / max(1, int(label.sum()))
     columns = [ids[:, k] for k in range(ids.shape[1])]
     for _ in range(rounds):
-        p, joint = marginals(_emission(ids, crf), first, crf)
+        p, expected = marginals(_emission(ids, crf), first, crf)
         off = (label - p) * scale
         g = -l2 * crf.weights
         for column in columns:
@@ -182,7 +182,7 @@ def fit(sample: list[tuple[str, int]], rounds: int = 25, l2: float = 1e-4, rate:
         for name, value in (("bias", off.sum()), ("start", off[opens].sum())):
             squares[name] += value * value
             setattr(crf, name, getattr(crf, name) + rate * value / np.sqrt(squares[name]))
-        g = (seen - joint.sum(axis=0).reshape(2, 2)) * scale - l2 * crf.step
+        g = (seen - expected) * scale - l2 * crf.step
         squares["t"] += g * g
         crf.step = crf.step + rate * g / np.sqrt(squares["t"])
     x = document_features(marginals(_emission(ids, crf), first, crf)[0], first)
