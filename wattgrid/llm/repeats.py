@@ -141,8 +141,10 @@ def repeated_spans(rows: DataFrame, width: int, gram: int, crowd: int) -> DataFr
     """Rows ``(k, _text)``, ``k`` naming a text, to ``(k, spans)``: stretches of
     bytes covered by strings that occur at least twice (they may overlap)."""
     found = cut(_occurrences(rows, width, gram))
-    stats = (found.groupBy("a").agg(F.count("*").alias("na"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-             .where("na > 1").select("a", (F.col("c0") == F.col("c1")).alias("alike")))
+    # Written first: in the join both sides are then plain shuffles, and AQE can
+    # split an anchor that has a large part of all occurrences.
+    stats = cut(found.groupBy("a").agg(F.count("*").alias("na"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+                .where("na > 1").select("a", (F.col("c0") == F.col("c1")).alias("alike")))
     shared = cut(found.join(stats, "a"))
     mixed = shared.where(~F.col("alike"))
     whole = F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("size") + width - 1).alias("e"))
