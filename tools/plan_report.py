@@ -55,7 +55,7 @@ def main() -> None:
              "| --- | --- | --- | --- | --- | --- |"]
     scans = {}
     for name, fn in QUERIES.items():
-        if name in ("forecast_gbt", "importance_topn"):
+        if name in ("forecast_gbt", "forecast_metrics", "importance_topn"):
             continue  # model fitting runs at definition time; its plan is Spark ML's
         s = summarise(formatted(fn(spark, sf)))
         ex = "; ".join(s["exchanges"]) or "none"
