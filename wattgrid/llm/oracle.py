@@ -1,5 +1,7 @@
 """DuckDB SQL of the operators that SQL can express."""
 
+from .licenses import NOTICES, PHRASES
+
 _WORDS = r"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{pattern}')"
 _LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BLANKS = r"[^\x20\x09-\x0D]+"
@@ -35,4 +37,51 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(other) AS c
 FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
 """
 
-SQL = {"op3_near_duplicates": OP3, "op5_decontamination": OP5}
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '{_UNIT}') AS units FROM d),
+k AS (SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS c1,
+             CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS c2,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+                  WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(units[1:least(c1, c2)], '') AS a, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+             array_to_string(units[greatest(c1, c2) + 1:], '') AS z FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(a) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+              ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _templates() -> str:
+    """Values (t, label, phrase, length, m, need, words) of the license templates."""
+    rows = ", ".join(f"({t}, '{x.label}', {x.phrase}, {len(x.words)}, {len(set(x.words))}, {x.need}, {x.words})"
+                     for t, x in enumerate((*PHRASES, *NOTICES)))
+    return f"tpl AS (SELECT * FROM (VALUES {rows}) v(t, label, phrase, length, m, need, words))"
+
+
+OP12 = rf"""
+WITH {_templates()},
+d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS.format(text='text', pattern=_LETTERS)} AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM d),
+base AS (SELECT w.r, tpl.label, w.pos FROM w JOIN tpl ON tpl.phrase AND tpl.words[1] = w.word JOIN d USING (r)
+         WHERE d.ws[w.pos + 1:w.pos + tpl.length] = tpl.words),
+tok AS (SELECT DISTINCT t, label, length, m, need, unnest(words) AS word FROM tpl WHERE NOT phrase),
+blocks AS (SELECT w.r, tok.label, tok.m, tok.need, count(DISTINCT w.word) OVER (
+             PARTITION BY w.r, tok.t ORDER BY w.pos RANGE BETWEEN tok.length - 1 PRECEDING AND CURRENT ROW) AS overlap
+           FROM w JOIN tok USING (word)),
+every AS (SELECT r, label, overlap / m::DOUBLE AS share FROM blocks WHERE overlap >= need
+          UNION ALL SELECT r, label, 1.0::DOUBLE FROM base),
+b AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+e AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM every GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, b.lo AS first_word, b.hi AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(e.labels, '') AS labels, coalesce(e.score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN e USING (r)
+"""
+
+SQL = {"op3_near_duplicates": OP3, "op5_decontamination": OP5, "op11_fill_in_middle": OP11, "op12_license_scan": OP12}

@@ -1,4 +1,4 @@
-"""Driver queries of the ten operators: each applies its operator to the whole
+"""Driver queries of the operators: each applies its operator to the whole
 of its table and derives the contract's columns."""
 
 from __future__ import annotations
@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, fingerprints, language, near_duplicates, quality, repeats, sentencepiece, sharding, token_counts, toxicity
+from . import (alignment, contamination, fill_middle, fingerprints, language, licenses, near_duplicates, quality, repeats,
+               sentencepiece, sharding, token_counts, toxicity)
 from .common import documents, labels, public_file, remainder, table, training_sample
 from .oracle import SQL
 
@@ -74,7 +75,25 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(documents(spark, sf_dir), rate=50, suffix_first=80, seed=42)
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(restored.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str, a: str | None = None, b: str | None = None) -> DataFrame:
+    """``a``, ``b``: paths of the tokenizers' files; None: the public ones."""
+    both = alignment.Tokenizers.load(a or public_file("byte_bpe_50k.json"), b or public_file("piece_bpe_32k.model"))
+    return alignment.align(documents(spark, sf_dir), both)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_sharding, op3_near_duplicates, op4_toxicity, op5_decontamination, op6_token_counts, op7_fingerprints, op8_sentencepiece, op9_quality,
-    op10_suffix_dedup)}
+    op10_suffix_dedup, op11_fill_in_middle, op12_license_scan, op13_token_alignment)}
 __all__ = ["QUERIES", "SQL"]
