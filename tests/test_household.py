@@ -21,7 +21,7 @@ def test_household_job_writes_every_output(spark, tmp_dir):
     wide = pivot_first(readings_from_events(table(spark, SF, "events")), EVENT_CHANNELS)
     apps = appliances_from_part(table(spark, SF, "part"))
     out = run_household_job(spark, wide, apps, tariff_table(spark), plans_from_appliances(apps), tmp_dir,
-                            interval="1h", gbt_params={"maxIter": 5})
+                            interval="1h", boost_params={"rounds": 5})
     assert {r["split"] for r in out["metrics"].collect()} == {"train", "val", "test"}
     assert out["results_summary"].count() == 7
     for name in ("optimized_schedule", "schedule_summary", "results_summary", "metrics", "predictions"):
@@ -45,13 +45,13 @@ def test_forecast_beats_last_value_on_a_daily_cycle(spark):
     frame = chrono_split(prepare_features(add_time_features(df), "Aggregate", ["Aggregate"], [1, 2, 3, 4],
                                           [4, 8, 12], 4))
     feats = feature_names(frame)
-    model = forecast.train_forecaster(frame, feats, params={"maxIter": 30, "maxDepth": 4})
+    model = forecast.train_forecaster(frame, feats, params={"rounds": 30, "max_depth": 4})
     pred = forecast.predict(model, frame).filter(F.col("split") == "test")
     m = forecast.evaluate(pred).collect()[0]
     naive = (frame.filter(F.col("split") == "test")
              .agg(F.sqrt(F.avg((F.col("target") - F.col("Aggregate")) ** 2))).collect()[0][0])
     assert m["rmse"] < naive
-    top = forecast.feature_importances(spark, model, feats, 5).collect()
+    top = forecast.feature_importances(model, 5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
 
 
@@ -101,7 +101,7 @@ def test_job_with_weather_writes_the_wide_schedule(spark, tmp_dir):
     plans = spark.createDataFrame([(1, "default", True, 2)],
                                   "home_id long, tariff_id string, allow_simultaneous boolean, max_simultaneous int")
     out = run_household_job(spark, wide, apps, tariff_table(spark), plans, tmp_dir, interval="1h",
-                            gbt_params={"maxIter": 2}, weather=weather, weather_order="seq")
+                            boost_params={"rounds": 2}, weather=weather, weather_order="seq")
     assert "temperature" in out["processed"].columns
     table_ = spark.read.option("header", True).csv(f"{tmp_dir}/optimized_schedule")
     assert table_.columns == ["home_id", "Hour", "Price (£/kWh)", "Dryer", "Washer"] and table_.count() == 24

@@ -111,12 +111,11 @@ ROLLING_WINDOWS = [4, 8, 12]
 FORECAST_HORIZON = 4
 FEATURE_CHANNELS = 5
 TOP_N_IMPORTANCES = 20
-GBT_PARAMS = {
-    "maxIter": 200,
-    "maxDepth": 6,
-    "stepSize": 0.1,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
+BOOST_PARAMS = {
+    "rounds": 200,
+    "max_depth": 6,
+    "learning_rate": 0.1,
+    "subsample": 0.8,
+    "colsample": 0.8,
     "seed": 42,
-    "maxBins": 256,
 }

@@ -7,21 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..util import over_sql, quote
+from ..util import quote
+from .chunks import CHUNK_WIDTH, HIDDEN, IN_BLOCK, like, windowed
 
 
-def lag_columns(columns: Sequence[str], lags: Sequence[int], *, keys=("home_id",), ts="ts",
-                available: Sequence[str] | None = None) -> dict[str, Column]:
+def lag_columns(columns: Sequence[str], lags: Sequence[int], *, available: Sequence[str] | None = None) -> dict[str, Column]:
     """``{c}_lag_{k}`` = the value k rows back (rows, not time).
 
     Columns not in ``available`` are skipped, as the reference skips them."""
-    w = over_sql(keys, ts)
-    return {f"{c}_lag_{k}": F.expr(f"lag({quote(c)}, {int(k)}) {w}")
+    return {f"{c}_lag_{k}": F.expr(f"lag({quote(c)}, {int(k)}) {IN_BLOCK})")
             for c in columns if available is None or c in available for k in lags}
 
 
-def rolling_columns(columns: Sequence[str], windows: Sequence[int], *, keys=("home_id",), ts="ts",
-                    available: Sequence[str] | None = None) -> dict[str, Column]:
+def rolling_columns(columns: Sequence[str], windows: Sequence[int], *, available: Sequence[str] | None = None) -> dict[str, Column]:
     """Trailing mean, sum and sample std over ``w`` rows, current included,
     at least one value (std of one value is NULL)."""
     out = {}
@@ -29,44 +27,51 @@ def rolling_columns(columns: Sequence[str], windows: Sequence[int], *, keys=("ho
         if available is not None and c not in available:
             continue
         for n in windows:
-            w = over_sql(keys, ts, rows=(-(int(n) - 1), 0))
+            w = f"{IN_BLOCK} ROWS BETWEEN {int(n) - 1} PRECEDING AND CURRENT ROW)"
             out[f"{c}_rolling_mean_{n}"] = F.expr(f"avg({quote(c)}) {w}")
             out[f"{c}_rolling_sum_{n}"] = F.expr(f"sum({quote(c)}) {w}")
             out[f"{c}_rolling_std_{n}"] = F.expr(f"stddev_samp({quote(c)}) {w}")
     return out
 
 
-def target_column(target: str, horizon: int = 4, *, keys=("home_id",), ts="ts") -> Column:
+def target_column(target: str, horizon: int = 4) -> Column:
     """The value ``horizon`` rows ahead."""
-    return F.expr(f"lead({quote(target)}, {int(horizon)}) {over_sql(keys, ts)}")
+    return F.expr(f"lead({quote(target)}, {int(horizon)}) {IN_BLOCK})")
 
 
-def add_lag_features(df: DataFrame, columns, lags, *, keys=("home_id",), ts="ts") -> DataFrame:
-    return df.withColumns(lag_columns(columns, lags, keys=keys, ts=ts, available=df.columns))
+def add_lag_features(df: DataFrame, columns, lags, *, keys=("home_id",), ts="ts", width=CHUNK_WIDTH) -> DataFrame:
+    made = windowed(df, lambda: lag_columns(columns, lags, available=df.columns), keys, ts, max(lags, default=0), 0, width)
+    return like(df, made)
 
 
-def add_rolling_features(df: DataFrame, columns, windows, *, keys=("home_id",), ts="ts") -> DataFrame:
-    return df.withColumns(rolling_columns(columns, windows, keys=keys, ts=ts, available=df.columns))
+def add_rolling_features(df: DataFrame, columns, windows, *, keys=("home_id",), ts="ts", width=CHUNK_WIDTH) -> DataFrame:
+    made = windowed(df, lambda: rolling_columns(columns, windows, available=df.columns), keys, ts,
+                    max(windows, default=1) - 1, 0, width)
+    return like(df, made)
 
 
-def add_target(df: DataFrame, target: str, horizon: int = 4, *, keys=("home_id",), ts="ts") -> DataFrame:
-    return df.withColumn("target", target_column(target, horizon, keys=keys, ts=ts))
+def add_target(df: DataFrame, target: str, horizon: int = 4, *, keys=("home_id",), ts="ts", width=CHUNK_WIDTH) -> DataFrame:
+    return like(df, windowed(df, lambda: {"target": target_column(target, horizon)}, keys, ts, 0, horizon, width))
 
 
 def feature_names(df: DataFrame, *, keys=("home_id",), ts="ts") -> list[str]:
     """Every column but keys, time and target is a feature."""
-    skip = {*keys, ts, "target", "split"}
+    skip = {*keys, ts, "target", "split", *HIDDEN}
     return [c for c in df.columns if c not in skip]
 
 
 def prepare_features(df: DataFrame, target: str, channels: Sequence[str],
                      lags: Sequence[int] = (1, 2, 3, 4), windows: Sequence[int] = (4, 8, 12),
-                     horizon: int = 4, *, keys=("home_id",), ts="ts") -> DataFrame:
+                     horizon: int = 4, *, keys=("home_id",), ts="ts", width=CHUNK_WIDTH) -> DataFrame:
     """Lags, rolling statistics and target in a single projection (all
     frames share one partitioning and one sort), then drop rows whose target
     or any feature is missing (P9)."""
-    cols = {**lag_columns(channels, lags, keys=keys, ts=ts, available=df.columns),
-            **rolling_columns(channels, windows, keys=keys, ts=ts, available=df.columns),
-            "target": target_column(target, horizon, keys=keys, ts=ts)}
-    out = df.withColumns(cols)
-    return out.dropna(subset=["target", *feature_names(out, keys=keys, ts=ts)])
+    own = [c for c in channels if c in df.columns]
+    made = windowed(df, lambda: {**lag_columns(own, lags), **rolling_columns(own, windows), "target": target_column(target, horizon)},
+                    keys, ts, max([*lags, *(w - 1 for w in windows)], default=0), horizon, width)
+    # Where a value is there, so are its rolling mean and sum; where one of the
+    # lags that its window reaches is there too, so is the deviation.
+    implied = {f"{c}_rolling_{s}_{w}" for c in own for w in windows for s in ("mean", "sum", "std")
+               if s != "std" or any(k < w for k in lags)}
+    needed = [c for c in feature_names(made, keys=keys, ts=ts) if c not in implied]
+    return like(df, made.dropna(subset=["target", *needed]))

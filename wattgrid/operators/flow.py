@@ -57,8 +57,16 @@ def _path(before: np.ndarray, end: int) -> list[int]:
 
 def min_cost_assignment(needs: list[int], cells: list[tuple[int, int, int]], cap: int,
                         hours: int = 24) -> list[tuple[int, int]] | None:
+    """The pairs that :func:`assignment_with_prices` chooses."""
+    solved = assignment_with_prices(needs, cells, cap, hours)
+    return None if solved is None else solved[0]
+
+
+def assignment_with_prices(needs: list[int], cells: list[tuple[int, int, int]], cap: int,
+                           hours: int = 24) -> tuple[list[tuple[int, int]], list[int]] | None:
     """``cells`` = (appliance index, hour, cost).  Returns the chosen
-    (appliance, hour) pairs, or None if the demand cannot be met.
+    (appliance, hour) pairs and the price of each hour, or None if the demand
+    cannot be met.
 
     Every appliance starts on its cheapest hours; as long as an hour is over
     the cap, one appliance-hour moves on along the cheapest path to an hour
@@ -88,25 +96,33 @@ def min_cost_assignment(needs: list[int], cells: list[tuple[int, int, int]], cap
         if room[end] >= FAR:
             return None
         _move(on, allowed, cost, _path(before, end))
-    _make_canonical(on, allowed, cost, cap)
-    return [(int(i), int(h)) for i, h in zip(*np.nonzero(on))]
+    price = _distances(on, allowed, cost, cap)
+    _make_canonical(on, allowed, cost, cap, price)
+    # What a place in a full hour is worth; 0 where there is room.
+    worth = np.maximum(price[hours] - price[:hours], 0)
+    return [(int(i), int(h)) for i, h in zip(*np.nonzero(on))], worth.tolist()
 
 
-def _make_canonical(on: np.ndarray, allowed: np.ndarray, cost: np.ndarray, cap: int) -> None:
-    """Turns a least-cost schedule into the canonical one.
-
-    Hour prices (shortest distances over all moves, and over an extra node that
-    joins hours with room and hours with load) say which cells any other
-    least-cost schedule may change: those whose cost less their hour's price is
-    the appliance's margin.  Only these take part, and a move among them costs
-    nothing, so each cell needs a search over 24 hours only."""
-    n, hours = on.shape
+def _distances(on: np.ndarray, allowed: np.ndarray, cost: np.ndarray, cap: int) -> np.ndarray:
+    """Shortest distances over all moves of a least-cost schedule, and over an
+    extra node (the last) that joins hours with room and hours with load."""
+    hours = on.shape[1]
     step = np.full((hours + 1, hours + 1), FAR)
     step[:hours, :hours] = _steps(on, allowed, cost)
     load = on.sum(axis=0)
     step[:hours, hours] = np.where(load < cap, 0, FAR)
     step[hours, :hours] = np.where(load > 0, 0, FAR)
-    price, _ = _shortest(step, np.ones(hours + 1, bool))
+    return _shortest(step, np.ones(hours + 1, bool))[0]
+
+
+def _make_canonical(on: np.ndarray, allowed: np.ndarray, cost: np.ndarray, cap: int, price: np.ndarray) -> None:
+    """Turns a least-cost schedule into the canonical one.
+
+    The distances say which cells any other least-cost schedule may change:
+    those whose cost less their hour's distance is the appliance's margin.  Only
+    these take part, and a move among them costs nothing, so each cell needs a
+    search over 24 hours only."""
+    n, hours = on.shape
     free = price[:hours] == price[hours]
     net = cost - price[:hours]
     margin = np.where(on, net, -FAR).max(axis=1, keepdims=True)

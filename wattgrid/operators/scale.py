@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import TIME_FEATURES
-from ..util import numeric_columns, over_sql, quote
+from ..util import numeric_columns, quote
+from .chunks import CHUNK, CHUNK_WIDTH, HIDDEN, KEY, chunked, join_facts, keyed, like, over_series, per_chunk
 
 
 def default_scale_columns(df: DataFrame, keys=("home_id",), ts="ts") -> list[str]:
     """All numeric columns but keys and calendar features."""
-    return numeric_columns(df, exclude=(*keys, ts, *TIME_FEATURES))
+    return numeric_columns(df, exclude=(*keys, ts, *TIME_FEATURES, *HIDDEN))
 
 
 def _scaled(c, lo, hi):
@@ -23,13 +24,18 @@ def _scaled(c, lo, hi):
 
 
 def minmax_scale(df: DataFrame, columns: Sequence[str] | None = None, *,
-                 keys=("home_id",), ts="ts") -> DataFrame:
-    """Fit and transform in one pass: min/max are window aggregates over the
-    series partition (no join, no extra exchange)."""
+                 keys=("home_id",), ts="ts", width=CHUNK_WIDTH) -> DataFrame:
+    """Fit and transform: the extremes of a series are those of its chunks,
+    joined back to the rows (J9)."""
     cols = list(columns) if columns is not None else default_scale_columns(df, keys, ts)
-    w = over_sql(keys, None)
-    return df.withColumns({c: _scaled(c, F.expr(f"min({quote(c)}) {w}"), F.expr(f"max({quote(c)}) {w}"))
-                           for c in cols})
+    rows = chunked(df, keys, ts, width)
+    aggregates = {}
+    for i, c in enumerate(cols):
+        aggregates |= {f"_lo{i}": F.expr(f"min({quote(c)})"), f"_hi{i}": F.expr(f"max({quote(c)})")}
+    facts = per_chunk(rows, aggregates).select(KEY, CHUNK, *(
+        over_series(f(F.col(f"_{x}{i}"))).alias(f"_{x}{i}") for i in range(len(cols)) for f, x in ((F.min, "lo"), (F.max, "hi"))))
+    scaled = join_facts(rows, facts).withColumns({c: _scaled(c, F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i, c in enumerate(cols)})
+    return like(df, scaled.drop(*(f"_{x}{i}" for i in range(len(cols)) for x in ("lo", "hi"))))
 
 
 def fit_minmax(df: DataFrame, columns: Sequence[str] | None = None, *,
@@ -49,13 +55,14 @@ def apply_minmax(df: DataFrame, params: DataFrame, columns: Sequence[str], *,
                  keys=("home_id",)) -> DataFrame:
     """Transform with a fitted params table; values outside the fitted range
     are not clipped.  The params are pivoted to one row per series (small:
-    one row per home) and joined on the keys; AQE broadcasts it when its
-    measured size allows."""
+    one row per home) and joined on the keys, null keys too; AQE broadcasts it
+    when its measured size allows."""
     cols = list(columns)
     wide = (params.filter(F.col("column").isin(cols))
             .groupBy(*keys)
             .agg(*[F.max(F.when(F.col("column") == c, F.col("data_min"))).alias(f"__lo_{c}") for c in cols],
                  *[F.max(F.when(F.col("column") == c, F.col("data_max"))).alias(f"__hi_{c}") for c in cols]))
-    joined = df.join(wide, list(keys), "left")
-    return (joined.withColumns({c: _scaled(c, F.col(f"__lo_{c}"), F.col(f"__hi_{c}")) for c in cols})
-            .drop(*[f"__{s}_{c}" for c in cols for s in ("lo", "hi")]))
+    # A null key is a key: both sides meet by the keys as one struct.
+    joined = keyed(df, keys).join(keyed(wide, keys).drop(*keys), KEY, "left")
+    scaled = joined.withColumns({c: _scaled(c, F.col(f"__lo_{c}"), F.col(f"__hi_{c}")) for c in cols})
+    return like(df, scaled.drop(*[f"__{s}_{c}" for c in cols for s in ("lo", "hi")]))

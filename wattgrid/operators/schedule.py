@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .flow import min_cost_assignment
+from .flow import assignment_with_prices
 
 HOURS = 24
 COST_SCALE = 1_000_000  # integer cost units = W * price * 1e6 (GBP * 1e9)
@@ -46,9 +46,10 @@ REQUIRED = ["runtime_hours", "earliest_start", "latest_finish", "power_rating"]
 def validate_appliances(appliances: DataFrame, *, keys: Sequence[str] = ("home_id",),
                         strict: bool = False) -> DataFrame:
     """Add ``violation`` (NULL when valid): a missing value, an hour out of
-    range, a runtime that is not positive or does not fit the window, or a name
-    that the home uses twice."""
+    range, a runtime that is not positive or does not fit the window, a power
+    that is negative or no number, or a name that the home uses twice."""
     es, lf, rt = F.col("earliest_start"), F.col("latest_finish"), F.col("runtime_hours")
+    power = F.col("power_rating").cast("double")
     v = None
     for key in REQUIRED:
         cond, msg = F.col(key).isNull(), F.lit(f"{key} has no value")
@@ -58,6 +59,7 @@ def validate_appliances(appliances: DataFrame, *, keys: Sequence[str] = ("home_i
          .when((lf <= 0) | (lf > HOURS), F.lit("finish hour not within the day"))
          .when(rt <= 0, F.lit("runtime not positive"))
          .when(es + rt > lf, F.lit("runtime longer than the window"))
+         .when((power < 0) | F.isnan(power) | (power == float("inf")), F.lit("power not finite or negative"))
          .when(twice, F.lit("name used twice in the home")))
     out = appliances.withColumn("violation", v)
     if strict:
@@ -91,19 +93,22 @@ def effective_cap(plans: DataFrame) -> DataFrame:
 def home_checks(checked: DataFrame, plans: DataFrame, tariff_status: DataFrame,
                 keys: Sequence[str] = ("home_id",)) -> DataFrame:
     """One row per home that has a plan or an appliance: cap, appliance count,
-    demand; ``valid_home`` is false when the plan or the appliances are absent
-    or any appliance or the tariff fails validation; ``solvable`` also needs
-    the demand to fit ``24 * cap`` (else infeasible without solving)."""
+    demand; ``valid_home`` is false when the plan or the appliances are absent,
+    when there are several plans or the plan has no cap, or when any appliance
+    or the tariff fails validation; ``solvable`` also needs the demand to fit
+    ``24 * cap`` (else infeasible without solving)."""
     per_home = checked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_appliances"),
         F.sum(F.col("violation").isNotNull().cast("int")).alias("n_invalid"),
-        F.sum(F.ceil("runtime_hours")).alias("total_need"))
+        F.sum(F.when(F.col("violation").isNull(), F.ceil("runtime_hours"))).alias("total_need"))
+    one_plan = effective_cap(plans).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_plans"), F.min("tariff_id").alias("tariff_id"), F.min("cap").alias("cap"))
     tv = tariff_status.select("tariff_id", F.col("valid").alias("tariff_valid"))
-    p = (effective_cap(plans).withColumn("has_plan", F.lit(True))
+    p = (one_plan.withColumn("has_plan", F.lit(True))
          .join(per_home, list(keys), "full").join(tv, "tariff_id", "left"))
     no = F.lit(False)
     valid = (F.coalesce(F.col("has_plan"), no) & F.coalesce(F.col("n_invalid") == 0, no)
-             & F.coalesce(F.col("tariff_valid"), no))
+             & F.coalesce(F.col("n_plans") == 1, no) & F.col("cap").isNotNull() & F.coalesce(F.col("tariff_valid"), no))
     return p.withColumns({"has_plan": F.coalesce(F.col("has_plan"), no), "valid_home": valid,
                           "solvable": valid & (F.col("total_need") <= HOURS * F.col("cap"))})
 
@@ -169,17 +174,55 @@ def _hours_cost(hours: str):
     return F.col("kw") * total
 
 
+def _units(hour):
+    """Cost of an hour of an appliance in whole units."""
+    return F.round(F.col("power_rating") * F.element_at("prices", hour + 1) * F.lit(float(COST_SCALE))).cast("long")
+
+
+def certify(apps: DataFrame, keys: Sequence[str] = ("home_id",)) -> DataFrame:
+    """A proof for each home, from appliance rows with ``chosen`` hours
+    and the home's ``hour_prices`` (units, what a place in a full hour is worth).
+
+    ``feasible``: every appliance has ``need`` different hours of its window and
+    no hour more than ``cap`` appliances.  ``slack``: only full hours have a
+    price.  ``bound``: no schedule costs less than this, as every appliance needs
+    at least its ``need`` cheapest hours at cost plus price, and all places of the
+    day together are worth ``cap`` times the prices.  ``proven``: the schedule is
+    feasible and costs no more than the bound."""
+    priced = F.transform("allowed", lambda h: _units(h) + F.element_at("hour_prices", h + 1))
+    zero = F.lit(0).cast("long")
+    rows = apps.withColumns({
+        "_cost": F.aggregate("chosen", zero, lambda t, h: t + _units(h)),
+        "_least": F.aggregate(F.slice(F.array_sort(priced), F.lit(1), F.col("need")), zero, lambda t, x: t + x),
+        "_ok": (F.size(F.array_distinct("chosen")) == F.col("need")) & (F.size("chosen") == F.col("need"))
+        & (F.size(F.array_except("chosen", "allowed")) == 0)})
+    homes = rows.groupBy(*keys).agg(
+        F.first("cap").alias("cap"), F.count(F.lit(1)).alias("n_appliances"), F.sum("_cost").alias("cost"),
+        F.sum("_least").alias("_least"), F.min("_ok").alias("_ok"), F.min("hour_prices").alias("_at"),
+        F.max("hour_prices").alias("_at2"), *_loads("chosen"))
+    loads = F.array(*(F.col(f"_h{h}") for h in range(HOURS)))
+    bound = F.col("_least") - F.col("cap") * F.aggregate("_at", zero, lambda t, x: t + x)
+    feasible = F.col("_ok") & F.forall(loads, lambda n: n <= F.col("cap"))
+    slack = (F.col("_at") == F.col("_at2")) & F.forall(
+        F.zip_with("_at", loads, lambda p, n: (p >= 0) & ((p == 0) | (n == F.col("cap")))), lambda x: x)
+    return homes.select(*keys, "cap", "n_appliances", "cost", bound.alias("bound"), feasible.alias("feasible"),
+                        slack.alias("slack"), (feasible & slack & (F.col("cost") <= bound)).alias("proven"))
+
+
 # --- O3: exact flow for homes where the cap binds -------------------------
 
-def _solve_home(app, allowed, cost, need, cap) -> tuple[list[list[int]], bool]:
-    """Chosen hours per appliance row of one home, and whether there are any."""
+def _solve_home(app, allowed, cost, need, cap) -> tuple[list[list[int]], list[int] | None]:
+    """Chosen hours per appliance row of one home and its hour prices (None:
+    there is no schedule)."""
     rank = sorted(range(len(app)), key=lambda r: app[r])
     cells = [(i, int(h), int(c)) for i, r in enumerate(rank) for h, c in zip(allowed[r], cost[r])]
-    chosen = min_cost_assignment([int(need[r]) for r in rank], cells, int(cap), HOURS)
+    solved = assignment_with_prices([int(need[r]) for r in rank], cells, int(cap), HOURS)
     hours: list[list[int]] = [[] for _ in app]
-    for i, h in chosen or ():
+    if solved is None:
+        return hours, None
+    for i, h in solved[0]:
         hours[rank[i]].append(h)
-    return hours, chosen is not None
+    return hours, solved[1]
 
 
 def _batch_solver(keys: Sequence[str], columns: list[str]):
@@ -195,12 +238,15 @@ def _batch_solver(keys: Sequence[str], columns: list[str]):
         app, allowed, cost = (pdf[c].to_numpy() for c in ("appliance", "allowed", "_cost"))
         need, cap = pdf["need"].to_numpy(), pdf["cap"].to_numpy()
         chosen: list = []
+        hour_prices: list = []
         feasible = np.zeros(len(pdf), dtype=bool)
         for a, b in zip(starts, ends):
-            hours, ok = _solve_home(app[a:b], allowed[a:b], cost[a:b], need[a:b], cap[a])
+            hours, at = _solve_home(app[a:b], allowed[a:b], cost[a:b], need[a:b], cap[a])
             chosen += hours
-            feasible[a:b] = ok
-        return pdf.assign(chosen=pd.Series(chosen, index=pdf.index, dtype=object), feasible=feasible)[columns]
+            hour_prices += [at] * (b - a)
+            feasible[a:b] = at is not None
+        return pdf.assign(chosen=pd.Series(chosen, index=pdf.index, dtype=object), feasible=feasible,
+                          hour_prices=pd.Series(hour_prices, index=pdf.index, dtype=object))[columns]
 
     def run(batches):
         carry = None
@@ -224,6 +270,7 @@ def _batch_solver(keys: Sequence[str], columns: list[str]):
 class ScheduleResult:
     schedule: DataFrame  # keys, appliance, hour, price, kw, ..., baseline_on, is_on (optimal homes)
     homes: DataFrame     # keys, status, path, cap, max_on, original_cost, optimized_cost
+    certificate: DataFrame  # keys, cap, n_appliances, cost, bound, feasible, slack, proven (optimal homes)
 
 
 def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,
@@ -254,10 +301,9 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
     none = F.array().cast("array<int>")
     direct = (apps.filter(F.col("path") != "flow")
               .withColumns({"chosen": F.when(F.col("path") == "ranked", F.col("chosen")).otherwise(none),
-                            "feasible": F.col("path") == "ranked"}))
-    units = F.transform("allowed", lambda h: F.round(
-        F.col("power_rating") * F.element_at("prices", h + 1) * F.lit(float(COST_SCALE))).cast("long"))
-    flow_in = apps.filter(F.col("path") == "flow").withColumn("_cost", units)
+                            "feasible": F.col("path") == "ranked",
+                            "hour_prices": F.when(F.col("path") == "ranked", F.array_repeat(F.lit(0).cast("long"), HOURS))}))
+    flow_in = apps.filter(F.col("path") == "flow").withColumn("_cost", F.transform("allowed", _units))
     # mapInPandas needs every row of a home in one partition: state it (Spark
     # drops this exchange when the rows are already partitioned that way).
     flowed = (flow_in.repartition(parts, *keys).sortWithinPartitions(*keys)
@@ -280,12 +326,12 @@ def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFra
                       F.when(optimal, F.col("path")).alias("path"), "cap",
                       F.when(optimal, F.col("max_on")).alias("max_on"),
                       "original_cost", F.when(optimal, F.col("optimized_cost")).alias("optimized_cost")))
-    schedule = hour_rows(full.filter("feasible").drop("feasible"))
+    schedule = hour_rows(full.filter("feasible").drop("feasible", "hour_prices"))
     if strict:
         bad = status.filter(F.col("status") != "optimal").select(*keys, "status").limit(1).collect()
         if bad:
             raise RuntimeError(f"{bad[0].asDict()} has no schedule")
-    return ScheduleResult(schedule=schedule, homes=status)
+    return ScheduleResult(schedule=schedule, homes=status, certificate=certify(full.filter("feasible"), keys))
 
 
 def _valid_rows(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql.types import DoubleType
 from ..constants import (COMBINED_DIR, COMBINED_FILE, LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL, VARIABLE_CHANNELS,
                          VARIABLE_PREFIX, WIDE_FILE_TEMPLATE)
 from ..functions.calendar import add_time_features
+from ..functions.channels import choose_target, detect_channels, feature_channels
+from ..operators.chunks import plain
 from ..operators.impute import handle_missing
 from ..operators.outliers import outlier_removal_counts, remove_outliers, zscore_stats
 from ..operators.pivot import pivot_first
@@ -26,20 +28,25 @@ from ..sources.sinks import write_csv
 from ..sources.tables import (EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table,
                               weather_from_events)
 from ..functions.metrics import error_columns, prediction_bounds, regression_metrics
+from ..operators import boosting
 from ..operators.asof import merge_nearest, merge_weather
 from ..operators.features import (add_lag_features, add_rolling_features, add_target,
                                   prepare_features)
 from ..operators.profile import date_range, describe, head
 from ..operators.sequences import make_sequences
 from ..operators.split import chrono_split, split_ranges
-from ..sources.tables import predictions_from_lineitem
+from ..sources.tables import (big_home_appliances, big_home_plans, faulty_appliances_from_part, faulty_plans,
+                              predictions_from_lineitem)
+from ..sources.weather import load_weather
 from ..operators.schedule import (baseline_costs, baseline_schedule, cheapest_hours, optimize_schedules,
                                   validate_appliances, validate_tariffs)
 from ..sources.tables import (appliances_from_part, plans_from_appliances, tariff_table,
                               tariffs_from_events)
 from ..operators.features import feature_names
 from ..session import ensure_checkpoint_dir, materialize
+from ..util import numeric_columns
 from . import forecast, reports
+from .household import run_household_job
 from .preprocess import preprocess_binned
 from .scenarios import SCENARIOS, scenario_plans
 
@@ -60,17 +67,23 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # --- building blocks -------------------------------------------------------
 
-def hourly(spark: SparkSession, sf: str, fill_gaps: bool = True, interval: str = INTERVAL) -> DataFrame:
+def hourly(spark: SparkSession, sf: str, fill_gaps: bool = True, interval: str = INTERVAL, **kw) -> DataFrame:
     return resample_readings(readings_from_events(table(spark, sf, "events")), CH, interval,
-                             fill_gaps=fill_gaps)
+                             fill_gaps=fill_gaps, **kw)
 
 
 def filled(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
-    return handle_missing(hourly(spark, sf), CH, method)
+    return plain(handle_missing(hourly(spark, sf, keep_chunks=True), CH, method))
+
+
+def filled_chunks(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
+    """The filled series with its chunks, written: later steps read it twice."""
+    return materialize(handle_missing(hourly(spark, sf, keep_chunks=True), CH, method))
 
 
 def processed(spark: SparkSession, sf: str, interval: str = INTERVAL) -> DataFrame:
-    return preprocess_binned(hourly(spark, sf, interval=interval), CH)
+    """With its chunks."""
+    return preprocess_binned(hourly(spark, sf, interval=interval, keep_chunks=True), CH)
 
 
 TARGET = CH[0]
@@ -78,11 +91,12 @@ LAGS, WINDOWS, HORIZON, SEQ_LEN = [1, 2, 3, 4], [4, 8, 12], 4, 24
 
 
 def features(spark: SparkSession, sf: str, interval: str = INTERVAL) -> DataFrame:
-    return prepare_features(processed(spark, sf, interval), TARGET, CH, LAGS, WINDOWS, HORIZON)
+    """With its chunks."""
+    return prepare_features(materialize(processed(spark, sf, interval)), TARGET, CH, LAGS, WINDOWS, HORIZON)
 
 
 def split_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return chrono_split(features(spark, sf))
+    return plain(chrono_split(features(spark, sf)))
 
 
 # --- queries ---------------------------------------------------------------
@@ -112,7 +126,7 @@ def weather_series(spark, sf):
     wide = pivot_first(readings_from_events(events), CH)
     joined = merge_weather(wide, weather_from_events(events), tolerance="1h", right_order="weather_seq")
     cols = [*CH, "temperature"]
-    return handle_missing(resample_mean(joined, cols, INTERVAL), cols)
+    return plain(handle_missing(resample_mean(joined, cols, INTERVAL, keep_chunks=True), cols))
 
 
 def q_weather_features(spark, sf):
@@ -158,11 +172,11 @@ def q_calendar_features(spark, sf):
 
 
 def q_outlier_filter(spark, sf):
-    return rounded(remove_outliers(filled(spark, sf), CH, 3.0))
+    return rounded(plain(remove_outliers(filled_chunks(spark, sf), CH, 3.0)))
 
 
 def q_outlier_counts(spark, sf):
-    return rounded(outlier_removal_counts(filled(spark, sf), CH, 3.0))
+    return rounded(outlier_removal_counts(filled_chunks(spark, sf), CH, 3.0))
 
 
 def q_minmax_fit(spark, sf):
@@ -170,27 +184,27 @@ def q_minmax_fit(spark, sf):
 
 
 def q_minmax_transform(spark, sf):
-    return rounded(minmax_scale(filled(spark, sf), CH))
+    return rounded(plain(minmax_scale(filled_chunks(spark, sf), CH)))
 
 
 def q_preprocessed_series(spark, sf):
-    return rounded(processed(spark, sf))
+    return rounded(plain(processed(spark, sf)))
 
 
 def q_lag_features(spark, sf):
-    return rounded(add_lag_features(filled(spark, sf), CH, LAGS))
+    return rounded(plain(add_lag_features(filled_chunks(spark, sf), CH, LAGS)))
 
 
 def q_rolling_features(spark, sf):
-    return rounded(add_rolling_features(filled(spark, sf), CH, WINDOWS))
+    return rounded(plain(add_rolling_features(filled_chunks(spark, sf), CH, WINDOWS)))
 
 
 def q_future_target(spark, sf):
-    return rounded(add_target(filled(spark, sf), TARGET, HORIZON))
+    return rounded(plain(add_target(filled_chunks(spark, sf), TARGET, HORIZON)))
 
 
 def q_feature_matrix(spark, sf):
-    return rounded(features(spark, sf))
+    return rounded(plain(features(spark, sf)))
 
 
 def q_resample_gapfill_15min(spark, sf):
@@ -198,7 +212,7 @@ def q_resample_gapfill_15min(spark, sf):
 
 
 def q_feature_matrix_15min(spark, sf):
-    return rounded(features(spark, sf, "15min"))
+    return rounded(plain(features(spark, sf, "15min")))
 
 
 def q_chrono_split(spark, sf):
@@ -210,7 +224,7 @@ def q_split_ranges(spark, sf):
 
 
 def q_sequences(spark, sf):
-    seq = make_sequences(split_frame(spark, sf), CH, SEQ_LEN)
+    seq = make_sequences(materialize(split_frame(spark, sf).select("home_id", "ts", "split", *CH, "target")), CH, SEQ_LEN)
     flat = F.flatten("x")
     return rounded(seq.select(
         "home_id", "split", "ts", F.size("x").cast("long").alias("n_steps"),
@@ -303,18 +317,19 @@ def q_wide_csv(spark, sf):
 # --- forecast ---------------------------------------------------------------
 
 _FITTED: dict = {}
+#: Rounds and bins of the driver queries (the library's defaults: 200 and 256).
+ROUNDS, BINS = 10, 64
 
 
 def fitted(spark, sf):
-    """The split frame, its features, the model with the default rounds, and
-    its predictions; fitted once per session and input, for all queries."""
+    """The split frame (its values as the queries show them), the model and its
+    predictions; fitted once per session and input, for all queries."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        frame = materialize(split_frame(spark, sf))
-        feats = feature_names(frame)
-        model = forecast.train_forecaster(frame, feats)
+        frame = materialize(rounded(split_frame(spark, sf)))
+        model = forecast.train_forecaster(frame, feature_names(frame), params={"rounds": ROUNDS, "max_bins": BINS})
         predictions = materialize(forecast.predict(model, frame))
-        _FITTED[key] = frame, feats, model, predictions
+        _FITTED[key] = frame, model, predictions
     return _FITTED[key]
 
 
@@ -322,7 +337,7 @@ def q_forecast_gbt(spark, sf):
     """M1, M3: rows per split, rows that the model has scored with a finite
     value, their mean truth, and the error of the last value to compare with
     (``forecast_metrics`` has the model's own)."""
-    frame, _, _, predictions = fitted(spark, sf)
+    frame, _, predictions = fitted(spark, sf)
     last = frame.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                       F.sqrt(F.avg((F.col("target") - F.col(TARGET)) ** 2)).alias("last_value_rmse"))
     finite = F.abs("y_pred") < float("inf")
@@ -331,18 +346,47 @@ def q_forecast_gbt(spark, sf):
     return rounded(last.join(scored, "split"))
 
 
+def q_forecast_trees(spark, sf):
+    """M1: every node of the model: splits, thresholds, gains, leaves."""
+    return rounded(fitted(spark, sf)[1].table)
+
+
+def q_boost_histogram(spark, sf):
+    """M1: sums and gains of every bin at the root of the first tree, and the split chosen."""
+    frame, model, _ = fitted(spark, sf)
+    features, p = list(model.features), boosting.BoostParams(max_bins=BINS)
+    rows, _, unit, base = boosting.start(frame.where("split = 'train'"), features, "target", p)
+    first = boosting.sampled(rows.withColumn("f", F.lit(base).cast("long")), p, 1).withColumn("node", F.lit(1))
+    bins = boosting.gains(boosting.histogram(first, p.columns(1, len(features)), len(features)), unit,
+                          p.reg_lambda, p.min_child_weight)
+    name = F.element_at(F.array(*(F.lit(c) for c in features)), F.col("f") + 1)
+    shown = bins.select(name.alias("feature"), F.col("bin").cast("int").alias("bin"), "g", "h", "gain")
+    chosen = model.table.where("tree = 1 and node = 1").select("feature", (F.col("bin") - 1).alias("bin"), F.lit(True).alias("chosen"))
+    return rounded(shown.join(chosen, ["feature", "bin"], "left").fillna(False, ["chosen"]))
+
+
+def q_forecast_predictions(spark, sf):
+    """M3: the prediction of every row."""
+    return rounded(fitted(spark, sf)[2])
+
+
+def q_round_metrics(spark, sf):
+    """M2: errors on every split after each round."""
+    frame, model, _ = fitted(spark, sf)
+    return rounded(forecast.round_metrics(model, frame))
+
+
 def q_forecast_metrics(spark, sf):
-    """M2: the model's own errors, and whether they are under the last value's
-    (Spark ML: no SQL form).  On series without a pattern they are not."""
-    errors = forecast.evaluate(fitted(spark, sf)[3])
+    """M2: the model's errors, and whether they are under the last value's.  On
+    series without a pattern they need not be."""
+    errors = forecast.evaluate(fitted(spark, sf)[2])
     last = q_forecast_gbt(spark, sf).select("split", "last_value_rmse")
     return rounded(errors.join(last, "split")).withColumn("beats_last_value", F.col("rmse") < F.col("last_value_rmse"))
 
 
 def q_importance_topn(spark, sf):
-    """M4, T2 (Spark ML: no SQL form)."""
-    _, feats, model, _ = fitted(spark, sf)
-    return rounded(forecast.feature_importances(spark, model, feats, 20))
+    """A top-k, so the limit is the feature."""
+    return rounded(forecast.feature_importances(fitted(spark, sf)[1], 20))
 
 
 # --- schedules -------------------------------------------------------------
@@ -444,6 +488,64 @@ def q_scenario_costs(spark, sf):
         F.sum("optimized_cost").alias("total_optimized")))
 
 
+def q_schedule_bad_rows(spark, sf):
+    """Homes with powers that are no number, plans without a cap,
+    several plans, none, or an unknown tariff get a status each."""
+    apps = faulty_appliances_from_part(table(spark, sf, "part"))
+    return rounded(optimize_schedules(apps, tariff_table(spark), faulty_plans(apps)).homes)
+
+
+def q_schedule_certificate(spark, sf):
+    """Homes of twelve appliances, each with a proof that its schedule
+    keeps the rules and that none costs less."""
+    apps = big_home_appliances(table(spark, sf, "part"))
+    found = optimize_schedules(apps, tariff_table(spark), big_home_plans(apps))
+    return found.homes.select("home_id", "status").join(found.certificate, "home_id", "left").select(
+        "home_id", "status", "cap", "n_appliances", "feasible", "slack", "proven", (F.col("cost") - F.col("bound")).alias("gap"))
+
+
+# --- weather file, column choice, the whole job --------------------------------
+
+def q_weather_csv(spark, sf):
+    """A weather file with a text column and a time column
+    that is found by its name, joined with the readings."""
+    path = f"{_csv_dir(spark)}/weather.csv"
+    events = table(spark, sf, "events")
+    feed = weather_from_events(events)
+    write_csv(feed.select(F.concat(F.lit("station "), F.col("weather_seq") % 3).alias("station"), F.col("temperature"),
+                          F.col("ts").cast("string").alias("observed_datetime"), F.col("weather_seq").alias("feed_seq")), path)
+    wide = pivot_first(readings_from_events(events), CH)
+    weather = load_weather(spark, path)
+    joined = merge_weather(wide, weather, right_order="feed_seq")
+    # A missing file is no weather, and no weather changes nothing.
+    same = merge_weather(joined, load_weather(spark, f"{path}-none"))
+    return rounded(same.select("home_id", "ts", *CH, *numeric_columns(weather)))
+
+
+def q_channel_choice(spark, sf):
+    """P5, P6, P7 on the combined rows with features beside them: what counts as
+    a channel, which one is the target, which go into the features."""
+    wide = pivot_first(combined_channels(spark, sf), list(VARIABLE_CHANNELS.values()))
+    frame = add_time_features(add_lag_features(wide, ["Aggregate"], [1])).withColumn("note", F.lit("text"))
+    chosen = detect_channels(numeric_columns(frame, exclude=("home_id",)))
+    target, into = choose_target(chosen), feature_channels(chosen)
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("channel"), F.lit(c == target).alias("is_target"),
+                     F.lit(c in into).alias("is_feature"), F.count(c).alias("n_values"), F.sum(c).alias("total"))
+            for i, c in enumerate(chosen)]
+    return rounded(frame.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+
+
+JOB_ROUNDS = 2
+
+
+def q_household_job(spark, sf):
+    """The whole job, from readings to the summary of errors and savings."""
+    wide = pivot_first(readings_from_events(table(spark, sf, "events")), CH)
+    out = run_household_job(spark, wide, *schedule_inputs(spark, sf), channels=CH, target=TARGET, interval=INTERVAL,
+                            boost_params={"rounds": JOB_ROUNDS, "max_bins": BINS})
+    return out["results_summary"]
+
+
 QUERIES = {
     "channel_filter": q_channel_filter,
     "pivot_first": q_pivot_first,
@@ -500,6 +602,15 @@ QUERIES = {
     "results_summary": q_results_summary,
     "scenario_costs": q_scenario_costs,
     "forecast_gbt": q_forecast_gbt,
+    "forecast_trees": q_forecast_trees,
+    "forecast_predictions": q_forecast_predictions,
+    "boost_histogram": q_boost_histogram,
+    "round_metrics": q_round_metrics,
     "forecast_metrics": q_forecast_metrics,
     "importance_topn": q_importance_topn,
+    "schedule_bad_rows": q_schedule_bad_rows,
+    "schedule_certificate": q_schedule_certificate,
+    "weather_csv": q_weather_csv,
+    "channel_choice": q_channel_choice,
+    "household_job": q_household_job,
 }

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..constants import FORECAST_HORIZON, LAG_INTERVALS, RESAMPLE_INTERVAL, ROLLING_WINDOWS
 from ..functions.channels import choose_target, feature_channels
@@ -41,7 +42,7 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
                       plans: DataFrame, output_dir: str | None = None, *,
                       channels: Sequence[str] | None = None, target: str | None = None,
                       features_from: Sequence[str] | None = None, interval: str = RESAMPLE_INTERVAL,
-                      gbt_params: dict | None = None, keys=("home_id",),
+                      boost_params: dict | None = None, keys=("home_id",),
                       scaler_fit: str = "all", weather: DataFrame | None = None,
                       weather_order: str | None = None) -> dict[str, DataFrame]:
     """``weather`` ``(ts, <numeric columns>)`` is matched to the readings by
@@ -70,13 +71,17 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
             chans, featurize, keys=keys)
     else:
         raise ValueError(f"scaler_fit must be 'all' or 'train', not {scaler_fit!r}")
-    frame = featurize(processed)
-    frame = materialize(frame)  # many passes follow (fit, score): read it once from storage
+    # Values to six places, as the forecast needs no more, and the last digits of
+    # a mean depend on the order of its sum.  Many passes follow (fit, score).
+    frame = featurize(materialize(processed))
+    frame = materialize(frame.withColumns({f.name: F.round(F.round(f.name, 9), 6) for f in frame.schema.fields
+                                           if isinstance(f.dataType, DoubleType)}))
     feats = feature_names(frame, keys=keys)
-    model = forecast.train_forecaster(frame, feats, params=gbt_params)
+    model = forecast.train_forecaster(frame, feats, params=boost_params, keys=keys)
     predictions = materialize(forecast.predict(model, frame, keys=keys))
     metrics = forecast.evaluate(predictions)
-    importances = forecast.feature_importances(spark, model, feats)
+    curves = forecast.round_metrics(model, frame)
+    importances = forecast.feature_importances(model)
 
     result = optimize_schedules(appliances, tariffs, plans, keys=keys)
     optimal = result.homes.filter(F.col("status") == "optimal")
@@ -88,6 +93,8 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
         "predictions": predictions,
         "metrics": metrics,
         "importances": importances,
+        "round_metrics": curves,
+        "model": model.table,
         "schedule": result.schedule.select(*keys, "appliance", "hour", "price", "is_on"),
         "homes": result.homes,
         "schedule_summary": reports.schedule_summary(result.schedule, keys),
@@ -105,6 +112,8 @@ def run_household_job(spark: SparkSession, wide: DataFrame, appliances: DataFram
                   single_file=True)
         write_csv(metrics, f"{base}/metrics", single_file=True)
         write_csv(importances, f"{base}/feature_importance", single_file=True)
+        write_csv(curves, f"{base}/round_metrics", single_file=True)
+        write_parquet(model.table, f"{base}/model", partition_by=())
         write_parquet(predictions, f"{base}/predictions", partition_by=())
         write_parquet(out["homes"], f"{base}/homes")
     return out

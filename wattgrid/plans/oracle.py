@@ -6,6 +6,7 @@ explicit frames, ratios are DOUBLE literals, doubles are rounded to 6 places.
 from __future__ import annotations
 
 import math
+import re
 
 from ..sources.tables import EVENT_CHANNELS
 
@@ -369,12 +370,13 @@ chk AS (
                  WHEN latest_finish <= 0 OR latest_finish > 24 THEN 'finish hour not within the day'
                  WHEN runtime_hours <= 0 THEN 'runtime not positive'
                  WHEN earliest_start + runtime_hours > latest_finish THEN 'runtime longer than the window'
+                 WHEN power_rating < 0 OR NOT isfinite(power_rating) THEN 'power not finite or negative'
                  WHEN count(*) OVER (PARTITION BY home_id, appliance) > 1 THEN 'name used twice in the home' END AS violation
   FROM apps
 )"""
 
 
-def sched_ctes(plans_sql: str | None = None, key: str = "home_id") -> str:
+def sched_ctes(plans_sql: str | None = None, key: str = "home_id", apps: str = APPS) -> str:
     """CTE chain ending in ``status`` (one row per home) and ``sched`` (the
     24-hour grid of optimal homes with baseline_on / is_on)."""
     plans = plans_sql or """plans AS (
@@ -383,7 +385,7 @@ def sched_ctes(plans_sql: str | None = None, key: str = "home_id") -> str:
   FROM (SELECT DISTINCT home_id FROM apps)
 )"""
     k = key
-    return f"""{APPS},
+    return f"""{apps},
 {plans},
 {_tariff_values()},
 homes AS (
@@ -704,8 +706,56 @@ SQL["wide_csv"] = f"""WITH {READINGS}, three AS (
 )
 """ + rounded_select("three")
 
-SQL["forecast_gbt"] = f"""WITH {split_ctes()}
-SELECT split, count(*)::BIGINT AS n_rows, {R(f'sqrt(avg((target - {TARGET}) * (target - {TARGET})))')} AS last_value_rmse,
-       count(*)::BIGINT AS n_scored, {R('avg(target)')} AS mean_truth
-FROM split GROUP BY split
+# --- bad rows, certificates, weather file, column choice ------------------------
+
+_POWER = "500.0::DOUBLE + (p_partkey % 8)::DOUBLE * 250.0::DOUBLE"
+_FAULTY = APPS.replace(f"{_POWER} AS power_rating", f"""CASE WHEN p_partkey % 17 = 0 THEN 'NaN'::DOUBLE WHEN p_partkey % 19 = 0 THEN 'Infinity'::DOUBLE
+              WHEN p_partkey % 23 = 0 THEN -100.0::DOUBLE WHEN p_partkey % 29 <> 0 THEN {_POWER} END AS power_rating""").replace(
+    "CASE WHEN earliest_start < 0", "CASE WHEN power_rating IS NULL THEN 'power_rating has no value' WHEN earliest_start < 0")
+_GOOD_PLANS = """plans AS (
+  SELECT home_id, CASE home_id % 3 WHEN 0 THEN 'default' WHEN 1 THEN 'flat' ELSE 'steep' END AS tariff_id,
+         (1 + home_id % 2)::INTEGER AS cap
+  FROM (SELECT DISTINCT home_id FROM apps) WHERE home_id % 7 <> 0 AND home_id % 11 <> 0 AND home_id % 13 <> 0 AND home_id % 5 <> 0
+)"""
+
+SQL["schedule_bad_rows"] = f"""WITH {sched_ctes(_GOOD_PLANS, apps=_FAULTY)}
+SELECT a.home_id, CASE WHEN a.home_id % 7 = 0 THEN 'no plan' ELSE coalesce(status.status, 'invalid') END AS status, status.path,
+       CASE WHEN a.home_id % 7 <> 0 AND a.home_id % 11 <> 0 THEN (1 + a.home_id % 2)::INTEGER END AS cap, max_on,
+       {R('original_cost')} AS original_cost, {R('optimized_cost')} AS optimized_cost
+FROM (SELECT DISTINCT home_id FROM apps) a LEFT JOIN status USING (home_id)"""
+
+# Every home's schedule is proven: expected from the rules alone.
+SQL["schedule_certificate"] = """
+SELECT home_id, 'optimal' AS status, (3 + home_id % 3)::INTEGER AS cap, count(*)::BIGINT AS n_appliances, true AS feasible,
+       true AS slack, true AS proven, 0::BIGINT AS gap
+FROM (SELECT (p_partkey // 12)::BIGINT AS home_id FROM part) GROUP BY home_id"""
+
+SQL["weather_csv"] = f"""WITH {READINGS},
+l AS (SELECT *, row_number() OVER (ORDER BY home_id, ts) AS lid FROM wide),
+r AS (SELECT ts AS rts, event_id AS rid, CASE WHEN NOT isnan(value) THEN value END AS temperature
+      FROM events WHERE event_type = 'view'),
+{_nearest('l', 'r', 1)}
+SELECT home_id, ts, {', '.join(r6(c, c) for c in CH)}, {R('r.temperature')} AS temperature, r.rid::DOUBLE AS feed_seq
+FROM l JOIN m USING (lid) LEFT JOIN r ON r.rid = m.rid
+"""
+
+_NAMED = ["Aggregate"] + [f"Appliance{k}" for k in range(1, 10)]
+SQL["channel_choice"] = f"""
+WITH k AS (SELECT user_id % 12 AS k, ts, value, event_id FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+w AS (SELECT k, ts, arg_min(value, event_id) AS v FROM k WHERE k BETWEEN 1 AND 10 GROUP BY ALL)
+SELECT c.position::INTEGER AS position, c.channel, c.position = 0 AS is_target, c.position < 5 AS is_feature,
+       count(v)::BIGINT AS n_values, {R('sum(v)')} AS total
+FROM (VALUES {', '.join(f"({i}, '{n}', {i + 1})" for i, n in enumerate(_NAMED))}) c(position, channel, k) LEFT JOIN w USING (k)
+GROUP BY ALL
 """
+
+# --- the boosted forecast -------------------------------------------------------
+
+from .catalog import JOB_ROUNDS, ROUNDS  # noqa: E402
+from .oracle_boost import forecast_sql, job_metrics_ctes  # noqa: E402
+
+_FEATURES = [*CH, *TF_INT, *TF_DBL, *FEATURE_NAMES[:-1]]
+SQL.update(forecast_sql(ROUNDS, split_ctes(), _FEATURES, r6, TARGET))
+_JOB = split_ctes() + ",\n" + re.sub(r"\b(grid|cells)\b", r"hour_\1", sched_ctes())
+SQL["household_job"] = (f"{job_metrics_ctes(JOB_ROUNDS, _JOB, _FEATURES, r6)},\n"
+                        + SQL["results_summary"][SQL["results_summary"].index("\ns AS (") + 1:])

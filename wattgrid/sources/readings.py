@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,22 +35,42 @@ def _path(uri: str) -> str:
     return re.sub(r"^file:/+", "file:/", unquote(uri))
 
 
+HEADER_LINES = 20
+
+
+def header_lines(spark: SparkSession, paths: Sequence[str] | str, lines: int = HEADER_LINES) -> DataFrame:
+    """``(file, at, value)``: the first lines of each file.
+
+    One task looks at one file and stops after its first lines, so what is read
+    for headers follows the number of files, not their size.  Files are not
+    split for this: the settings are those of a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 60))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(lines))
+
+    def first(batches):
+        for batch in batches:
+            yield batch.append_column("at", pa.array(range(batch.num_rows), pa.int32()))
+            return
+    text = own.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    return text.mapInArrow(first, "file string, value string, at int")
+
+
 def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> dict[tuple[str, ...], list[str]]:
     """Column names -> the CSV files that have them in that order.
 
-    A header is the line of a file that names ``time_col``; lines are looked at
-    where the files are, only one line per file comes back.  A file without one
-    raises."""
-    lines = spark.read.text(paths)
+    A header is the first of a file's first lines that names ``time_col``; one
+    line per file comes back.  A file without one raises."""
+    lines = header_lines(spark, paths)
     named = (lines.where(F.col("value").rlike(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)'))
-             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
              .groupBy("file").agg(F.min_by("value", "at").alias("header")))
     out: dict[tuple[str, ...], list[str]] = {}
     for row in named.orderBy("file").collect():
         columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([row["header"]])))
         out.setdefault(columns, []).append(_path(row["file"]))
     found = {f for files in out.values() for f in files}
-    bare = sorted(f for f in map(_path, lines.inputFiles()) if f not in found)
+    bare = sorted(f for f in map(_path, spark.read.text(paths).inputFiles()) if f not in found)
     if bare:
         raise ValueError(f"no column {time_col!r} in {bare}")
     return out

@@ -86,6 +86,47 @@ def appliances_from_part(part: DataFrame) -> DataFrame:
         (F.lit(500.0) + (F.col("p_partkey") % 8).cast("double") * 250.0).alias("power_rating"))
 
 
+def faulty_appliances_from_part(part: DataFrame) -> DataFrame:
+    """As :func:`appliances_from_part`, with powers that are no number, infinite,
+    negative or missing in some rows."""
+    key, power = F.col("p_partkey"), F.lit(500.0) + (F.col("p_partkey") % 8).cast("double") * 250.0
+    bad = (F.when(key % 17 == 0, F.lit(float("nan"))).when(key % 19 == 0, F.lit(float("inf")))
+           .when(key % 23 == 0, F.lit(-100.0)).when(key % 29 != 0, power))
+    ids = part.select("p_partkey", "p_name").select(
+        F.concat(F.col("p_name"), F.lit(" #"), key.cast("string")).alias("appliance"), bad.alias("_power"))
+    return appliances_from_part(part).join(ids, "appliance").withColumn("power_rating", F.col("_power")).drop("_power")
+
+
+def faulty_plans(appliances: DataFrame) -> DataFrame:
+    """As :func:`plans_from_appliances`, but some homes have no plan, a plan
+    without a cap, two plans, or a tariff that is not there."""
+    home = F.col("home_id")
+    plans = plans_from_appliances(appliances).where(home % 7 != 0)
+    plans = plans.withColumns({"max_simultaneous": F.when(home % 11 != 0, F.col("max_simultaneous")),
+                               "tariff_id": F.when(home % 13 != 0, F.col("tariff_id")).otherwise(F.lit("unknown"))})
+    return plans.unionByName(plans.where(home % 5 == 0))
+
+
+BIG_HOME = 12
+
+
+def big_home_appliances(part: DataFrame) -> DataFrame:
+    """Twelve appliances per home with windows of ten to twelve hours."""
+    size = F.col("p_size")
+    return part.select(
+        F.expr(f"p_partkey div {BIG_HOME}").alias("home_id"),
+        F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("appliance"),
+        (F.lit(1.0) + (size % 6).cast("double") * 0.5).alias("runtime_hours"),
+        ((size * 7) % 12).cast("int").alias("earliest_start"),
+        ((size * 7) % 12 + 10 + size % 3).cast("int").alias("latest_finish"),
+        (F.lit(500.0) + (F.col("p_partkey") % 8).cast("double") * 250.0).alias("power_rating"))
+
+
+def big_home_plans(appliances: DataFrame) -> DataFrame:
+    """Caps of three to five."""
+    return plans_from_appliances(appliances).withColumn("max_simultaneous", (F.lit(3) + F.col("home_id") % 3).cast("int"))
+
+
 def plans_from_appliances(appliances: DataFrame) -> DataFrame:
     """One plan per home: ``(home_id, tariff_id, allow_simultaneous, max_simultaneous)``."""
     tariff = F.element_at(F.array(*[F.lit(t) for t in TARIFF_ORDER]),
