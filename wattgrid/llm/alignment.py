@@ -6,8 +6,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from bisect import bisect_left
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -19,8 +20,10 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from .common import cut, map_arrow
 
-CACHE = 60_000
+#: Units that a task keeps, the longest of them, and how many are encoded together.
+CACHE = 400_000
 LONGEST_KEPT = 64
+TOGETHER = 2_000
 
 
 def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -33,46 +36,43 @@ def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     stack = [(0, len(a), 0, len(b))] if a else []
     while stack:
         lo, hi, blo, bhi = stack.pop()
-        middle, found = (lo + hi) // 2, None
-        # The last end of an interval is common; look at those before it.
-        for step in range(max(middle - lo, hi - 2 - middle) + 1):
-            for i in {middle + step, middle - step}:
-                if lo <= i < hi - 1:
-                    j = bisect_left(b, a[i], blo, bhi - 1)
-                    if j < bhi - 1 and b[j] == a[i]:
-                        found = i + 1, j + 1
-                        break
-            if found:
+        while True:
+            # The last end of an interval is common; look at those before it.
+            last, blast, found = hi - 1, bhi - 1, -1
+            if lo < last and blo < blast:
+                middle = (lo + last) // 2
+                for step in range(last - middle + 1):
+                    i = middle + step
+                    if i < last:
+                        j = bisect_left(b, a[i], blo, blast)
+                        if j < blast and b[j] == a[i]:
+                            found = i
+                            break
+                    i = middle - step
+                    if i >= lo and step:
+                        j = bisect_left(b, a[i], blo, blast)
+                        if j < blast and b[j] == a[i]:
+                            found = i
+                            break
+            if found < 0:
+                cuts.append((hi, bhi))
                 break
-        if found:
-            stack.append((found[0], hi, found[1], bhi))
-            stack.append((lo, found[0], blo, found[1]))
-        else:
-            cuts.append((hi, bhi))
+            stack.append((found + 1, hi, j + 1, bhi))  # the right half later, the left one now
+            hi, bhi = found + 1, j + 1
     return cuts
 
 
-def groups_of(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """``(a from, a to, b from, b to)`` of each group, in order."""
-    out, i, j = [], 0, 0
-    for i1, j1 in shared_ends(a, b):
-        out.append((i, i1, j, j1))
-        i, j = i1, j1
-    return out
-
-
-def links_of(a: list[int], b: list[int], groups: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
-    """Pairs of tokens (as positions) whose byte ranges overlap: inside a group
-    both lists are walked side by side."""
-    out = []
-    for i, i1, j, j1 in groups:
-        while i < i1 and j < j1:
-            out.append((i, j))
-            if a[i] <= b[j]:
-                i += 1
-            else:
-                j += 1
-    return out
+def links_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens (as positions) whose byte ranges overlap, by two rising
+    lists of ends that start and end at the same place.  A token is linked with
+    a run of the other side: from the first that ends behind its start to the
+    first that ends at or behind its end."""
+    start = np.concatenate([[0], a[:-1]]) if len(a) else a
+    first, to = np.searchsorted(b, start, side="right"), np.searchsorted(b, a, side="left") + 1
+    counts = to - first
+    before = np.cumsum(counts) - counts
+    return (np.repeat(np.arange(len(a)), counts),
+            np.arange(counts.sum()) + np.repeat(first - before, counts))
 
 
 @dataclass
@@ -98,30 +98,15 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Unit:
-    """A stretch of text with its tokens under both tokenizers, aligned."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs", "valid")
-
-    def __init__(self, a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int], valid: bool):
-        self.valid = valid
-        self.n_a = self.n_b = self.n_groups = 0
-        self.groups, self.pairs = "", ()
-        if valid:
-            groups = groups_of(a_ends, b_ends)
-            self.n_a, self.n_b, self.n_groups = len(a_ids), len(b_ids), len(groups)
-            self.groups = ";".join(",".join(map(str, a_ids[i:i1])) + "|" + ",".join(map(str, b_ids[j:j1]))
-                                   for i, i1, j, j1 in groups)
-            self.pairs = tuple(Counter((a_ids[i], b_ids[j]) for i, j in links_of(a_ends, b_ends, groups)).items())
-
-
 class Aligner:
     """Aligns texts unit by unit.  A unit starts at a blank or line feed that
     follows a character which is no white space (or at the start).  No token of
     either vocabulary goes over such a place (checked when loading; if one does,
     a text is one unit), so both tokenizers cut there and the place is a shared
-    end.  Short units are kept, as an interval met again need not be solved
-    again."""
+    end.  An interval met again need not be solved again: a task keeps a bounded
+    number of units, with their figures in columns.
+
+    Units number 0 is one that cannot be aligned."""
 
     def __init__(self, both: Tokenizers):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -139,6 +124,9 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=both.b)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))]
+        self.a_size, self.b_size = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.a_shown, self.b_shown = ([np.array([f"{i}{mark}" for i in range(len(side))], object) for mark in marks]
+                                      for side, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
         # A token over a cut, or one that begins with a blank and a line feed.
         over = re.compile(r"\S[ \n]|^ +\n")
         whole = any(over.search(t.decode("utf-8", "replace")) for t in [*self.a_bytes, *self.b_bytes])
@@ -146,80 +134,120 @@ class Aligner:
         self.units = (lambda t: [t]) if whole else re.compile(
             r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+").findall
         self.blank = self.b.encode("\n")[:1]
+        self.clear()
+
+    def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.table: list[Unit] = []
-
-    def _pieces(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids under both.  ``b`` puts a blank before what it gets: a unit's own
-        blank is left to it; before a line feed that blank is a piece to drop."""
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] if u.startswith(" ") else u for u in units], num_threads=1)
-        b = [self.blank if u == " " else ids if u.startswith(" ") else ids[1:] for u, ids in zip(units, b, strict=True)]
-        return list(zip(a, b, strict=True))
-
-    def learn(self, units: list[str]) -> list[int]:
-        """Numbers of ``units`` in the task's table."""
-        new = list(dict.fromkeys(u for u in units if u not in self.known))
-        for k in range(0, len(new), 4096):
-            some = new[k:k + 4096]
-            for unit, (a, b) in zip(some, self._pieces(some), strict=True):
-                raw = unit.encode()
-                a_raw, b_raw = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-                valid = b"".join(a_raw) == raw and b"".join(b_raw) == raw
-                ends = [np.cumsum([len(x) for x in r]).tolist() if valid else [] for r in (a_raw, b_raw)]
-                self.known[unit] = len(self.table)
-                self.table.append(Unit(a, ends[0], b, ends[1], valid))
-        return [self.known[u] for u in units]
-
-    def forget(self) -> None:
-        """Bounds what a task keeps."""
-        if len(self.table) > CACHE:
-            self.known.clear()
-            self.table.clear()
-        else:
-            for unit in [u for u in self.known if len(u) > LONGEST_KEPT]:
-                self.table[self.known.pop(unit)] = None
+        self.groups = [""]
+        self.n_a, self.n_b, self.n_groups = array("i", [0]), array("i", [0]), array("i", [0])
+        # The links of unit u: bounds[u] to bounds[u + 1] of pair (a id << 32 | b id).
+        self.bounds, self.pair = array("q", [0, 0]), array("q")
+
+    def encode_a(self, text: str) -> list[int]:
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def encode_b(self, text: str) -> list[int]:
+        """``b`` puts a blank before what it gets: a text's own blank is left to
+        it; before a line feed that blank is a piece to drop."""
+        if text == " ":
+            return self.blank
+        return self.b.encode(text[1:]) if text.startswith(" ") else self.b.encode(text)[1:]
+
+    def solve(self, units: list[str]) -> bool:
+        """Aligns units that are encoded end to end and enters them; false if
+        that cannot be done with all of them at once."""
+        text = "".join(units)
+        ids = self.encode_a(text), self.encode_b(text)
+        whole = text.encode()
+        if any(b"".join([surface[i] for i in side]) != whole for surface, side in zip((self.a_bytes, self.b_bytes), ids, strict=True)):
+            return False
+        a, b = (np.array(side, np.int64) for side in ids)
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_cuts, b_cuts = np.array(shared_ends(a_ends.tolist(), b_ends.tolist())).T
+        stops = np.cumsum([len(u.encode()) for u in units])
+        at = np.searchsorted(a_ends[a_cuts - 1], stops)  # the group that ends where a unit ends
+        if (a_ends[a_cuts[np.minimum(at, len(a_cuts) - 1)] - 1] != stops).any():
+            return False
+        x, y = links_of(a_ends, b_ends)
+        self.pair.frombytes((a[x] << 32 | b[y]).tobytes())
+
+        # The groups as text: each id with the mark that follows it.
+        a_group = np.searchsorted(a_cuts, np.arange(len(a)), side="right")
+        b_group = np.searchsorted(b_cuts, np.arange(len(b)), side="right")
+        a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_last[a_cuts - 1], b_last[b_cuts - 1] = True, True
+        shown = np.empty(len(a) + len(b), object)
+        b_before = np.concatenate([[0], b_cuts[:-1]])
+        shown[np.arange(len(a)) + b_before[a_group]] = np.where(a_last, self.a_shown[1][a], self.a_shown[0][a])
+        shown[np.arange(len(b)) + a_cuts[b_group]] = np.where(b_last, self.b_shown[1][b], self.b_shown[0][b])
+        parts = shown.tolist()
+
+        def own(ends: np.ndarray) -> bytes:  # how many each unit has
+            return np.diff(np.concatenate([[0], ends])).astype(np.int32).tobytes()
+        a_stop, b_stop = a_cuts[at], b_cuts[at]
+        self.n_a.frombytes(own(a_stop))
+        self.n_b.frombytes(own(b_stop))
+        self.n_groups.frombytes(own(at + 1))
+        self.bounds.frombytes((self.bounds[-1] + np.searchsorted(x, a_stop, side="left")).astype(np.int64).tobytes())
+        number, lo = len(self.groups), 0
+        for unit, hi in zip(units, (a_stop + b_stop).tolist(), strict=True):
+            self.known[unit] = number
+            self.groups.append("".join(parts[lo:hi]))
+            number, lo = number + 1, hi
+        return True
+
+    def learn(self, units: set[str]) -> None:
+        new = [u for u in units if u not in self.known]
+        # Where a unit ends with a character and the next one starts, both cut.
+        joinable = [u for u in new if not u[-1].isspace()]
+        alone = [u for u in new if u[-1].isspace()]
+        for k in range(0, len(joinable), TOGETHER):
+            some = joinable[k:k + TOGETHER]
+            if len(some) == 1 or not self.solve(some):
+                alone += some
+        for u in alone:
+            if not self.solve([u]):
+                self.known[u] = 0
 
     def block(self, texts: list[str | None]) -> dict:
         """One row for a block of texts: per text its figures, the distinct units
         of the block, how often each text has each (``doc_bounds``, ``doc_unit``,
-        ``doc_times``), the distinct id pairs, and how often each unit has each."""
-        table = self.table
-        figures, doc_bounds, doc_unit, doc_times = [], [0], [], []
-        for text in texts:
-            got = self.learn(self.units(" " + text)) if text else []
-            if not all(table[u].valid for u in got):
-                got = []
-            rows = [table[u] for u in got]
-            joined = ";".join([r.groups for r in rows])
-            figures.append((sum([r.n_a for r in rows]), sum([r.n_b for r in rows]), sum([r.n_groups for r in rows]),
-                            hashlib.sha256(joined.encode()).hexdigest() if got else ""))
-            own, times = np.unique(np.array(got, np.int64), return_counts=True)
-            doc_unit.append(own)
-            doc_times.append(times)
-            doc_bounds.append(doc_bounds[-1] + len(own))
-        used, doc_unit = np.unique(np.concatenate([np.zeros(0, np.int64), *doc_unit]), return_inverse=True)
-        doc_times = np.concatenate([np.zeros(0, np.int64), *doc_times])
-        total = np.bincount(doc_unit, weights=doc_times, minlength=len(used)).astype(np.int64)
-        number: dict[tuple[int, int], int] = {}
-        unit_bounds, unit_pair, unit_times, pair_total = [0], [], [], []
-        for u, n in zip(used.tolist(), total.tolist(), strict=True):
-            for pair, times in table[u].pairs:
-                k = number.setdefault(pair, len(number))
-                if k == len(pair_total):
-                    pair_total.append(0)
-                pair_total[k] += n * times
-                unit_pair.append(k)
-                unit_times.append(times)
-            unit_bounds.append(len(unit_pair))
-        self.forget()
-        return {"n_a": [f[0] for f in figures], "n_b": [f[1] for f in figures], "n_groups": [f[2] for f in figures],
-                "groups_sha256": [f[3] for f in figures], "doc_bounds": doc_bounds, "doc_unit": doc_unit, "doc_times": doc_times,
-                "unit_bounds": unit_bounds, "unit_pair": unit_pair, "unit_times": unit_times,
-                "pair_a": [p[0] for p in number], "pair_b": [p[1] for p in number], "pair_total": pair_total}
-
-
-_INTS = ("doc_bounds", "doc_unit", "doc_times", "unit_bounds", "unit_pair", "unit_times")
+        ``doc_times``), the distinct id pairs, and those of each unit's links."""
+        if len(self.groups) > CACHE:
+            self.clear()
+        parts = [self.units(" " + t) if t else [] for t in texts]
+        self.learn(set().union(*parts))
+        known = self.known
+        numbers = [[known[u] for u in p] for p in parts]
+        numbers = [[] if 0 in set(p) else p for p in numbers]
+        for u in [u for u in known if len(u) > LONGEST_KEPT]:
+            del known[u]
+        joined = ["".join([self.groups[u] for u in p])[:-1] for p in numbers]
+        digests = [hashlib.sha256(j.encode()).hexdigest() if p else "" for p, j in zip(numbers, joined, strict=True)]
+
+        def column(values: array, dtype) -> np.ndarray:
+            return np.frombuffer(values, dtype) if len(values) else np.zeros(0, dtype)
+
+        doc = np.repeat(np.arange(len(texts)), [len(p) for p in numbers])
+        unit = np.concatenate([np.zeros(0, np.int64), *(np.array(p, np.int64) for p in numbers)])
+        sums = [np.bincount(doc, weights=column(c, np.int32)[unit], minlength=len(texts)).astype(np.int64)
+                for c in (self.n_a, self.n_b, self.n_groups)]
+        cells, doc_times = np.unique(doc << 32 | unit, return_counts=True)
+        used, doc_unit = np.unique(cells & 0xFFFFFFFF, return_inverse=True)
+        total = np.bincount(doc_unit, weights=doc_times, minlength=len(used))
+        bounds = column(self.bounds, np.int64)
+        sizes = bounds[used + 1] - bounds[used]
+        unit_bounds = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(unit_bounds[-1]) + np.repeat(bounds[used] - unit_bounds[:-1], sizes)
+        pairs, unit_pair = np.unique(column(self.pair, np.int64)[places], return_inverse=True)
+        pair_total = np.bincount(unit_pair, weights=np.repeat(total, sizes), minlength=len(pairs))
+        return {"n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "groups_sha256": digests,
+                "doc_bounds": np.searchsorted(cells >> 32, np.arange(len(texts) + 1)), "doc_unit": doc_unit, "doc_times": doc_times,
+                "unit_bounds": unit_bounds, "unit_pair": unit_pair,
+                "pair_a": pairs >> 32, "pair_b": pairs & 0xFFFFFFFF, "pair_total": pair_total.astype(np.int64)}
+
+
+_INTS = ("doc_bounds", "doc_unit", "doc_times", "unit_bounds", "unit_pair")
 _BLOCK = ("n_a array<long>, n_b array<long>, n_groups array<long>, groups_sha256 array<string>, "
           + ", ".join(f"{c} array<int>" for c in _INTS) + ", pair_a array<int>, pair_b array<int>, pair_total array<long>")
 
@@ -295,8 +323,8 @@ def align(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text_col: s
                 def of(name, dtype=np.int64):
                     got = batch.column(name)[r].values
                     return np.zeros(0, dtype) if got is None else got.to_numpy(zero_copy_only=False).astype(dtype)
-                pair, times = of("unit_pair"), of("unit_times")
-                per_unit = [sums(v, of("unit_bounds")) for v in (times, times * of("pair_best")[pair], times * of("pair_n")[pair])]
+                pair, bounds = of("unit_pair"), of("unit_bounds")
+                per_unit = [np.diff(bounds), sums(of("pair_best")[pair], bounds), sums(of("pair_n")[pair], bounds)]
                 unit, often = of("doc_unit"), of("doc_times")
                 n_links, n_best, count_sum = (pa.array(sums(u[unit] * often, of("doc_bounds"))) for u in per_unit)
                 out.append(pa.RecordBatch.from_arrays(
