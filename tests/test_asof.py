@@ -87,3 +87,35 @@ def test_keyed_suffixes_duplicates_and_null_keys(spark):
     out = merge_nearest(left, right.withColumn("o", F.monotonically_increasing_id()), by=["k"], right_order="o").drop("o")
     assert set(out.columns) == {"k", "ts", "v_x", "v_y"}
     assert {r["v_x"]: r["v_y"] for r in out.collect()} == {5: big, 6: None, 7: None, 8: None, 9: None}
+
+
+def test_pieces_of_any_size_give_the_same_rows(spark):
+    """A third of all rows in one bucket, ties, duplicates, cells that are hot by
+    themselves; against pandas, whatever the size of a piece."""
+    rng = np.random.default_rng(3)
+    lm = np.sort(np.concatenate([rng.integers(0, 3000, 300), rng.integers(600, 640, 150), np.full(60, 615)]))
+    rm = np.sort(np.concatenate([rng.integers(0, 3000, 60), rng.integers(600, 640, 60), np.full(9, 615)]))
+    lp = pd.DataFrame({"ts": [T0 + dt.timedelta(minutes=int(m)) for m in lm]})
+    rp = pd.DataFrame({"ts": [T0 + dt.timedelta(minutes=int(m)) for m in rm], "w": np.arange(len(rm), dtype=float)})
+    exp = pd.merge_asof(lp, rp, on="ts", direction="nearest", tolerance=pd.Timedelta("40min"))["w"]
+    exp = [None if pd.isna(x) else x for x in exp]
+    left, r = frames(spark, lm.tolist(), [(int(m), i) for i, m in enumerate(rm)])
+    for rows, salt in ((7, None), (40, 3), (10_000, None)):
+        out = merge_nearest(left, r, tolerance="40min", right_order="rseq", part_rows=rows, salt=salt)
+        assert [x["w"] for x in out.orderBy("lid").collect()] == exp, (rows, salt)
+
+
+def test_hot_bucket_is_spread_over_pieces(spark):
+    """Half of the left rows in one hour, a third of these in one second: no
+    window partition has much more rows than asked for."""
+    from wattgrid.operators.asof import _staged
+
+    rng = np.random.default_rng(4)
+    seconds = np.concatenate([rng.integers(0, 3_600_000, 3000), 7200 + rng.integers(0, 3600, 2000), np.full(1000, 9000)])
+    left = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=int(x))) for i, x in enumerate(seconds)], "lid long, ts timestamp_ntz")
+    right = spark.createDataFrame([(T0 + dt.timedelta(seconds=int(x)), float(x)) for x in rng.integers(0, 3_600_000, 500)],
+                                  "ts timestamp_ntz, w double")
+    staged = _staged(left, right, "ts", [], "1h", None, ("_x", "_y"), None, 100)[0]
+    sizes = sorted(r["n"] for r in staged.groupBy("_key", "_b", "_p", "_salt").agg(F.count("*").alias("n")).collect())
+    assert sum(sizes) >= len(seconds) and sizes[-1] <= 250
+    assert merge_nearest(left, right, part_rows=100).count() == len(seconds)

@@ -1,0 +1,171 @@
+"""Series in chunks: the same rows as on a whole series, whatever the cut."""
+
+import contextlib
+import datetime as dt
+import io
+import random
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from wattgrid.operators.chunks import numbered, plain, with_borders
+from wattgrid.operators.features import add_lag_features, add_rolling_features, add_target, prepare_features
+from wattgrid.operators.impute import handle_missing
+from wattgrid.operators.outliers import remove_outliers
+from wattgrid.operators.profile import exact_quantiles
+from wattgrid.operators.resample import fill_bins, resample_mean
+from wattgrid.operators.scale import apply_minmax, fit_minmax, minmax_scale
+from wattgrid.operators.sequences import make_sequences
+from wattgrid.operators.split import chrono_split
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "home_id long, ts timestamp_ntz, a double, b double"
+
+
+def series(seed=3, homes=(1, 2, None), n=120):
+    """Hourly rows with gaps of all lengths; home 2 has no value of b, and
+    every home starts and ends with missing values."""
+    rng = random.Random(seed)
+    rows = []
+    for home in homes:
+        hour = 5
+        for i in range(n):
+            hour += rng.choice([1, 1, 1, 1, 2, 30, 200])
+            edge = i < 4 or i >= n - 3
+            a = None if edge or rng.random() < 0.4 else rng.gauss(0, 1) + (30 if rng.random() < 0.02 else 0)
+            rows.append((home, T0 + dt.timedelta(hours=hour), a, None if home == 2 or edge else rng.choice([None, 1.0, 2.0])))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    return spark.createDataFrame(series(), SCHEMA).repartition(5)
+
+
+def by_home(rows):
+    frame = pd.DataFrame([r.asDict() for r in rows])
+    return {k: g.sort_values("ts").reset_index(drop=True) for k, g in frame.groupby(frame.home_id.fillna(-1))}
+
+
+@pytest.mark.parametrize("width", ["7h", "3d", "4000d"])
+@pytest.mark.parametrize("method", ["ffill", "bfill", "interpolate"])
+def test_fills_against_pandas(df, method, width):
+    got = by_home(handle_missing(df, ["a", "b"], method, width=width).collect())
+    for home, g in by_home(df.collect()).items():
+        g = g.set_index("ts")[["a", "b"]].astype(float)
+        want = {"ffill": lambda: g.ffill().bfill(), "bfill": lambda: g.bfill().ffill(),
+                "interpolate": lambda: g.interpolate(method="time")}[method]()
+        np.testing.assert_allclose(got[home][["a", "b"]].astype(float).to_numpy(), want.to_numpy(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("width", ["5h", "2d", "4000d"])
+def test_gaps_over_many_chunks(df, width):
+    got = by_home(fill_bins(df, ["a", "b"], "1h", width=width).collect())
+    for home, g in by_home(df.collect()).items():
+        want = g.set_index("ts")[["a", "b"]].astype(float).asfreq("1h").reset_index()
+        assert got[home].ts.tolist() == want.ts.tolist()
+        np.testing.assert_array_equal(got[home][["a", "b"]].astype(float).to_numpy(), want[["a", "b"]].to_numpy())
+
+
+@pytest.mark.parametrize("width", ["1d", "4000d"])
+def test_outliers_and_scaling(df, width):
+    kept = by_home(remove_outliers(df.fillna(0.0, subset=["a"]), ["a"], 2.0, width=width).collect())
+    scaled = by_home(minmax_scale(df, ["a", "b"], width=width).collect())
+    applied = by_home(apply_minmax(df, fit_minmax(df, ["a", "b"]), ["a", "b"]).collect())
+    for home, g in by_home(df.collect()).items():
+        a = g.a.astype(float).fillna(0.0)
+        z = ((a - a.mean()) / a.std()).abs()
+        assert kept[home].ts.tolist() == g.ts[z < 2.0].tolist()
+        x = g[["a", "b"]].astype(float)
+        span = (x.max() - x.min()).replace(0, 1)
+        want = ((x - x.min()) / span).to_numpy()
+        np.testing.assert_allclose(scaled[home][["a", "b"]].astype(float).to_numpy(), want, rtol=1e-12)
+        np.testing.assert_allclose(applied[home][["a", "b"]].astype(float).to_numpy(), want, rtol=1e-12)  # null homes too
+
+
+def test_constant_column_has_no_spread(spark):
+    rows = [(1, T0 + dt.timedelta(hours=i), 0.1, float(i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert remove_outliers(df, ["a", "b"], width="7h").count() == 0  # D6
+    assert remove_outliers(df, ["a", "b"], width="7h", keep_constant=True).count() == 200
+
+
+@pytest.mark.parametrize("width, block", [("1d", 7), ("9d", 64), ("4000d", 4096)])
+def test_row_windows_against_pandas(df, monkeypatch, width, block):
+    monkeypatch.setattr(with_borders, "__defaults__", (*with_borders.__defaults__[:-1], block))
+    lag = by_home(add_lag_features(df, ["a"], [1, 3], width=width).collect())
+    roll = by_home(add_rolling_features(df, ["a"], [4, 6], width=width).collect())
+    lead = by_home(add_target(df, "a", 5, width=width).collect())
+    for home, g in by_home(df.collect()).items():
+        a = g.a.astype(float)
+        for k in (1, 3):
+            np.testing.assert_array_equal(lag[home][f"a_lag_{k}"].astype(float), a.shift(k))
+        for w in (4, 6):
+            for s in ("mean", "sum", "std"):
+                want = getattr(a.rolling(w, min_periods=1), s)()
+                if s == "sum":
+                    want = want.where(a.rolling(w, min_periods=1).count() > 0)
+                np.testing.assert_allclose(roll[home][f"a_rolling_{s}_{w}"].astype(float), want, atol=1e-9)
+        np.testing.assert_array_equal(lead[home]["target"].astype(float), a.shift(-5))
+
+
+def test_positions_split_and_sequences(df, monkeypatch):
+    placed = by_home(plain(numbered(df, ["home_id"], "ts", "1d").withColumnsRenamed({"_pos": "p", "_size": "n"})).collect())
+    split = by_home(chrono_split(df, width="1d").collect())
+    for home, g in placed.items():
+        assert g.p.tolist() == list(range(len(g))) and set(g.n) == {len(g)}
+        n = len(g)
+        want = ["train" if i < int(n * 0.7) else "val" if i < int(n * 0.85) else "test" for i in range(n)]
+        assert split[home].split.tolist() == want
+    rows = df.fillna(0.0, subset=["a", "b"]).withColumn("target", F.col("a"))
+    monkeypatch.setattr(with_borders, "__defaults__", (*with_borders.__defaults__[:-1], 10))
+    got = by_home(make_sequences(rows, ["a", "b"], 6, width="1d").collect())
+    for home, g in by_home(rows.collect()).items():
+        assert [x.tolist() if hasattr(x, "tolist") else x for x in got[home].x] == \
+            [g[["a", "b"]].iloc[i - 6:i].to_numpy().tolist() for i in range(6, len(g))]
+        assert got[home].y.tolist() == g.target.iloc[6:].tolist()
+
+
+def test_null_keys_are_a_series_for_every_interval(spark):
+    rows = [(None, T0 + dt.timedelta(minutes=m), float(m), None) for m in (0, 8, 20)] + [(1, T0, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for interval, n in (("15min", 3), ("7min", 4)):
+        got = resample_mean(df, ["a"], interval).collect()
+        assert len(got) == n and sum(r["home_id"] is None for r in got) == n - 1
+
+
+def test_no_rows_are_dealt_by_the_key_alone(spark, df):
+    """Exchanges by the key alone carry the small table: their input is an
+    aggregate by (key, chunk)."""
+    made = prepare_features(minmax_scale(remove_outliers(handle_missing(df, ["a", "b"]), ["a", "b"]), ["a", "b"]), "a", ["a", "b"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        chrono_split(made).explain("formatted")
+    text = buf.getvalue()
+    assert "hashpartitioning(home_id" not in text
+    inputs = dict(re.findall(r"\((\d+)\) (?:Exchange|ReusedExchange)[^\n]*\nInput \[\d+\]: \[([^\]]*)\]", text))
+    alone = [i for i in re.findall(r"\((\d+)\) Exchange\n(?:[^\n]+\n)*?Arguments: hashpartitioning\(_key#\d+, \d+\)", text)]
+    assert alone
+    for number in alone:
+        assert not re.search(r"\b(ts|a|b)#", inputs[number]), inputs[number]
+
+
+def test_exact_quantiles_by_rank_selection(spark):
+    rng = random.Random(1)
+    groups = {"spread": [rng.gauss(0, 1e6) for _ in range(999)], "ties": [rng.choice([1.0, 2.0, 2.0, 7.5]) for _ in range(400)],
+              "one": [3.25], "two": [1.0, 2.0], "close": [1.0 + i * 2**-52 for i in range(50)],
+              "wide": [-1.7e308, 1.7e308, 0.0, 1e-300, -1e-300], "same": [0.1] * 33}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("none", None), (None, 4.0), ("same", None)]
+    df = spark.createDataFrame(rows, "g string, _v double").select(F.struct("g").alias("_g"), "_v")
+    qs = (0.0, 0.25, 0.5, 0.9, 1.0)
+    got = {r["_g"]["g"]: r["_q"] for r in exact_quantiles(df, qs, ranges=8).collect()}
+    assert set(got) == {*groups, None}
+    for g, vs in groups.items():
+        with np.errstate(over="ignore"):
+            want = [np.quantile(vs, q) for q in qs]
+        if g != "wide":  # differences overflow there
+            np.testing.assert_allclose(got[g], want, rtol=1e-14)
+    assert got["wide"][0] == -1.7e308 and got["wide"][2] == 0.0 and got["wide"][4] == 1.7e308

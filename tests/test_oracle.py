@@ -1,7 +1,7 @@
 """Every driver query against its DuckDB SQL on the sf0.001 tables.
 
 The same comparison the driver makes (row count, column names, sorted
-values); queries without SQL form (Spark ML) are run for a row count."""
+values)."""
 
 import datetime as dt
 import math
@@ -40,8 +40,8 @@ def con():
     return c
 
 
-def test_every_query_has_sql_or_is_ml():
-    assert set(QUERIES) - set(SQL) == {"forecast_metrics", "importance_topn"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 

@@ -186,3 +186,71 @@ def test_flow_equals_brute_force_on_random_cases():
 
 def test_default_tariff_matches_reference_values():
     assert len(TARIFFS["default"]) == 24 and TARIFFS["default"][17] == 0.40
+
+
+def big_homes(spark, n=40):
+    rng = random.Random(8)
+    apps, plans = [], []
+    for home in range(n):
+        for k in range(rng.randint(10, 14)):
+            first = rng.randrange(0, 14)
+            apps.append((home, f"app {k}", None, rng.choice([1.0, 1.5, 2.0, 3.0, 4.0]), float(first),
+                         float(first + rng.randint(8, 10)), float(rng.choice([500, 750, 1200, 2500]))))
+        plans.append((home, rng.choice(sorted(TARIFFS)), True, rng.choice([2, 3, 4])))
+    return spark.createDataFrame(apps, APP_SCHEMA), spark.createDataFrame(
+        plans, "home_id long, tariff_id string, allow_simultaneous boolean, max_simultaneous int")
+
+
+def test_schedules_of_big_homes_are_proven_in_sql(spark):
+    """Feasibility and complementary slackness of homes with ten and more
+    appliances, checked in another engine from the schedule and the hour prices."""
+    import duckdb
+
+    apps, plans = big_homes(spark)
+    res = optimize_schedules(apps, tariff_table(spark), plans)
+    cert = res.certificate.toPandas()
+    assert len(cert) > 30 and cert.proven.all() and cert.feasible.all() and cert.slack.all()
+    assert (cert.cost == cert.bound).all() and (cert.n_appliances >= 10).all()
+    con = duckdb.connect()
+    con.register("s", res.schedule.select("home_id", "appliance", "hour", "price", "power_rating", "in_window", "is_on", "need", "cap").toPandas())
+    con.register("p", res.certificate.selectExpr("home_id", "posexplode(hour_prices) AS (hour, worth)").toPandas())
+    bad = con.execute("""
+        WITH c AS (SELECT s.*, p.worth, round(power_rating * price * 1000000)::BIGINT + p.worth AS priced FROM s JOIN p USING (home_id, hour)),
+        appliance AS (SELECT home_id, appliance, sum(is_on) AS n, any_value(need) AS need, max(priced) FILTER (WHERE is_on = 1) AS dearest,
+                             min(priced) FILTER (WHERE is_on = 0 AND in_window) AS cheapest, bool_or(is_on = 1 AND NOT in_window) AS outside
+                      FROM c GROUP BY ALL),
+        hours AS (SELECT home_id, hour, sum(is_on) AS n, any_value(cap) AS cap, any_value(worth) AS worth FROM c GROUP BY ALL)
+        SELECT (SELECT count(*) FROM appliance WHERE n <> need OR outside OR dearest > cheapest)
+             + (SELECT count(*) FROM hours WHERE n > cap OR worth < 0 OR (worth > 0 AND n < cap))""").fetchone()[0]
+    assert bad == 0
+    paths = {r["path"] for r in res.homes.collect()}
+    assert "flow" in paths
+    # A schedule that is moved by an hour is not proven any more.
+    from wattgrid.operators.schedule import certify, home_checks, appliance_rows, tariff_rows
+
+    ts = validate_tariffs(tariff_table(spark))
+    checked = validate_appliances(apps)
+    rows = appliance_rows(checked, home_checks(checked, plans, ts), tariff_rows(tariff_table(spark), ts))
+    dear = rows.withColumns({"chosen": F.slice(F.reverse("allowed"), F.lit(1), F.col("need")),
+                             "hour_prices": F.array_repeat(F.lit(0).cast("long"), 24)})
+    flat = {r["home_id"] for r in plans.where("tariff_id = 'flat'").collect()}
+    assert not any(r["proven"] for r in certify(dear).collect() if r["home_id"] not in flat)
+
+
+def test_bad_rows_get_a_status_and_end_no_job(spark):
+    rows = [(home, f"a{k}", None, 2.0, 0.0, 24.0, power) for home, power in enumerate(
+        [1000.0, float("nan"), float("inf"), -1.0, None, 1000.0, 1000.0, 1000.0, 0.0]) for k in range(2)]
+    rows.append((9, "inf", None, float("inf"), 0.0, 24.0, 1000.0))
+    apps = spark.createDataFrame(rows, APP_SCHEMA)
+    plans = [(h, "flat", True, 1) for h in (0, 1, 2, 3, 4, 8, 9)]
+    plans += [(5, "flat", True, None), (6, "flat", True, 2), (6, "flat", True, 2), (7, None, True, 2), (10, "flat", False, None)]
+    res = optimize_schedules(apps, tariff_table(spark), spark.createDataFrame(
+        plans, "home_id long, tariff_id string, allow_simultaneous boolean, max_simultaneous int"))
+    homes = res.homes.collect()
+    assert len(homes) == 11
+    assert {r["home_id"]: r["status"] for r in homes} == {
+        0: "optimal", **dict.fromkeys((1, 2, 3, 4, 5, 6, 7, 9), "invalid"), 8: "optimal", 10: "no appliances"}
+    assert {r["home_id"] for r in res.schedule.select("home_id").distinct().collect()} == {0, 8}
+    assert res.schedule.where("is_on = 1").count() == 8
+    shown = {r["home_id"]: r["violation"] for r in validate_appliances(apps).collect()}
+    assert shown[1] == shown[2] == shown[3] == "power not finite or negative" and shown[4] == "power_rating has no value"

@@ -125,3 +125,46 @@ def test_combined_file_by_name_and_by_dimension(spark, tmp_dir):
         load_readings(spark, tmp_dir, 7)
     with pytest.raises(ValueError):
         load_readings(spark, tmp_dir, [1, 9], dim)
+
+
+def test_headers_are_read_from_the_first_lines_only(spark, tmp_dir):
+    """What is read for headers does not grow with the files."""
+    from wattgrid.sources.readings import headers
+
+    def bytes_read():
+        stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getStatistics("file", spark._jvm.org.apache.hadoop.fs.RawLocalFileSystem().getClass())
+        return stats.getBytesRead()
+
+    read = {}
+    for name, rows in (("small", 100), ("large", 400_000)):
+        for k in range(3):
+            order = ["timestamp", "Aggregate", f"Appliance{k}"]
+            write(f"{tmp_dir}/{name}/CLEAN_House{k}.csv", ",".join(order) + "\n" + "2024-01-01 00:00:00,1.0,2.0\n" * rows)
+        before = bytes_read()
+        found = headers(spark, f"{tmp_dir}/{name}", "timestamp")
+        read[name] = bytes_read() - before
+        assert sorted(found) == [("timestamp", "Aggregate", f"Appliance{k}") for k in range(3)]
+        assert all(len(files) == 1 for files in found.values())
+    size = os.path.getsize(f"{tmp_dir}/large/CLEAN_House0.csv")
+    assert read["large"] < 3 * size / 4, (read, size)
+    with pytest.raises(ValueError, match="no column 'when'"):
+        headers(spark, f"{tmp_dir}/small", "when")
+
+
+def test_bad_lines_go_to_the_reject_table(spark, tmp_dir):
+    from wattgrid.sources.readings import read_combined_csv, reject_counts, rejected_lines
+
+    text = ("TimeSeriesVariable/@id,dateTime,data\nTimeSeriesVariable1,2024-01-01 00:00:00,1.5\n"
+            "TimeSeriesVariable1,yesterday,2\nTimeSeriesVariable2,2024-01-01 00:01:00,many\n"
+            "TimeSeriesVariable2,2024-01-01 00:02:00,\nTimeSeriesVariable2,2024-01-01 00:03:00,NaN\nTimeSeriesVariable3,,7\nshort\n")
+    write(f"{tmp_dir}/long.csv", text)
+    good = read_combined_csv(spark, f"{tmp_dir}/long.csv").collect()
+    assert sorted((r["variable_id"], r["watts"]) for r in good if r["watts"]) == [("TimeSeriesVariable1", 1.5)]
+    assert len(good) == 3
+    rejects = rejected_lines(spark, f"{tmp_dir}/long.csv")
+    assert {r["reason"]: r["n_lines"] for r in reject_counts(rejects).collect()} == {"time not readable": 3, "value not readable": 1}
+    assert any('"yesterday"' in r["line"] for r in rejects.collect())
+    write(f"{tmp_dir}/CLEAN_House4.csv", "timestamp,Aggregate,Appliance1\n2024-01-01 00:00:00,1,2\nbad,1,2\n2024-01-01 01:00:00,x,2\n")
+    assert [r["Aggregate"] for r in read_wide_csv(spark, f"{tmp_dir}/CLEAN_House4.csv").collect()] == [1.0]
+    wide = rejected_lines(spark, f"{tmp_dir}/CLEAN_House4.csv", "timestamp")
+    assert sorted(r["reason"] for r in wide.collect()) == ["time not readable", "value not readable"]

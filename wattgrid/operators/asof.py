@@ -10,107 +10,159 @@ Semantics (those of the reference's nearest as-of merge):
 
 Plan: no pairs are ever formed.  Left and right rows are unioned and each
 left row finds its neighbours with a running ``last(..., ignorenulls)`` in
-time order and in reverse time order.  To keep partitions bounded (and split
-a hot key over time), the window partition is (by keys, time bucket of width
-``tolerance``); right rows are copied into their own bucket and the two
-adjacent ones, which is enough because a match is at most one tolerance
-away.  One exchange on (keys, bucket, salt); the right side is copied 3x per
-salt.
+time order and in reverse time order.  A window partition is a piece of time of
+one key: a bucket as wide as the tolerance or, where a bucket has more rows than
+``part_rows``, a part of it.  The pieces come from counts per (key, bucket,
+cell), a small table: it also carries the last right row before and the first
+one behind each piece, so no right row is copied into other pieces.  A cell that
+alone has too many left rows is spread by a hash of the row.  Right rows of one
+key and time are made one beforehand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..util import interval_seconds
+from ..util import interval_seconds, quote
 
+KEY = "_key"
+CELLS = 64
+PART_ROWS = 200_000
 
-def _micros(c):
+
+def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-KEYLESS_SALT = 8
+def _right_times(right: DataFrame, on: str, order: Column, values: Column) -> DataFrame:
+    """``(KEY, _t, _rf, _rl)``: the first and the last right row of each time."""
+    rows = right.select(KEY, F.col(on).alias("_t"), order.alias("_ro"), values.alias("_r"))
+    return rows.groupBy(KEY, "_t").agg(F.min_by("_r", "_ro").alias("_rf"), F.max_by("_r", "_ro").alias("_rl"))
+
+
+def _pieces(left: DataFrame, right: DataFrame, part_rows: int, salt: int) -> DataFrame:
+    """The small table: ``(KEY, _b, _p, _from, _salts, _prev, _next)``, one row per
+    piece of a bucket ``_b``: the cell it starts with, over how many parts its
+    left rows are spread, the last right row before it and the first behind it."""
+    none = F.lit(None)
+    rows = left.select(KEY, "_b", "_c", F.lit(1).alias("_l"), none.cast("timestamp_ntz").alias("_t"),
+                       *(none.cast(right.schema[c].dataType).alias(c) for c in ("_rf", "_rl")))
+    rows = rows.unionByName(right.select(KEY, "_b", "_c", F.lit(0).alias("_l"), "_t", "_rf", "_rl"))
+    edges = [F.min("_t").alias("_ft"), F.min_by("_rf", "_t").alias("_rf"), F.max("_t").alias("_lt"), F.max_by("_rl", "_t").alias("_rl")]
+    cells = rows.groupBy(KEY, "_b", "_c").agg(F.count("*").alias("_n"), F.sum("_l").alias("_left"), *edges)
+    so_far = Window.partitionBy(KEY, "_b").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cells.withColumn("_cut", F.floor(F.coalesce(F.sum("_n").over(so_far), F.lit(0)) / F.lit(int(part_rows))))
+    pieces = cut.groupBy(KEY, "_b", "_cut").agg(
+        F.min("_c").alias("_from"), F.sum("_left").alias("_left"), F.min("_ft").alias("_ft"), F.min_by("_rf", "_ft").alias("_rf"),
+        F.max("_lt").alias("_lt"), F.max_by("_rl", "_lt").alias("_rl"))
+    order = Window.partitionBy(KEY).orderBy("_b", "_from")
+    back = Window.partitionBy(KEY).orderBy(F.desc("_b"), F.desc("_from"))
+    past = Window.unboundedPreceding
+    last = F.when(F.col("_lt").isNotNull(), F.struct(F.col("_lt").alias("_t"), F.col("_rl").alias("_r")))
+    first = F.when(F.col("_ft").isNotNull(), F.struct(F.col("_ft").alias("_t"), F.col("_rf").alias("_r")))
+    return pieces.where("_from is not null").select(
+        KEY, "_b", "_from", "_left",
+        (F.row_number().over(Window.partitionBy(KEY, "_b").orderBy("_from")) - 1).alias("_p"),
+        F.greatest(F.lit(salt), F.ceil(F.col("_left") / F.lit(int(part_rows)))).cast("int").alias("_salts"),
+        F.last(last, True).over(order.rowsBetween(past, -1)).alias("_prev"),
+        F.last(first, True).over(back.rowsBetween(past, -1)).alias("_next"))
 
 
 def merge_nearest(left: DataFrame, right: DataFrame, *, on: str = "ts",
                   by: Sequence[str] = (), tolerance: str | int = "1h",
                   right_order: str | None = None,
-                  suffixes: tuple[str, str] = ("_x", "_y"), salt: int | None = None) -> DataFrame:
+                  suffixes: tuple[str, str] = ("_x", "_y"), salt: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Left outer nearest as-of join of ``right`` onto ``left`` on time ``on``.
 
-    One plan for every size.  ``salt`` splits each (key, bucket) over that
-    many partitions: left rows are spread by a hash of the row, right rows are
-    copied to every salt, so each left row still sees all its candidates.
-    Without ``by`` all readings of an hour share a bucket while the right side
-    (a weather feed) is small, so the default there is ``KEYLESS_SALT``; with
-    ``by`` it is 1.
+    One plan for every size.  ``part_rows``: about how many rows a window
+    partition gets.  ``salt`` spreads the left rows of every piece over at least
+    that many parts.
 
     A NULL key or time matches nothing; such left rows stay, without a match."""
-    by = list(by)
-    salt = (1 if by else KEYLESS_SALT) if salt is None else max(int(salt), 1)
-    tol = interval_seconds(tolerance)
+    staged, l_names, r_names, right_type = _staged(left, right, on, list(by), tolerance, right_order, suffixes, salt, part_rows)
+    tol_us = interval_seconds(tolerance) * 1_000_000
+    part = [KEY, "_b", "_p", "_salt"]
+    # Right rows sort before left rows at the same time (kind 0 < 1), so the
+    # backward search includes exact matches; the search behind leaves them out.
+    back = Window.partitionBy(*part).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fwd = Window.partitionBy(*part).orderBy(F.desc("_t"), F.desc("_k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev = F.when(F.col("_rl").isNotNull(), F.struct(F.col("_t"), F.col("_rl").alias("_r")))
+    after = F.when(F.col("_rf").isNotNull(), F.struct(F.col("_t"), F.col("_rf").alias("_r")))
+    found = staged.select("_t", "_l", "_k", F.last(prev, True).over(back).alias("_prev"),
+                          F.last(after, True).over(fwd).alias("_next")).where("_k = 1")
+    now = _micros(F.col("_t"))
+    dp, dn = now - _micros(F.col("_prev._t")), _micros(F.col("_next._t")) - now
+    near_p = F.coalesce(dp <= tol_us, F.lit(False))
+    near_n = F.coalesce((dn > 0) & (dn <= tol_us), F.lit(False))
+    pick = F.when(near_p & (~near_n | (dp <= dn)), F.col("_prev._r")).when(near_n, F.col("_next._r"))
+    matched = found.select("_l", pick.alias("_m"))
+    # Rows that match nothing: no time, or a part of the key is missing.
+    absent = left.where(" or ".join(f"{quote(c)} is null" for c in (on, *by)))
+    lone = absent.select(_left_struct(left, on, by, l_names).alias("_l"), F.lit(None).cast(right_type).alias("_m"))
+    out = matched.unionByName(lone)
+    return out.select(*[F.col("_l")[c].alias(c) for c in (*by, on)],
+                      *[F.col("_l")[n].alias(n) for n in l_names.values()],
+                      *[F.col("_m")[n].alias(n) for n in r_names.values()])
+
+
+def _left_struct(left: DataFrame, on: str, by: Sequence[str], names: dict[str, str]) -> Column:
+    return F.struct(*(F.col(quote(c)) for c in (*by, on)), *(F.col(quote(c)).alias(n) for c, n in names.items()))
+
+
+def _staged(left: DataFrame, right: DataFrame, on: str, by: list[str], tolerance, right_order, suffixes, salt, part_rows):
+    """The union that the windows run over: left rows (``_k`` 1, ``_l``), right
+    rows and the carried ones (``_k`` 0, ``_rf``, ``_rl``), dealt to pieces."""
+    tol_us = interval_seconds(tolerance) * 1_000_000
     right_vals = [c for c in right.columns if c not in (on, *by)]
     left_vals = [c for c in left.columns if c not in (on, *by)]
     clash = set(right_vals) & set(left_vals)
     r_names = {c: (c + suffixes[1] if c in clash else c) for c in right_vals}
     l_names = {c: (c + suffixes[0] if c in clash else c) for c in left_vals}
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
 
-    tol_us = tol * 1_000_000
-    bucket = F.floor(_micros(F.col(on)) / F.lit(tol_us)).cast("long")
+    def placed(df: DataFrame) -> DataFrame:  # bucket, and cell within it
+        at = _micros(F.col("_t"))
+        cell = F.floor(F.pmod(at, F.lit(tol_us)) / F.lit(max(1, tol_us // CELLS)))
+        return df.withColumns({"_b": F.floor(at / F.lit(tol_us)).cast("long"), "_c": cell.cast("long")})
 
     # The order key keeps its own type (a cast to double would lose large ids).
-    r_order = F.col(right_order) if right_order else F.monotonically_increasing_id()
-    order_type = right.schema[right_order].dataType if right_order else T.LongType()
-    r_struct = F.struct(F.col(on).alias("t"), *[F.col(c).alias(r_names[c]) for c in right_vals])
-    r = (right.dropna(subset=[on, *by]).select(*by, F.col(on).alias("_t"), bucket.alias("_b0"),
-                      r_order.alias("_ro"), r_struct.alias("_r"))
-         .withColumn("_b", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-         .select(*by, "_t", "_b", "_salt", "_ro", "_r"))
-    l_struct = F.struct(*[F.col(c).alias(l_names[c]) for c in left_vals])
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int") if salt > 1 else F.lit(0)
-    lft = left.select(*by, F.col(on).alias("_t"), bucket.alias("_b"), spread.alias("_salt"),
-                      F.lit(None).cast(order_type).alias("_ro"), l_struct.alias("_l"))
-    r = r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType))
-    lft = lft.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
-    u = lft.unionByName(r)
-
-    # Right rows sort before left rows at the same time (kind 0 < 1), so the
-    # backward search includes exact matches; duplicates keep right order.
-    kind = F.when(F.col("_l").isNull(), F.lit(0)).otherwise(F.lit(1))
-    u = u.withColumn("_k", kind)
-    part = [*by, "_b", "_salt"]
-    back = (Window.partitionBy(*part).orderBy("_t", "_k", "_ro")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Reverse order: later times first; at one time, the first duplicate last,
-    # so the running "last" lands on the first duplicate; left rows of the
-    # same time come before right rows (strictly-after search).
-    fwd = (Window.partitionBy(*part)
-           .orderBy(F.col("_t").desc(), F.col("_k").desc(), F.col("_ro").desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    staged = u.select(*by, "_t", "_l", "_k",
-                      F.last("_r", ignorenulls=True).over(back).alias("_prev"),
-                      F.last(F.when(F.col("_k") == 0, F.col("_r")), ignorenulls=True).over(fwd).alias("_next"))
-    staged = staged.filter(F.col("_k") == 1)
-
-    now = _micros(F.col("_t"))
-    dp = now - _micros(F.col("_prev.t"))
-    dn = _micros(F.col("_next.t")) - now
-    # Strictly after: a right row at the left time is found backwards.
-    dn = F.when(dn > 0, dn)
-    ok_p = F.col("_prev").isNotNull() & (dp <= tol_us)
-    ok_n = F.col("_next").isNotNull() & dn.isNotNull() & (dn <= tol_us)
-    pick = (F.when(ok_p & (~ok_n | (dp <= dn)), F.col("_prev"))
-            .when(ok_n, F.col("_next")))
-    out = staged.withColumn("_m", pick)
-    return out.select(*by, F.col("_t").alias(on),
-                      *[F.col("_l")[l_names[c]].alias(l_names[c]) for c in left_vals],
-                      *[F.col("_m")[r_names[c]].alias(r_names[c]) for c in right_vals])
+    order = F.col(quote(right_order)) if right_order else F.monotonically_increasing_id()
+    values = F.struct(F.lit(True).alias("_row"), *[F.col(quote(c)).alias(r_names[c]) for c in right_vals])
+    r = placed(_right_times(right.dropna(subset=[on, *by]).withColumn(KEY, key), on, order, values))
+    lft = placed(left.dropna(subset=[on, *by]).select(
+        key.alias(KEY), F.col(on).alias("_t"), _left_struct(left, on, by, l_names).alias("_l"),
+        F.xxhash64(*(c.name for c in left.schema if not isinstance(c.dataType, T.MapType))).alias("_h")))
+    pieces = _pieces(lft, r, part_rows, max(1, int(salt or 1)))
+    # Buckets of several pieces or parts (few: each has many rows).
+    cuts = (pieces.groupBy(KEY, "_b").agg(F.array_sort(F.collect_list(F.struct("_from", "_salts"))).alias("_cuts"))
+            .where("size(_cuts) > 1 or _cuts[0]._salts > 1"))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        joined = df.join(cuts, [KEY, "_b"], "left")
+        p = F.size(F.filter("_cuts", lambda x: x["_from"] <= F.col("_c"))) - 1
+        joined = joined.withColumn("_p", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(p))
+        return joined.withColumn("_salts", F.when(F.col("_cuts").isNull(), F.lit(1)).otherwise(F.col("_cuts")[F.col("_p")]["_salts"]))
+
+    each = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    where = [KEY, "_b", "_p", "_salt", "_t", "_k", "_l", "_rf", "_rl"]
+    no_left = F.lit(None).cast(lft.schema["_l"].dataType)
+    right_type = r.schema["_rf"].dataType
+    lefts = dealt(lft).withColumns({"_salt": F.pmod("_h", "_salts").cast("int"), "_k": F.lit(1), "_rf": F.lit(None).cast(right_type),
+                                    "_rl": F.lit(None).cast(right_type)}).select(where)
+    rights = dealt(r).withColumn("_salt", each).withColumns({"_k": F.lit(0), "_l": no_left}).select(where)
+    carried = pieces.where("_left > 0").withColumn("_salt", each)
+    none = F.lit(None).cast(right_type)
+    before = carried.where("_prev is not null").select(
+        KEY, "_b", "_p", "_salt", F.col("_prev._t").alias("_t"), F.lit(0).alias("_k"), no_left.alias("_l"), none.alias("_rf"), F.col("_prev._r").alias("_rl"))
+    behind = carried.where("_next is not null").select(
+        KEY, "_b", "_p", "_salt", F.col("_next._t").alias("_t"), F.lit(0).alias("_k"), no_left.alias("_l"), F.col("_next._r").alias("_rf"), none.alias("_rl"))
+    staged = lefts.unionByName(rights).unionByName(before).unionByName(behind)
+    return staged, l_names, r_names, right_type
 
 
 def merge_weather(readings: DataFrame, weather: DataFrame | None, **kw) -> DataFrame:

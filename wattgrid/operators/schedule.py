@@ -206,7 +206,8 @@ def certify(apps: DataFrame, keys: Sequence[str] = ("home_id",)) -> DataFrame:
     slack = (F.col("_at") == F.col("_at2")) & F.forall(
         F.zip_with("_at", loads, lambda p, n: (p >= 0) & ((p == 0) | (n == F.col("cap")))), lambda x: x)
     return homes.select(*keys, "cap", "n_appliances", "cost", bound.alias("bound"), feasible.alias("feasible"),
-                        slack.alias("slack"), (feasible & slack & (F.col("cost") <= bound)).alias("proven"))
+                        slack.alias("slack"), (feasible & slack & (F.col("cost") <= bound)).alias("proven"),
+                        F.col("_at").alias("hour_prices"))
 
 
 # --- O3: exact flow for homes where the cap binds -------------------------
@@ -270,7 +271,7 @@ def _batch_solver(keys: Sequence[str], columns: list[str]):
 class ScheduleResult:
     schedule: DataFrame  # keys, appliance, hour, price, kw, ..., baseline_on, is_on (optimal homes)
     homes: DataFrame     # keys, status, path, cap, max_on, original_cost, optimized_cost
-    certificate: DataFrame  # keys, cap, n_appliances, cost, bound, feasible, slack, proven (optimal homes)
+    certificate: DataFrame  # keys, cap, n_appliances, cost, bound, feasible, slack, proven, hour_prices (optimal homes)
 
 
 def optimize_schedules(appliances: DataFrame, tariffs: DataFrame, plans: DataFrame, *,

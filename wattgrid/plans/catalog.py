@@ -22,8 +22,8 @@ from ..operators.outliers import outlier_removal_counts, remove_outliers, zscore
 from ..operators.pivot import pivot_first
 from ..operators.resample import count_missing, resample_mean, resample_readings
 from ..operators.scale import fit_minmax, minmax_scale
-from ..sources.readings import (channel_dimension, filter_variables, load_and_prepare, load_readings, rename_channels,
-                                select_channels)
+from ..sources.readings import (channel_dimension, filter_variables, load_and_prepare, load_readings, read_combined_csv,
+                                reject_counts, rejected_lines, rename_channels, select_channels)
 from ..sources.sinks import write_csv
 from ..sources.tables import (EVENT_CHANNELS, combined_rows_from_events, readings_from_events, table,
                               weather_from_events)
@@ -303,6 +303,19 @@ def q_combined_csv(spark, sf):
     return rounded(load_readings(spark, base, [1, 2], dimension))
 
 
+def q_csv_rejects(spark, sf):
+    """A combined file with unreadable times and values: what is read,
+    and how many lines were set aside for which reason."""
+    path = f"{_csv_dir(spark)}/{COMBINED_FILE}"
+    rows = combined_rows_from_events(table(spark, sf, "events"))
+    time, value = F.col(LONG_TIME_COL).cast("string"), F.col(LONG_VALUE_COL).cast("string")
+    write_csv(rows.select(F.col(f"`{LONG_ID_COL}`"), F.when(F.col("seq") % 50 == 0, "yesterday").otherwise(time).alias(LONG_TIME_COL),
+                          F.when(F.col("seq") % 70 == 3, "n/a").otherwise(value).alias(LONG_VALUE_COL)), path)
+    counts = reject_counts(rejected_lines(spark, path)).groupBy("reason").agg(F.sum("n_lines").alias("n_lines"))
+    good = read_combined_csv(spark, path)
+    return counts.unionByName(good.agg(F.lit("read").alias("reason"), F.count(F.lit(1)).alias("n_lines")))
+
+
 def q_wide_csv(spark, sf):
     """One wide file per home, each with its own column order."""
     base = _csv_dir(spark)
@@ -576,6 +589,7 @@ QUERIES = {
     "channel_select": q_channel_select,
     "combined_csv": q_combined_csv,
     "wide_csv": q_wide_csv,
+    "csv_rejects": q_csv_rejects,
     "weather_features": q_weather_features,
     "asof_nearest_broadcast": q_asof_nearest_broadcast,
     "regression_metrics": q_regression_metrics,

@@ -708,6 +708,11 @@ SQL["wide_csv"] = f"""WITH {READINGS}, three AS (
 
 # --- bad rows, certificates, weather file, column choice ------------------------
 
+SQL["csv_rejects"] = """
+SELECT CASE WHEN event_id % 50 = 0 THEN 'time not readable' WHEN event_id % 70 = 3 THEN 'value not readable' ELSE 'read' END AS reason,
+       count(*)::BIGINT AS n_lines
+FROM events GROUP BY 1"""
+
 _POWER = "500.0::DOUBLE + (p_partkey % 8)::DOUBLE * 250.0::DOUBLE"
 _FAULTY = APPS.replace(f"{_POWER} AS power_rating", f"""CASE WHEN p_partkey % 17 = 0 THEN 'NaN'::DOUBLE WHEN p_partkey % 19 = 0 THEN 'Infinity'::DOUBLE
               WHEN p_partkey % 23 = 0 THEN -100.0::DOUBLE WHEN p_partkey % 29 <> 0 THEN {_POWER} END AS power_rating""").replace(

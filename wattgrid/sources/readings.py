@@ -8,11 +8,10 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from ..constants import (COMBINED_DIR, COMBINED_FILE, LONG_ID_COL, LONG_TIME_COL, LONG_VALUE_COL,
                          VARIABLE_CHANNELS, VARIABLE_ID_PATTERN, WIDE_FILE_TEMPLATE)
@@ -36,25 +35,19 @@ def _path(uri: str) -> str:
 
 
 HEADER_LINES = 20
+#: Files whose first lines one job looks at.
+HEADER_FILES = 200
 
 
-def header_lines(spark: SparkSession, paths: Sequence[str] | str, lines: int = HEADER_LINES) -> DataFrame:
+def header_lines(spark: SparkSession, files: Sequence[str], lines: int = HEADER_LINES) -> DataFrame:
     """``(file, at, value)``: the first lines of each file.
 
-    One task looks at one file and stops after its first lines, so what is read
-    for headers follows the number of files, not their size.  Files are not
-    split for this: the settings are those of a session of its own."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 60))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(lines))
-
-    def first(batches):
-        for batch in batches:
-            yield batch.append_column("at", pa.array(range(batch.num_rows), pa.int32()))
-            return
-    text = own.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-    return text.mapInArrow(first, "file string, value string, at int")
+    One scan with a limit for each file: it stops after these lines, so what is
+    read for headers follows the number of files, not their size."""
+    def first(file: str) -> DataFrame:
+        return (spark.read.text(unquote(file)).limit(lines)
+                .select(F.lit(file).alias("file"), F.monotonically_increasing_id().alias("at"), "value"))
+    return reduce(DataFrame.unionAll, map(first, files))
 
 
 def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> dict[tuple[str, ...], list[str]]:
@@ -62,15 +55,18 @@ def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> d
 
     A header is the first of a file's first lines that names ``time_col``; one
     line per file comes back.  A file without one raises."""
-    lines = header_lines(spark, paths)
-    named = (lines.where(F.col("value").rlike(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)'))
-             .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+    files = sorted(spark.read.text(paths).inputFiles())
     out: dict[tuple[str, ...], list[str]] = {}
-    for row in named.orderBy("file").collect():
-        columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([row["header"]])))
-        out.setdefault(columns, []).append(_path(row["file"]))
-    found = {f for files in out.values() for f in files}
-    bare = sorted(f for f in map(_path, spark.read.text(paths).inputFiles()) if f not in found)
+    found = set()
+    for k in range(0, len(files), HEADER_FILES):
+        named = (header_lines(spark, files[k:k + HEADER_FILES])
+                 .where(F.col("value").rlike(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)'))
+                 .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+        for row in named.orderBy("file").collect():
+            columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([row["header"]])))
+            out.setdefault(columns, []).append(_path(row["file"]))
+            found.add(row["file"])
+    bare = [_path(f) for f in files if f not in found]
     if bare:
         raise ValueError(f"no column {time_col!r} in {bare}")
     return out
@@ -97,14 +93,46 @@ def channel_dimension(spark: SparkSession, mapping: dict | None = None, home_id:
     return spark.createDataFrame(rows, "variable_id string, home_id bigint, channel string")
 
 
+def _checked(raw: DataFrame, time_col: str, value_cols: Sequence[str]) -> DataFrame:
+    """Adds ``_ts`` and ``_reason``: what makes a line unreadable (NULL: it
+    is fine).  An empty value is a missing one, not a bad one."""
+    bad = F.lit(False)
+    for c in value_cols:
+        bad = bad | (F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull())
+    ts = F.col(f"`{time_col}`").try_cast("timestamp_ntz")
+    return raw.withColumn("_ts", ts).withColumn("_reason", F.when(F.col("_ts").isNull(), "time not readable")
+                                                .when(bad, "value not readable"))
+
+
+def _texts(spark: SparkSession, path: Sequence[str] | str, time_col: str) -> tuple[DataFrame, list[str]]:
+    """All columns as text, and the names of those that are values."""
+    raw = read_csv_by_name(spark, path, time_col, lambda c: StringType())
+    return raw, [c for c in raw.columns if c not in (time_col, LONG_ID_COL, "_file")]
+
+
+def rejected_lines(spark: SparkSession, path: Sequence[str] | str, time_col: str = LONG_TIME_COL) -> DataFrame:
+    """``(file, reason, line)`` of the lines that the readers leave out, the
+    line as JSON: of the combined file, or of wide files with their
+    ``time_col``.  Lines are never dropped without being here."""
+    raw, values = _texts(spark, path, time_col)
+    values = [LONG_VALUE_COL] if LONG_VALUE_COL in values and LONG_ID_COL in raw.columns else values
+    line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in raw.columns if c != "_file")))
+    return _checked(raw, time_col, values).where("_reason is not null").select(
+        F.col("_file").alias("file"), F.col("_reason").alias("reason"), line.alias("line"))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected lines per file and reason."""
+    return rejects.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def read_combined_csv(spark: SparkSession, path: Sequence[str] | str) -> DataFrame:
-    """The combined long CSV, columns by name; NaN becomes NULL."""
-    raw = read_csv_by_name(spark, path, LONG_TIME_COL,
-                           lambda c: DoubleType() if c == LONG_VALUE_COL else StringType())
-    return raw.select(F.col(f"`{LONG_ID_COL}`").alias("variable_id"),
-                      F.to_timestamp_ntz(F.col(LONG_TIME_COL)).alias("ts"),
-                      nan_to_null(F.col(LONG_VALUE_COL)).alias("watts"),
-                      F.monotonically_increasing_id().alias("seq"))
+    """The combined long CSV, columns by name; NaN becomes NULL.  Lines
+    that cannot be read are left to :func:`rejected_lines`."""
+    raw, values = _texts(spark, path, LONG_TIME_COL)
+    return _checked(raw, LONG_TIME_COL, [c for c in values if c == LONG_VALUE_COL]).where("_reason is null").select(
+        F.col(f"`{LONG_ID_COL}`").alias("variable_id"), F.col("_ts").alias("ts"),
+        nan_to_null(F.col(LONG_VALUE_COL).cast("double")).alias("watts"), F.monotonically_increasing_id().alias("seq"))
 
 
 def filter_variables(df: DataFrame, pattern: str = VARIABLE_ID_PATTERN, id_col: str = "variable_id",
@@ -133,14 +161,14 @@ def read_wide_csv(spark: SparkSession, path: Sequence[str] | str, channels: Sequ
 
     ``home_id`` comes from the file name (``CLEAN_House<N>.csv``) unless given,
     so a list or glob over many homes reads together; their columns may differ
-    in order and number."""
-    raw = read_csv_by_name(spark, path, time_col, lambda c: StringType() if c == time_col else DoubleType())
-    present = [c for c in raw.columns if c not in (time_col, "_file")]
+    in order and number.  Lines that cannot be read are left to
+    :func:`rejected_lines`."""
+    raw, present = _texts(spark, path, time_col)
     cols = present if channels is None else [c for c in channels if c in present]
     hid = (F.lit(int(home_id)).cast("long") if home_id is not None else
            F.regexp_extract("_file", r"House(\d+)", 1).cast("long"))
-    return raw.select(hid.alias("home_id"), F.to_timestamp_ntz(F.col(f"`{time_col}`")).alias("ts"),
-                      *[nan_to_null(F.col(f"`{c}`")).alias(c) for c in cols])
+    return _checked(raw, time_col, present).where("_reason is null").select(
+        hid.alias("home_id"), F.col("_ts").alias("ts"), *[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in cols])
 
 
 def select_channels(df: DataFrame, channels: Sequence[str], keys=("home_id",), ts="ts") -> DataFrame:
