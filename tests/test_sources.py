@@ -151,6 +151,22 @@ def test_headers_are_read_from_the_first_lines_only(spark, tmp_dir):
         headers(spark, f"{tmp_dir}/small", "when")
 
 
+def test_first_lines_come_from_the_first_block(spark, tmp_dir):
+    """A file read in many blocks: no other block's lines take the header's place."""
+    from wattgrid.sources.readings import header_lines, headers
+
+    lines = ["dateTime,data", *(f"2024-01-01 00:00:00,{k}" for k in range(5000))]
+    write(f"{tmp_dir}/long.csv", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(f"{tmp_dir}/long.csv").rdd.getNumPartitions() > 20
+        assert header_lines(spark, f"file:{tmp_dir}/long.csv") == lines[:20]
+        assert list(headers(spark, f"{tmp_dir}/long.csv", "dateTime")) == [("dateTime", "data")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_bad_lines_go_to_the_reject_table(spark, tmp_dir):
     from wattgrid.sources.readings import read_combined_csv, reject_counts, rejected_lines
 

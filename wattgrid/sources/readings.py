@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -35,19 +36,19 @@ def _path(uri: str) -> str:
 
 
 HEADER_LINES = 20
-#: Files whose first lines one job looks at.
-HEADER_FILES = 200
+#: Files whose first lines are looked at side by side.
+HEADER_FILES = 8
 
 
-def header_lines(spark: SparkSession, files: Sequence[str], lines: int = HEADER_LINES) -> DataFrame:
-    """``(file, at, value)``: the first lines of each file.
+def header_lines(spark: SparkSession, file: str, lines: int = HEADER_LINES) -> list[str]:
+    """The first lines of a file, in their order.
 
-    One scan with a limit for each file: it stops after these lines, so what is
-    read for headers follows the number of files, not their size."""
-    def first(file: str) -> DataFrame:
-        return (spark.read.text(unquote(file)).limit(lines)
-                .select(F.lit(file).alias("file"), F.monotonically_increasing_id().alias("at"), "value"))
-    return reduce(DataFrame.unionAll, map(first, files))
+    They come from the file's first block only: a limit over all blocks of a
+    large file keeps the lines of whichever task ends first.  The scan stops
+    after these lines, so what is read follows the number of files, not their
+    size."""
+    rows = spark.read.text(unquote(file)).where(F.col("_metadata.file_block_start") == 0).select("value")
+    return [r["value"] for r in rows.head(lines)]
 
 
 def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> dict[tuple[str, ...], list[str]]:
@@ -56,16 +57,17 @@ def headers(spark: SparkSession, paths: Sequence[str] | str, time_col: str) -> d
     A header is the first of a file's first lines that names ``time_col``; one
     line per file comes back.  A file without one raises."""
     files = sorted(spark.read.text(paths).inputFiles())
+    named = re.compile(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)')
     out: dict[tuple[str, ...], list[str]] = {}
     found = set()
-    for k in range(0, len(files), HEADER_FILES):
-        named = (header_lines(spark, files[k:k + HEADER_FILES])
-                 .where(F.col("value").rlike(rf'(^|,)\s*"?{re.escape(time_col)}"?\s*(,|$)'))
-                 .groupBy("file").agg(F.min_by("value", "at").alias("header")))
-        for row in named.orderBy("file").collect():
-            columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([row["header"]])))
-            out.setdefault(columns, []).append(_path(row["file"]))
-            found.add(row["file"])
+    with ThreadPoolExecutor(HEADER_FILES) as pool:
+        firsts = list(pool.map(lambda f: header_lines(spark, f), files))
+    for file, first in zip(files, firsts, strict=True):
+        header = next((line for line in first if named.search(line)), None)
+        if header is not None:
+            columns = tuple(c.strip().lstrip("\ufeff") for c in next(csv.reader([header])))
+            out.setdefault(columns, []).append(_path(file))
+            found.add(file)
     bare = [_path(f) for f in files if f not in found]
     if bare:
         raise ValueError(f"no column {time_col!r} in {bare}")
