@@ -84,3 +84,38 @@ def test_e17_metrics(spark):
     assert m["mape"] == pytest.approx(25.0)
     zero = regression_metrics(spark.createDataFrame([(0.0, 1.0)], "y_true double, y_pred double")).collect()[0]
     assert zero["mape"] == 0.0
+
+
+def test_rolling_statistics_use_no_sliding_frame(spark):
+    """Frames of several functions and rows are summed anew for each row; lags are not."""
+    import math
+    import statistics
+
+    from wattgrid.operators.features import add_rolling_features
+
+    values = [1.5, None, 2.25, -3.0, None, None, None, None, 7.125, 0.1]
+    rows = [(1, dt.datetime(2024, 1, 1, k), v) for k, v in enumerate(values)]
+    made = add_rolling_features(spark.createDataFrame(rows, "home_id long, ts timestamp_ntz, a double"), ["a"], [2, 4])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "avg(" not in plan and "stddev" not in plan
+    for k, r in enumerate(made.orderBy("ts").collect()):
+        for w in (2, 4):
+            seen = [v for v in values[max(0, k - w + 1):k + 1] if v is not None]
+            assert r[f"a_rolling_sum_{w}"] == (sum(seen) if seen else None)
+            assert r[f"a_rolling_mean_{w}"] == (sum(seen) / len(seen) if seen else None)
+            if len(seen) > 1:
+                assert math.isclose(r[f"a_rolling_std_{w}"], statistics.stdev(seen), abs_tol=1e-12)
+            else:
+                assert r[f"a_rolling_std_{w}"] is None
+
+
+def test_rounding_is_that_of_two_steps(spark):
+    from pyspark.sql import functions as F
+
+    from wattgrid.plans.catalog import rounded
+
+    odd = [0.0, -0.0, 0.0000005, 0.00000049999999996, -1.0000005, 2.5e-7, 999.9999995, 1e15, -1e300, float("inf"), float("nan"), None, 0.1234564999999]
+    rows = [(x,) for x in odd] + [((k * 7919 % 100003) / 100003 * (-1) ** k * (1 + k % 12),) for k in range(3000)]
+    df = spark.createDataFrame(rows, "x double").withColumn("i", F.monotonically_increasing_id())
+    want = df.selectExpr("CAST(round(round(x, 9), 6) AS STRING) AS x", "i").orderBy("i").collect()
+    assert rounded(df).selectExpr("CAST(x AS STRING) AS x", "i").orderBy("i").collect() == want
