@@ -11,9 +11,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
@@ -21,9 +23,11 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from .common import cut, map_arrow
 
 #: Units that a task keeps, the longest of them, and how many are encoded together.
-CACHE = 400_000
+CACHE = 600_000
 LONGEST_KEPT = 64
 TOGETHER = 2_000
+#: Characters of texts that are taken apart together.
+APART = 1 << 18
 
 
 def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -32,33 +36,31 @@ def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
     Divide and conquer: the common end nearest to the middle of an interval is
     located by bisection, then both halves; an interval without one is a leaf."""
-    cuts = []
-    stack = [(0, len(a), 0, len(b))] if a else []
+    if not a:
+        return []
+    cuts = [(len(a), len(b))]
+    stack = [(0, len(a) - 1, 0, len(b) - 1)] if len(a) > 1 and len(b) > 1 else []
     while stack:
-        lo, hi, blo, bhi = stack.pop()
-        while True:
-            # The last end of an interval is common; look at those before it.
-            last, blast, found = hi - 1, bhi - 1, -1
-            if lo < last and blo < blast:
-                middle = (lo + last) // 2
-                for step in range(last - middle + 1):
-                    i = middle + step
-                    if i < last:
-                        j = bisect_left(b, a[i], blo, blast)
-                        if j < blast and b[j] == a[i]:
-                            found = i
-                            break
-                    i = middle - step
-                    if i >= lo and step:
-                        j = bisect_left(b, a[i], blo, blast)
-                        if j < blast and b[j] == a[i]:
-                            found = i
-                            break
-            if found < 0:
-                cuts.append((hi, bhi))
-                break
-            stack.append((found + 1, hi, j + 1, bhi))  # the right half later, the left one now
-            hi, bhi = found + 1, j + 1
+        lo, hi, blo, bhi = stack.pop()  # both not empty; the common end behind them is known
+        i = middle = (lo + hi) // 2
+        j = bisect_left(b, a[i], blo, bhi)
+        step = 0
+        while j == bhi or b[j] != a[i]:  # the next one below or above the middle
+            step = -step if step > 0 else 1 - step
+            i = middle + step
+            if not lo <= i < hi:
+                step = -step if step > 0 else 1 - step
+                i = middle + step
+                if not lo <= i < hi:
+                    break
+            j = bisect_left(b, a[i], blo, bhi)
+        else:
+            cuts.append((i + 1, j + 1))
+            if lo < i and blo < j:
+                stack.append((lo, i, blo, j))
+            if i + 1 < hi and j + 1 < bhi:
+                stack.append((i + 1, hi, j + 1, bhi))
+    cuts.sort()
     return cuts
 
 
@@ -140,8 +142,11 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.groups = [""]
         self.n_a, self.n_b, self.n_groups = array("i", [0]), array("i", [0]), array("i", [0])
-        # The links of unit u: bounds[u] to bounds[u + 1] of pair (a id << 32 | b id).
-        self.bounds, self.pair = array("q", [0, 0]), array("q")
+        # The links of unit u: bounds[u] to bounds[u + 1] of pair, numbers of the
+        # distinct pairs (a id << 32 | b id) in pair_key.
+        self.bounds, self.pair = array("q", [0, 0]), array("i")
+        self.pair_number: dict[int, int] = {}
+        self.pair_key = array("q")
 
     def encode_a(self, text: str) -> list[int]:
         return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -169,7 +174,10 @@ class Aligner:
         if (a_ends[a_cuts[np.minimum(at, len(a_cuts) - 1)] - 1] != stops).any():
             return False
         x, y = links_of(a_ends, b_ends)
-        self.pair.frombytes((a[x] << 32 | b[y]).tobytes())
+        keys, link = np.unique(a[x] << 32 | b[y], return_inverse=True)
+        numbers = [self.pair_number.setdefault(k, len(self.pair_number)) for k in keys.tolist()]
+        self.pair_key.extend([k for k, i in zip(keys.tolist(), numbers, strict=True) if i >= len(self.pair_key)])
+        self.pair.frombytes(np.array(numbers, np.int32)[link].tobytes())
 
         # The groups as text: each id with the mark that follows it.
         a_group = np.searchsorted(a_cuts, np.arange(len(a)), side="right")
@@ -209,66 +217,97 @@ class Aligner:
             if not self.solve([u]):
                 self.known[u] = 0
 
-    def block(self, texts: list[str | None]) -> dict:
-        """One row for a block of texts: per text its figures, the distinct units
-        of the block, how often each text has each (``doc_bounds``, ``doc_unit``,
-        ``doc_times``), the distinct id pairs, and those of each unit's links."""
+    def some(self, texts: list[str | None]) -> tuple:
+        """Of texts that are taken apart together: how many tokens of each side
+        and groups each has, the digests, and ``(pairs, doc, pair, times)``: the
+        distinct id pairs, and how often each text has which of them."""
         if len(self.groups) > CACHE:
             self.clear()
         parts = [self.units(" " + t) if t else [] for t in texts]
-        self.learn(set().union(*parts))
-        known = self.known
-        numbers = [[known[u] for u in p] for p in parts]
-        numbers = [[] if 0 in set(p) else p for p in numbers]
-        for u in [u for u in known if len(u) > LONGEST_KEPT]:
-            del known[u]
-        joined = ["".join([self.groups[u] for u in p])[:-1] for p in numbers]
-        digests = [hashlib.sha256(j.encode()).hexdigest() if p else "" for p, j in zip(numbers, joined, strict=True)]
+        units = set().union(*parts)
+        self.learn(units)
+        known, groups = self.known, self.groups
+        numbers = [list(map(known.__getitem__, p)) for p in parts]
+        del parts
+        numbers = [[] if 0 in p else p for p in numbers]
+        for u in units:
+            if len(u) > LONGEST_KEPT:
+                del known[u]
+        digests = [hashlib.sha256("".join(map(groups.__getitem__, p))[:-1].encode()).hexdigest() if p else "" for p in numbers]
 
         def column(values: array, dtype) -> np.ndarray:
             return np.frombuffer(values, dtype) if len(values) else np.zeros(0, dtype)
 
         doc = np.repeat(np.arange(len(texts)), [len(p) for p in numbers])
-        unit = np.concatenate([np.zeros(0, np.int64), *(np.array(p, np.int64) for p in numbers)])
+        unit = np.fromiter(chain.from_iterable(numbers), np.int64, len(doc))
         sums = [np.bincount(doc, weights=column(c, np.int32)[unit], minlength=len(texts)).astype(np.int64)
                 for c in (self.n_a, self.n_b, self.n_groups)]
-        cells, doc_times = np.unique(doc << 32 | unit, return_counts=True)
-        used, doc_unit = np.unique(cells & 0xFFFFFFFF, return_inverse=True)
-        total = np.bincount(doc_unit, weights=doc_times, minlength=len(used))
         bounds = column(self.bounds, np.int64)
-        sizes = bounds[used + 1] - bounds[used]
-        unit_bounds = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.arange(unit_bounds[-1]) + np.repeat(bounds[used] - unit_bounds[:-1], sizes)
-        pairs, unit_pair = np.unique(column(self.pair, np.int64)[places], return_inverse=True)
-        pair_total = np.bincount(unit_pair, weights=np.repeat(total, sizes), minlength=len(pairs))
-        return {"n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "groups_sha256": digests,
-                "doc_bounds": np.searchsorted(cells >> 32, np.arange(len(texts) + 1)), "doc_unit": doc_unit, "doc_times": doc_times,
-                "unit_bounds": unit_bounds, "unit_pair": unit_pair,
-                "pair_a": pairs >> 32, "pair_b": pairs & 0xFFFFFFFF, "pair_total": pair_total.astype(np.int64)}
-
+        sizes = bounds[unit + 1] - bounds[unit]
+        places = np.arange(sizes.sum()) + np.repeat(bounds[unit] - (np.cumsum(sizes) - sizes), sizes)
+        most = len(self.pair_key) or 1
+        cells, times = np.unique(np.repeat(doc * most, sizes) + column(self.pair, np.int32)[places], return_counts=True)
+        doc, pair = np.divmod(cells, most)
+        pairs, pair = np.unique(pair, return_inverse=True)
+        return (*sums, digests, column(self.pair_key, np.int64)[pairs], doc, pair, times)
 
-_INTS = ("doc_bounds", "doc_unit", "doc_times", "unit_bounds", "unit_pair")
-_BLOCK = ("n_a array<long>, n_b array<long>, n_groups array<long>, groups_sha256 array<string>, "
-          + ", ".join(f"{c} array<int>" for c in _INTS) + ", pair_a array<int>, pair_b array<int>, pair_total array<long>")
+    def block(self, texts: list[str | None]) -> dict:
+        """The figures of a block of texts, each with its distinct pairs: numbers
+        of pairs (``doc_pair``, from ``doc_bounds`` of a text on) and how often it
+        has them (``doc_times``); and the block's distinct pairs with their totals."""
+        found, doc, lo, held = [], [], 0, 0
+        for hi, text in enumerate(texts, 1):
+            held += len(text or "")
+            if held >= APART or hi == len(texts):
+                found.append(self.some(texts[lo:hi]))
+                doc.append(lo + found[-1][5])
+                lo, held = hi, 0
+        if not texts:
+            found, doc = [self.some([])], [np.zeros(0, np.int64)]
+        pairs = np.unique(np.concatenate([f[4] for f in found]))
+        doc_pair = np.concatenate([np.searchsorted(pairs, f[4])[f[6]] for f in found])
+        doc_times = np.concatenate([f[7] for f in found])
+        total = np.bincount(doc_pair, weights=doc_times, minlength=len(pairs))
+        n_a, n_b, n_groups = (np.concatenate([f[i] for f in found]) for i in range(3))
+        return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "groups_sha256": [d for f in found for d in f[3]],
+                "doc_bounds": np.searchsorted(np.concatenate(doc), np.arange(len(texts) + 1)), "doc_pair": doc_pair, "doc_times": doc_times,
+                "pair_a": pairs >> 32, "pair_b": pairs & 0xFFFFFFFF, "pair_total": total.astype(np.int64)}
+
+
+_BLOCK = ("n_a long, n_b long, n_groups long, groups_sha256 string, width int, pairs binary, times binary, "
+          "pair_a array<int>, pair_b array<int>, pair_total array<long>")
+
+
+def packed(values: np.ndarray, bounds: np.ndarray, dtype: np.dtype) -> pa.Array:
+    """A binary for each run of ``values`` between ``bounds``."""
+    values = np.ascontiguousarray(values.astype(dtype))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * dtype.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
 
 def align_blocks(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each block of rows (an Arrow batch, bounded in rows and
-    bytes): ``block`` (a number), the ids, and what :meth:`Aligner.block` gives."""
+    """One row for each row of ``docs``: ``block`` (the number of the Arrow batch
+    it came in, which is bounded in rows and bytes), ``id``, the figures, and its
+    pairs and times as whole numbers of ``width`` bytes.  The first row of a block
+    also has the block's pairs (``pair_a, pair_b, pair_total``)."""
     shared = docs.sparkSession.sparkContext.broadcast(both)
     kind = StructType([StructField("block", StructType.fromDDL("b long")["b"].dataType),
-                       StructField("ids", ArrayType(docs.schema[id_col].dataType)), *StructType.fromDDL(_BLOCK)])
+                       StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(_BLOCK)])
 
     def make():
         aligner = Aligner(shared.value)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            got = aligner.block(batch.column(2).to_pylist())
-            ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(1))
-            types = {**dict.fromkeys(_INTS, pa.int32()), "pair_a": pa.int32(), "pair_b": pa.int32(), "groups_sha256": pa.string()}
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, types.get(c, pa.int64())))
-                     for c, v in got.items()]
-            return pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), ids, *lists], names=["block", "ids", *got])
+            got, rows = aligner.block(batch.column(2).to_pylist()), batch.num_rows
+            dtype = np.min_scalar_type(max(len(got["pair_a"]), got["doc_times"].max(initial=0)))
+            block = pa.array(np.full(rows, batch.column(0)[0].as_py(), np.int64))
+            once = pa.array(np.concatenate([[0], np.full(rows, len(got["pair_a"]))]), pa.int32())
+            later = pa.array(np.arange(rows) > 0)
+            lists = [pa.ListArray.from_arrays(once, pa.array(got[c], k), mask=later)
+                     for c, k in (("pair_a", pa.int32()), ("pair_b", pa.int32()), ("pair_total", pa.int64()))]
+            return pa.RecordBatch.from_arrays(
+                [block, batch.column(1), *(pa.array(got[c]) for c in ("n_a", "n_b", "n_groups")), pa.array(got["groups_sha256"], pa.string()),
+                 pa.array(np.full(rows, dtype.itemsize, np.int32)), *(packed(got[c], got["doc_bounds"], dtype) for c in ("doc_pair", "doc_times")),
+                 *lists], names=kind.names)
         return each
 
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col), F.col(text_col).alias("_text"))
@@ -278,7 +317,7 @@ def align_blocks(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """``(a, b, n, best)``: how many links hold each pair of ids in the whole
     corpus, and whether no pair of its ``b`` has more."""
-    totals = (blocks.select(F.inline(F.arrays_zip(F.col("pair_a").alias("a"), F.col("pair_b").alias("b"),
+    totals = (blocks.where("pair_a is not null").select(F.inline(F.arrays_zip(F.col("pair_a").alias("a"), F.col("pair_b").alias("b"),
                                                   F.col("pair_total").alias("n"))))
               .groupBy("a", "b").agg(F.sum("n").alias("n")))
     return totals.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy("b")))
@@ -294,9 +333,10 @@ def align(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text_col: s
     ties included.  ``count_sum``: the corpus-wide counts of a text's links,
     summed.
 
-    Blocks of rows are aligned and written once, with their distinct pairs; the
-    pairs (not the texts' links) are counted and joined, and each block gets the
-    counts of its own pairs back.  No table of all pairs is held in one place.
+    Blocks of rows are aligned and written once, a row for each text and the
+    distinct pairs of the block; the pairs (not the texts' links) are counted and
+    joined, and the rows of a block meet the counts of its own pairs.  No table of
+    all pairs is held in one place.
 
     Null and empty texts, and texts that a tokenizer's tokens do not give back
     byte by byte, have no tokens: zeros and an empty digest.  A very long text
@@ -304,11 +344,8 @@ def align(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text_col: s
     empty table gives none.  No other column is read, so names cannot clash."""
     blocks = cut(align_blocks(docs, both, id_col, text_col))
     counts = cut(pair_counts(blocks))
-    own = blocks.select("block", F.posexplode(F.arrays_zip(F.col("pair_a").alias("a"), F.col("pair_b").alias("b"))).alias("k", "p"))
-    told = (own.select("block", "k", "p.a", "p.b").join(counts, ["a", "b"]).groupBy("block")
-            .agg(F.array_sort(F.collect_list(F.struct("k", "n", "best"))).alias("told")))
-    rows = blocks.drop("pair_a", "pair_b", "pair_total").join(
-        told.select("block", F.col("told.n").alias("pair_n"), F.col("told.best").alias("pair_best")), "block", "left")
+    own = blocks.where("pair_a is not null").select("block", F.posexplode(F.arrays_zip(F.col("pair_a").alias("a"), F.col("pair_b").alias("b"))).alias("k", "p"))
+    told = own.select(F.col("block").alias("of"), "k", "p.a", "p.b").join(counts, ["a", "b"]).select("of", "k", "n", "best")
     kind = StructType([StructField(id_col, docs.schema[id_col].dataType), *StructType.fromDDL(
         "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")])
 
@@ -316,21 +353,16 @@ def align(docs: DataFrame, both: Tokenizers, id_col: str = "doc_id", text_col: s
         """Sums of the runs between ``bounds`` (empty runs: 0), whole numbers."""
         return np.diff(np.concatenate([[0], np.cumsum(values)])[bounds])
 
-    def make():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for r in range(batch.num_rows):
-                def of(name, dtype=np.int64):
-                    got = batch.column(name)[r].values
-                    return np.zeros(0, dtype) if got is None else got.to_numpy(zero_copy_only=False).astype(dtype)
-                pair, bounds = of("unit_pair"), of("unit_bounds")
-                per_unit = [np.diff(bounds), sums(of("pair_best")[pair], bounds), sums(of("pair_n")[pair], bounds)]
-                unit, often = of("doc_unit"), of("doc_times")
-                n_links, n_best, count_sum = (pa.array(sums(u[unit] * often, of("doc_bounds"))) for u in per_unit)
-                out.append(pa.RecordBatch.from_arrays(
-                    [batch.column(c)[r].values for c in ("ids", "n_a", "n_b", "n_groups")] + [n_links, n_best, count_sum]
-                    + [batch.column("groups_sha256")[r].values], names=kind.names))
-            return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-        return each
-
-    return map_arrow(rows, make, kind)
+    def figures(rows: pa.Table, told: pa.Table) -> pa.Table:
+        k = told.column("k").to_numpy()
+        n, best = np.zeros((2, len(k)), np.int64)
+        n[k], best[k] = told.column("n").to_numpy(), told.column("best").to_numpy(zero_copy_only=False)
+        width = rows.column("width")[0].as_py() if rows.num_rows else 1
+        pair, times = (np.frombuffer(b"".join(rows.column(c).to_pylist()), f"u{width}").astype(np.int64) for c in ("pairs", "times"))
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(rows.column("pairs")).to_numpy() // width)])
+        return pa.table([*(rows.column(c) for c in ("id", "n_a", "n_b", "n_groups")),
+                         *(pa.array(sums(v, bounds)) for v in (times, best[pair] * times, n[pair] * times)),
+                         rows.column("groups_sha256")], names=kind.names)
+
+    rows = blocks.drop("pair_a", "pair_b", "pair_total")
+    return rows.groupBy("block").cogroup(told.groupBy("of")).applyInArrow(figures, kind)
